@@ -1,0 +1 @@
+"""DuckDB oracle SQL for every registered query (see ``oracle.sql``)."""
