@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from vaultmart.operators.keys import first_per_key
@@ -102,6 +102,7 @@ class SatelliteBatch:
     closed: DataFrame
     closed_is_full: bool
     changed: DataFrame
+    n_changed: int = 0
 
 
 def close_versions(rows: DataFrame, hk: str) -> DataFrame:
@@ -116,18 +117,29 @@ def close_versions(rows: DataFrame, hk: str) -> DataFrame:
 
 def load_satellite(staged: DataFrame, hk: str, attrs: Sequence[str],
                    open_prev: DataFrame | None, closed_prev: DataFrame | None,
-                   materialize: Callable[[DataFrame], DataFrame] | None = None) -> SatelliteBatch:
+                   materialize: Callable[[DataFrame], DataFrame] | None = None,
+                   force_full_closed: bool = False) -> SatelliteBatch:
     """One batch into a type-2 satellite (V5 + S14/V7 + V6).
 
     ``materialize`` cuts the lineage of the change set (it is read several
-    times); by default a reliable ``checkpoint()`` in the shared folder.
+    times) and must run an action; by default a reliable ``checkpoint()`` in
+    the shared folder.  While it runs, the change set is also counted, and so
+    are the changes older than the open version they were compared with:
+    only those can replace a closed row (normally there are none, and the
+    closed history is then not read at all).  ``force_full_closed`` rewrites
+    the closed part regardless (a rerun of a batch that did so before).
     """
     cols = satellite_columns(hk, attrs)
     src = staged.select(hk, *attrs, HASHDIFF, LOAD_DATE, RECORD_SOURCE)
     changed = changed_rows(src, hk, open_prev)
-    # one row per (hk, load_date): deterministic, reported by the pipeline
+    # one row per (hk, load_date): deterministic
     changed = first_per_key(changed, [hk, LOAD_DATE], [F.col(HASHDIFF).asc()])
+    older = F.col(_PREV_LOAD_DATE).isNotNull() & (F.col(LOAD_DATE) < F.col(_PREV_LOAD_DATE))
+    stats = Observation()
+    changed = changed.observe(stats, F.count(F.lit(1)).alias("changed"),
+                              F.count_if(older).alias("older"))
     changed = (materialize or (lambda d: d.checkpoint()))(changed)
+    n_older = stats.get["older"]
 
     fresh = changed.select(*[c for c in cols if c != LOAD_END_DATE]).withColumn(
         LOAD_END_DATE, F.lit(None).cast("timestamp_ntz")).select(*cols)
@@ -147,17 +159,14 @@ def load_satellite(staged: DataFrame, hk: str, attrs: Sequence[str],
     closed_new = touched.where(F.col(LOAD_END_DATE).isNotNull())
 
     full = False
-    if closed_prev is not None:
-        # Only a change older than the open version it was compared with can
-        # carry the (hk, load_date) of a closed row; normally there is none.
-        suspects = changed.where(F.col(_PREV_LOAD_DATE).isNotNull()
-                                 & (F.col(LOAD_DATE) < F.col(_PREV_LOAD_DATE))).select(hk, LOAD_DATE)
-        if not suspects.isEmpty() and not closed_prev.join(suspects, [hk, LOAD_DATE], "left_semi").isEmpty():
+    if closed_prev is not None and (n_older > 0 or force_full_closed):
+        suspects = changed.where(older).select(hk, LOAD_DATE)
+        if force_full_closed or not closed_prev.join(suspects, [hk, LOAD_DATE], "left_semi").isEmpty():
             closed_new = (closed_prev.join(suspects, [hk, LOAD_DATE], "left_anti")
                           .select(*cols).unionByName(closed_new))
             full = True
     return SatelliteBatch(open=open_new, closed=closed_new, closed_is_full=full,
-                          changed=changed.drop(_PREV_LOAD_DATE))
+                          changed=changed.drop(_PREV_LOAD_DATE), n_changed=stats.get["changed"])
 
 
 def current(satellite: DataFrame) -> DataFrame:

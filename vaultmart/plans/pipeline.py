@@ -63,7 +63,7 @@ class Pipeline:
     spark: SparkSession
     sf_dir: str
     root: str | None = None
-    threads: int = 4
+    threads: int = 8
     load_counts: dict = field(default_factory=dict)
     done: set = field(default_factory=set)
 
@@ -93,17 +93,25 @@ class Pipeline:
                 f.result()
 
     # -- bronze ------------------------------------------------------------------
-    def bronze_inputs(self, batch: int) -> dict[str, DataFrame]:
+    def bronze_inputs(self, feed: int) -> dict[str, DataFrame]:
+        """The derived source tables of fixture batch ``feed`` (FIXTURES.md)."""
         return {
-            "property_raw": fixtures.property_raw(self.spark, self.sf_dir, batch, self.sizes),
+            "property_raw": fixtures.property_raw(self.spark, self.sf_dir, feed, self.sizes),
             "src_crm_owners": fixtures.with_loaded_at(
-                fixtures.crm_owners(self.spark, self.sf_dir, batch), batch),
+                fixtures.crm_owners(self.spark, self.sf_dir, feed), feed),
             "src_crm_agents": fixtures.with_loaded_at(
-                fixtures.crm_agents(self.spark, self.sf_dir, batch), batch),
+                fixtures.crm_agents(self.spark, self.sf_dir, feed), feed),
         }
 
-    def ingest(self, batch: int) -> None:
-        """Write the batch's bronze tables, counting rows in the same pass."""
+    def ingest(self, batch: int, feed: int | None = None,
+               inputs: dict[str, DataFrame] | None = None) -> None:
+        """Write the batch's bronze tables, counting rows in the same pass.
+
+        ``inputs`` gives the source tables directly (e.g. a micro-batch);
+        otherwise fixture batch ``feed`` (default: ``batch``) is derived.
+        """
+        sources = inputs if inputs is not None else self.bronze_inputs(feed or batch)
+
         def job(name, df):
             def run():
                 obs = Observation(f"{name}_{batch}")
@@ -111,7 +119,7 @@ class Pipeline:
                                          "bronze", name, batch)
                 self.load_counts[(name, batch)] = obs.get["rows"]
             return run
-        self._parallel([job(n, df) for n, df in self.bronze_inputs(batch).items()])
+        self._parallel([job(n, df) for n, df in sources.items()])
 
     def bronze(self, name: str, batch: int) -> DataFrame:
         return self.store.read_version("bronze", name, batch)
@@ -157,9 +165,9 @@ class Pipeline:
             self.staged(stg, batch), hk, attrs,
             open_prev=self.store.read_open(table, batch - 1),
             closed_prev=self.store.read_closed(table, batch - 1),
-            materialize=self._materializer(f"{table}_changes", batch))
-        self.store.write_open(out.open, table, batch)
-        self.store.write_closed(out.closed, table, batch, out.closed_is_full)
+            materialize=self._materializer(f"{table}_changes", batch),
+            force_full_closed=self.store.has_base(table, batch))
+        self.store.write_satellite(out.open, out.closed, table, batch, out.closed_is_full)
 
     def load_vault(self, batch: int) -> None:
         jobs = ([lambda t=t: self._load_hub(t, batch) for t in HUBS]
@@ -235,8 +243,10 @@ class Pipeline:
         return out
 
     # -- whole run -------------------------------------------------------------------
-    def run_batch(self, batch: int, with_marts: bool = True) -> None:
-        self.ingest(batch)
+    def run_batch(self, batch: int, with_marts: bool = True, feed: int | None = None,
+                  inputs: dict[str, DataFrame] | None = None) -> None:
+        """Load one batch; ``feed``/``inputs`` as in :meth:`ingest`."""
+        self.ingest(batch, feed, inputs)
         self.stage(batch)
         self.load_vault(batch)
         if with_marts:

@@ -6,11 +6,12 @@ Layout under a run root (a folder in the cluster's shared directory)::
                                                rows appended by batch n
     <layer>/<table>/batch=<n>/                 bronze, silver, mart: the whole
                                                table as of batch n (overwrite)
-    gold/<sat>/open/batch=<n>/                 satellite rows still open after n
-    gold/<sat>/closed/batch=<n>/               rows closed during batch n
-    gold/<sat>/closed_base/batch=<n>/          (rare) full rewrite of the closed
-                                               part, when batch n replaced a
-                                               closed row with the same key
+    gold/<sat>/batch=<n>/is_current=true/      satellite rows open after batch n
+    gold/<sat>/batch=<n>/is_current=false/     rows closed during batch n, or
+                                               (rare) the whole closed part when
+                                               batch n replaced a closed row with
+                                               the same key; then a marker
+    gold/<sat>/_base/batch=<n>/                says earlier closed rows are superseded
 
 A batch writes only its own directories and reads those of earlier batches,
 so a batch that fails can simply run again; ``_SUCCESS`` marks a finished
@@ -79,28 +80,21 @@ class LayerStore:
 
     # -- satellites with open and closed parts ---------------------------------
     def read_open(self, table: str, batch: int) -> DataFrame | None:
-        path = self.path("gold", table, f"open/batch={batch}")
-        return self.spark.read.parquet(path) if self._exists(f"{path}/_SUCCESS") else None
+        path = self.path("gold", table, f"batch={batch}")
+        if not self._exists(f"{path}/_SUCCESS"):
+            return None
+        return self.spark.read.parquet(f"{path}/is_current=true")
 
     def read_closed(self, table: str, batch: int) -> DataFrame | None:
-        """Closed rows as of ``batch``: the latest full base plus later deltas."""
-        bases = [b for b in self._batches(self.path("gold", table, "closed_base")) if b <= batch]
-        deltas = self._batches(self.path("gold", table, "closed"))
-        start = bases[-1] if bases else 0
-        parts = []
-        if bases:
-            parts.append(self.spark.read.parquet(self.path("gold", table, f"closed_base/batch={start}")))
-        live = [b for b in deltas if start < b <= batch]
-        if live:
-            base = self.path("gold", table, "closed")
-            parts.append(self.spark.read.option("basePath", base).parquet(base)
-                         .where(F.col("batch").between(start + 1, batch)).drop("batch"))
-        if not parts:
+        """Closed rows as of ``batch``: the latest full rewrite, then later deltas."""
+        bases = [b for b in self._batches(self.path("gold", table, "_base")) if b <= batch]
+        start = bases[-1] if bases else 1
+        base = self.path("gold", table)
+        if not any(start <= b <= batch for b in self._batches(base)):
             return None
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        return (self.spark.read.option("basePath", base).parquet(base)
+                .where(F.col("batch").between(start, batch) & ~F.col("is_current"))
+                .drop("batch", "is_current"))
 
     def read_satellite(self, table: str, batch: int) -> DataFrame | None:
         """Whole history of a satellite as of ``batch`` (open and closed rows)."""
@@ -110,9 +104,25 @@ class LayerStore:
             return None
         return open_rows if closed is None else open_rows.unionByName(closed)
 
-    def write_open(self, df: DataFrame, table: str, batch: int) -> None:
-        df.write.mode("overwrite").parquet(self.path("gold", table, f"open/batch={batch}"))
-
-    def write_closed(self, df: DataFrame, table: str, batch: int, full: bool) -> None:
-        part = "closed_base" if full else "closed"
-        df.write.mode("overwrite").parquet(self.path("gold", table, f"{part}/batch={batch}"))
+    def has_base(self, table: str, batch: int) -> bool:
+        return batch in self._batches(self.path("gold", table, "_base"))
+
+    def write_satellite(self, open_rows: DataFrame, closed: DataFrame, table: str, batch: int,
+                        closed_is_full: bool) -> None:
+        """One job: open rows and closed rows of the batch, split by ``is_current``.
+
+        ``closed_is_full`` marks the closed part of this batch as a new base
+        (earlier closed deltas are then superseded).
+        """
+        rows = (open_rows.withColumn("is_current", F.lit(True))
+                .unionByName(closed.withColumn("is_current", F.lit(False))))
+        path = self.path("gold", table, f"batch={batch}")
+        rows.write.mode("overwrite").partitionBy("is_current").parquet(path)
+        for flag in ("true", "false"):
+            # an empty side still needs a readable directory
+            if not self._exists(f"{path}/is_current={flag}"):
+                (open_rows.limit(0).write.mode("overwrite")
+                 .parquet(f"{path}/is_current={flag}"))
+        marker = self.path("gold", table, f"_base/batch={batch}")
+        if closed_is_full:
+            self.spark.range(0).write.mode("overwrite").parquet(marker)
