@@ -52,6 +52,9 @@ INSERT_ONLY_SATELLITES = {
 }
 BRONZE_TABLES = ["property_raw", "src_crm_owners", "src_crm_agents"]
 STAGING_TABLES = ["stg_transactions", "stg_properties", "stg_owners", "stg_agents"]
+# The hash key each staged entity is bucketed by.
+STAGING_KEYS = {"stg_transactions": "transaction_hk", "stg_properties": "property_hk",
+                "stg_owners": "owner_hk", "stg_agents": "agent_hk"}
 MART_TABLES = ["mart_property_sales", "mart_agent_performance", "mart_suburb_trends",
                "mart_owner_portfolio"]
 
@@ -64,13 +67,17 @@ class Pipeline:
     sf_dir: str
     root: str | None = None
     threads: int = 8
+    buckets: int | None = None
     load_counts: dict = field(default_factory=dict)
     done: set = field(default_factory=set)
 
     def __post_init__(self):
         if self.root is None:
             self.root = new_run_dir(self.spark, "run")
-        self.store = LayerStore(self.spark, self.root)
+        if self.buckets is None:
+            # one bucket per shuffle partition: joins against the batch line up
+            self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.store = LayerStore(self.spark, self.root, self.buckets)
         self._sizes = None
 
     # -- helpers -----------------------------------------------------------------
@@ -133,31 +140,31 @@ class Pipeline:
             "stg_owners": staging.stg_owners(self.bronze("src_crm_owners", batch)),
             "stg_agents": staging.stg_agents(self.bronze("src_crm_agents", batch)),
         }
-        self._parallel([(lambda n=n, df=df: self.store.write_version(df, "silver", n, batch))
-                        for n, df in plans.items()])
+        self._parallel([(lambda n=n, df=df: self.store.write_bucketed(
+            df, "silver", n, STAGING_KEYS[n], batch)) for n, df in plans.items()])
 
     def staged(self, name: str, batch: int) -> DataFrame:
-        return self.store.read_version("silver", name, batch)
+        return self.store.read_batch("silver", name, batch)
 
     # -- gold --------------------------------------------------------------------
     def _load_hub(self, table: str, batch: int) -> None:
         stg, hk, bk = HUBS[table]
         target = self.store.read_appended("gold", table, batch - 1)
         rows = vault.load_hub(self.staged(stg, batch), hk, bk, target)
-        self.store.write_append(rows, "gold", table, batch)
+        self.store.write_bucketed(rows, "gold", table, hk, batch)
 
     def _load_link(self, table: str, batch: int) -> None:
         src, other = LINKS[table]
         target = self.store.read_appended("gold", table, batch - 1)
         rows = vault.load_link(self.staged("stg_transactions", batch), "transaction_hk",
                                src, other, target)
-        self.store.write_append(rows, "gold", table, batch)
+        self.store.write_bucketed(rows, "gold", table, "transaction_hk", batch)
 
     def _load_insert_only(self, table: str, batch: int) -> None:
         stg, hk, attrs = INSERT_ONLY_SATELLITES[table]
         target = self.store.read_appended("gold", table, batch - 1)
         rows = vault.load_insert_only_satellite(self.staged(stg, batch), hk, attrs, target)
-        self.store.write_append(rows, "gold", table, batch)
+        self.store.write_bucketed(rows, "gold", table, hk, batch)
 
     def _load_satellite(self, table: str, batch: int) -> None:
         stg, hk, attrs = SATELLITES[table]
@@ -167,7 +174,7 @@ class Pipeline:
             closed_prev=self.store.read_closed(table, batch - 1),
             materialize=self._materializer(f"{table}_changes", batch),
             force_full_closed=self.store.has_base(table, batch))
-        self.store.write_satellite(out.open, out.closed, table, batch, out.closed_is_full)
+        self.store.write_satellite(out.open, out.closed, table, hk, batch, out.closed_is_full)
 
     def load_vault(self, batch: int) -> None:
         jobs = ([lambda t=t: self._load_hub(t, batch) for t in HUBS]

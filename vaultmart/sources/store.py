@@ -1,26 +1,33 @@
-"""Layer tables as plain Parquet directories, one directory per batch.
-
-Layout under a run root (a folder in the cluster's shared directory)::
-
-    <layer>/<table>/batch=<n>/                 hubs, links, insert-only satellite:
-                                               rows appended by batch n
-    <layer>/<table>/batch=<n>/                 bronze, silver, mart: the whole
-                                               table as of batch n (overwrite)
-    gold/<sat>/batch=<n>/is_current=true/      satellite rows open after batch n
-    gold/<sat>/batch=<n>/is_current=false/     rows closed during batch n, or
-                                               (rare) the whole closed part when
-                                               batch n replaced a closed row with
-                                               the same key; then a marker
-    gold/<sat>/_base/batch=<n>/                says earlier closed rows are superseded
-
-A batch writes only its own directories and reads those of earlier batches,
-so a batch that fails can simply run again; ``_SUCCESS`` marks a finished
-write.  Reading ``<table>`` with partition discovery exposes ``batch`` as a
-column and ``batch <= n`` prunes directories at planning time.
+"""Layer tables of one pipeline run, stored under a folder in the shared directory.
+
+* bronze and mart tables are plain Parquet, one directory per batch
+  (``<layer>/<table>/batch=<n>``), each the whole table as of that batch;
+* silver and gold tables are catalog tables in a per-run database,
+  ``PARTITIONED BY (batch)`` and ``CLUSTERED BY (<hash key>) INTO <n>
+  BUCKETS``.  Every table of one grain shares the key and the bucket count,
+  so the daily anti joins, change detection, close-out windows and the
+  mart's transaction-grain joins read both sides already partitioned: only
+  the incoming batch is shuffled, never the accumulated history;
+* satellites are further partitioned by ``is_current``: the open rows after
+  batch ``n`` live in ``(batch=n, is_current=true)`` and the rows closed by
+  batch ``n`` in ``(batch=n, is_current=false)``.  Open rows are rewritten per
+  batch (O(current)), closed rows only appended (O(changes)).  In the rare
+  case a batch replaces a closed row that has the same ``(hk, load_date)``,
+  that batch's closed partition holds the whole closed part and a marker
+  ``<sat>/_base/batch=<n>`` says earlier closed partitions are superseded.
+
+Every write first drops the batch's own partitions, then ``INSERT INTO ...
+PARTITION (batch=<n>)`` (managed tables: dropping a partition deletes its
+files).  A batch only replaces its own partitions while it reads earlier
+ones, so a failed or repeated batch simply runs again.
 """
 
 from __future__ import annotations
 
+import hashlib
+import threading
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,29 +35,39 @@ from pyspark.sql import functions as F
 class LayerStore:
     """Read and write the layer tables of one pipeline run."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        self.db = "vaultmart_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
+        self._lock = threading.Lock()
+        # managed tables of this database live under the run's folder
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{self.root}/catalog'")
 
-    # -- paths ---------------------------------------------------------------
+    # -- paths and names -------------------------------------------------------
     def path(self, layer: str, table: str, part: str | None = None) -> str:
         base = f"{self.root}/{layer}/{table}"
         return f"{base}/{part}" if part else base
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(conf).exists(hpath))
+    def name(self, layer: str, table: str) -> str:
+        return f"{self.db}.{layer}_{table}"
 
-    def _batches(self, path: str) -> list[int]:
-        """Batches with a finished write under ``path`` (directory listing only)."""
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(conf)
+        return hpath.getFileSystem(conf), hpath
+
+    def _exists(self, path: str) -> bool:
+        fs, hpath = self._fs(path)
+        return bool(fs.exists(hpath))
+
+    def _marked_batches(self, path: str) -> list[int]:
+        """Batches with a finished write (``_SUCCESS``) under ``path``."""
+        fs, hpath = self._fs(path)
         if not fs.exists(hpath):
             return []
+        jvm = self.spark.sparkContext._jvm
         found = []
         for status in fs.listStatus(hpath):
             name = status.getPath().getName()
@@ -59,40 +76,80 @@ class LayerStore:
                 found.append(int(name.split("=", 1)[1]))
         return sorted(found)
 
-    # -- whole-table versions (bronze, silver, mart) ---------------------------
+    def batches(self, layer: str, table: str) -> list[int]:
+        """Batches present in a catalog table (metadata only)."""
+        fq = self.name(layer, table)
+        if not self.spark.catalog.tableExists(fq):
+            return []
+        rows = self.spark.sql(f"SHOW PARTITIONS {fq}").collect()
+        return sorted({int(p.split("/")[0].split("=", 1)[1]) for (p,) in rows})
+
+    # -- plain per-batch tables (bronze, mart) ----------------------------------
     def write_version(self, df: DataFrame, layer: str, table: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(self.path(layer, table, f"batch={batch}"))
 
     def read_version(self, layer: str, table: str, batch: int) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table, f"batch={batch}"))
 
-    # -- append-only tables (hubs, links, insert-only satellite) ---------------
-    def write_append(self, df: DataFrame, layer: str, table: str, batch: int) -> None:
-        self.write_version(df, layer, table, batch)
+    # -- bucketed catalog tables (silver, gold) ---------------------------------
+    def _ensure_table(self, df: DataFrame, layer: str, table: str, key: str,
+                      partitions: tuple[tuple[str, str], ...]) -> str:
+        fq = self.name(layer, table)
+        with self._lock:
+            if not self.spark.catalog.tableExists(fq):
+                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+                parts = ", ".join(f"`{n}` {t}" for n, t in partitions)
+                names = ", ".join(f"`{n}`" for n, _ in partitions)
+                self.spark.sql(
+                    f"CREATE TABLE {fq} ({cols}, {parts}) USING parquet "
+                    f"PARTITIONED BY ({names}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                    f"INTO {self.buckets} BUCKETS")
+        return fq
+
+    def _insert(self, df: DataFrame, fq: str, batch: int, extra_cols: list[str]) -> None:
+        view = f"vaultmart_batch_{uuid.uuid4().hex}"
+        df.createOrReplaceTempView(view)
+        try:
+            cols = ", ".join(f"`{c}`" for c in [*[c for c in df.columns if c not in extra_cols],
+                                                   *extra_cols])
+            spec = ", ".join([f"batch={batch}", *extra_cols])
+            self.spark.sql(f"ALTER TABLE {fq} DROP IF EXISTS PARTITION (batch={batch})")
+            self.spark.sql(f"INSERT INTO {fq} PARTITION ({spec}) SELECT {cols} FROM {view}")
+        finally:
+            self.spark.catalog.dropTempView(view)
+
+    def write_bucketed(self, df: DataFrame, layer: str, table: str, key: str, batch: int) -> None:
+        """Replace partition ``batch`` of a table bucketed by ``key``."""
+        fq = self._ensure_table(df, layer, table, key, (("batch", "int"),))
+        self._insert(df, fq, batch, [])
+
+    def read_batch(self, layer: str, table: str, batch: int) -> DataFrame:
+        """One batch of a bucketed table (e.g. a staged entity)."""
+        return (self.spark.table(self.name(layer, table))
+                .where(F.col("batch") == batch).drop("batch"))
 
     def read_appended(self, layer: str, table: str, batch: int) -> DataFrame | None:
         """All rows appended up to and including ``batch``; None before the first load."""
-        base = self.path(layer, table)
-        if not any(b <= batch for b in self._batches(base)):
+        if not any(b <= batch for b in self.batches(layer, table)):
             return None
-        return (self.spark.read.option("basePath", base).parquet(base)
+        return (self.spark.table(self.name(layer, table))
                 .where(F.col("batch") <= batch).drop("batch"))
 
-    # -- satellites with open and closed parts ---------------------------------
+    # -- satellites ---------------------------------------------------------------
     def read_open(self, table: str, batch: int) -> DataFrame | None:
-        path = self.path("gold", table, f"batch={batch}")
-        if not self._exists(f"{path}/_SUCCESS"):
+        if batch not in self.batches("gold", table):
             return None
-        return self.spark.read.parquet(f"{path}/is_current=true")
+        return (self.spark.table(self.name("gold", table))
+                .where((F.col("batch") == batch) & F.col("is_current"))
+                .drop("batch", "is_current"))
 
     def read_closed(self, table: str, batch: int) -> DataFrame | None:
         """Closed rows as of ``batch``: the latest full rewrite, then later deltas."""
-        bases = [b for b in self._batches(self.path("gold", table, "_base")) if b <= batch]
+        bases = [b for b in self._marked_batches(self.path("gold", table, "_base")) if b <= batch]
         start = bases[-1] if bases else 1
-        base = self.path("gold", table)
-        if not any(start <= b <= batch for b in self._batches(base)):
+        if not any(start <= b <= batch for b in self.batches("gold", table)):
             return None
-        return (self.spark.read.option("basePath", base).parquet(base)
+        return (self.spark.table(self.name("gold", table))
                 .where(F.col("batch").between(start, batch) & ~F.col("is_current"))
                 .drop("batch", "is_current"))
 
@@ -105,24 +162,16 @@ class LayerStore:
         return open_rows if closed is None else open_rows.unionByName(closed)
 
     def has_base(self, table: str, batch: int) -> bool:
-        return batch in self._batches(self.path("gold", table, "_base"))
-
-    def write_satellite(self, open_rows: DataFrame, closed: DataFrame, table: str, batch: int,
-                        closed_is_full: bool) -> None:
-        """One job: open rows and closed rows of the batch, split by ``is_current``.
+        return batch in self._marked_batches(self.path("gold", table, "_base"))
 
-        ``closed_is_full`` marks the closed part of this batch as a new base
-        (earlier closed deltas are then superseded).
-        """
+    def write_satellite(self, open_rows: DataFrame, closed: DataFrame, table: str, key: str,
+                        batch: int, closed_is_full: bool) -> None:
+        """One job: the batch's open and closed rows, split by ``is_current``."""
         rows = (open_rows.withColumn("is_current", F.lit(True))
                 .unionByName(closed.withColumn("is_current", F.lit(False))))
-        path = self.path("gold", table, f"batch={batch}")
-        rows.write.mode("overwrite").partitionBy("is_current").parquet(path)
-        for flag in ("true", "false"):
-            # an empty side still needs a readable directory
-            if not self._exists(f"{path}/is_current={flag}"):
-                (open_rows.limit(0).write.mode("overwrite")
-                 .parquet(f"{path}/is_current={flag}"))
-        marker = self.path("gold", table, f"_base/batch={batch}")
+        fq = self._ensure_table(open_rows, "gold", table, key,
+                                (("batch", "int"), ("is_current", "boolean")))
+        self._insert(rows, fq, batch, ["is_current"])
         if closed_is_full:
-            self.spark.range(0).write.mode("overwrite").parquet(marker)
+            self.spark.range(0).write.mode("overwrite").parquet(
+                self.path("gold", table, f"_base/batch={batch}"))
