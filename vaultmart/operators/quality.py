@@ -49,40 +49,61 @@ class Test:
     to_field: str | None = None
 
 
-def _row(t: Test, violations) -> DataFrame:
-    return violations.select(
-        F.lit(t.layer).alias("layer"), F.lit(t.table).alias("table_name"),
-        F.lit(t.column).alias("column_name"),
-        F.lit(t.kind if t.kind != "relationships" else f"relationships:{t.to_table}.{t.to_field}")
-        .alias("test"),
-        F.col("violations").cast("long").alias("violations"))
+def _label(t: Test) -> str:
+    return t.kind if t.kind != "relationships" else f"relationships:{t.to_table}.{t.to_field}"
+
+
+def unique_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Duplicated non-null values per column, all columns in one shuffle.
+
+    Columns are stacked as ``(column_name, value as text)`` pairs and grouped
+    once; text is injective for the key types tested (strings, integers,
+    dates, fixed-scale decimals).  Returns ``(column_name, violations)``,
+    one row per column, zeros included.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                for c in cols]))
+    dup = (df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
+           .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+    wide = dup.agg(*[F.count_if(F.col("c") == c).alias(c) for c in cols])
+    return wide.unpivot([], list(cols), "column_name", "violations")
+
+
+def not_null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Null rows per column in one scan: ``(column_name, violations)``."""
+    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    return wide.unpivot([], list(cols), "column_name", "violations")
 
 
 def run_tests(tests: Sequence[Test], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All test results as one DataFrame, one row per test, in declaration order."""
+    """All test results as one DataFrame ``(layer, table_name, column_name, test,
+    violations)``, one row per declared test, in declaration order."""
+    spark = next(iter(tables.values())).sparkSession
     frames = []
-    by_table: dict[str, list[tuple[int, Test]]] = {}
-    for i, t in enumerate(tests):
-        by_table.setdefault(t.table, []).append((i, t))
+    by_table: dict[str, list[Test]] = {}
+    for t in tests:
+        by_table.setdefault(t.table, []).append(t)
     for table, items in by_table.items():
         df = tables[table]
-        nn = [(i, t) for i, t in items if t.kind == "not_null"]
-        if nn:
-            # one scan for every not_null test of the table
-            agg = df.agg(*[F.count_if(F.col(t.column).isNull()).alias(f"_nn{i}") for i, t in nn])
-            for i, t in nn:
-                frames.append(_row(t, agg.select(F.col(f"_nn{i}").alias("violations")))
-                              .withColumn("_order", F.lit(i)))
-        for i, t in items:
-            if t.kind == "unique":
-                v = unique_violations(df, t.column).agg(F.count(F.lit(1)).alias("violations"))
-            elif t.kind == "relationships":
-                v = relationship_violations(df, t.column, tables[t.to_table], t.to_field).agg(
-                    F.count(F.lit(1)).alias("violations"))
-            else:
-                continue
-            frames.append(_row(t, v).withColumn("_order", F.lit(i)))
-    return reduce(DataFrame.unionByName, frames).orderBy("_order").drop("_order")
+        for kind, fn in (("not_null", not_null_counts), ("unique", unique_counts)):
+            cols = list(dict.fromkeys(t.column for t in items if t.kind == kind))
+            if cols:
+                frames.append(fn(df, cols).select(F.lit(table).alias("table_name"), "column_name",
+                                                  F.lit(kind).alias("test"), "violations"))
+        for t in items:
+            if t.kind == "relationships":
+                v = relationship_violations(df, t.column, tables[t.to_table], t.to_field)
+                frames.append(v.agg(F.count(F.lit(1)).alias("violations")).select(
+                    F.lit(table).alias("table_name"), F.lit(t.column).alias("column_name"),
+                    F.lit(_label(t)).alias("test"), "violations"))
+    results = reduce(DataFrame.unionByName, frames)
+    declared = spark.createDataFrame(
+        [(i, t.layer, t.table, t.column, _label(t)) for i, t in enumerate(tests)],
+        "_order int, layer string, table_name string, column_name string, test string")
+    return (declared.join(results, ["table_name", "column_name", "test"], "left")
+            .orderBy("_order")
+            .select("layer", "table_name", "column_name", "test",
+                    F.col("violations").cast("long").alias("violations")))
 
 
 def _nn_uq(layer: str, table: str, nn: Sequence[str], uq: Sequence[str]) -> list[Test]:

@@ -191,3 +191,9 @@ def history(satellite: DataFrame, hk: str, key_value: str | None = None) -> Data
         satellite = satellite.where(F.col(hk) == F.lit(key_value))
     w = Window.partitionBy(hk).orderBy(F.col(LOAD_DATE).asc(), F.col(HASHDIFF).asc())
     return satellite.withColumn("version", F.row_number().over(w))
+
+
+def latest_version(satellite: DataFrame, hk: str, key_value: str) -> DataFrame:
+    """The newest version of one key (``order by load_date desc limit 1``)."""
+    return (satellite.where(F.col(hk) == F.lit(key_value))
+            .orderBy(F.col(LOAD_DATE).desc(), F.col(HASHDIFF).asc()).limit(1))

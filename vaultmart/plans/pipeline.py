@@ -8,6 +8,8 @@ one batch only depend on staging, so they run as concurrent Spark jobs.
 
 from __future__ import annotations
 
+import math
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -59,6 +61,24 @@ MART_TABLES = ["mart_property_sales", "mart_agent_performance", "mart_suburb_tre
                "mart_owner_portfolio"]
 
 
+BUCKET_TARGET_BYTES = 64 * 1024 * 1024
+
+
+def default_buckets(spark: SparkSession, sf_dir: str) -> int:
+    """Bucket count for the vault: about 64 MiB of input per bucket, a power of
+    two, at least 8, at most ``spark.sql.shuffle.partitions``.
+
+    Every table of a grain shares it, so their joins line up; the incoming
+    batch is shuffled to the same count.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/orders.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+    want = max(8, 1 << max(0, math.ceil(math.log2(max(1, size / BUCKET_TARGET_BYTES)))))
+    return max(1, min(want, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 @dataclass
 class Pipeline:
     """The tables of one run, stored under ``root`` in the shared folder."""
@@ -75,8 +95,7 @@ class Pipeline:
         if self.root is None:
             self.root = new_run_dir(self.spark, "run")
         if self.buckets is None:
-            # one bucket per shuffle partition: joins against the batch line up
-            self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            self.buckets = default_buckets(self.spark, self.sf_dir)
         self.store = LayerStore(self.spark, self.root, self.buckets)
         self._sizes = None
 
@@ -121,13 +140,29 @@ class Pipeline:
 
         def job(name, df):
             def run():
-                obs = Observation(f"{name}_{batch}")
+                obs = Observation(f"{name}_{batch}_{uuid.uuid4().hex[:8]}")
                 self.store.write_version(df.observe(obs, F.count(F.lit(1)).alias("rows")),
                                          "bronze", name, batch)
                 self.load_counts[(name, batch)] = obs.get["rows"]
             return run
         self._parallel([job(n, df) for n, df in sources.items()])
 
+    def ingest_sources(self, batch: int, csv_path: str, jdbc_url: str,
+                       jdbc_properties: dict | None = None, loaded_at: str | None = None,
+                       owners_table: str = "src_crm.owners",
+                       agents_table: str = "src_crm.agents") -> None:
+        """Bronze from external sources (S7): the raw CSV feed, then the two CRM
+        tables over JDBC, each with the batch's audit instant."""
+        from vaultmart.sources import files, jdbc
+
+        stamp = F.lit(loaded_at or fixtures.BATCH_LOADED_AT.get(batch)).cast("timestamp_ntz")
+        raw = files.read_property_csv(self.spark, csv_path, with_loaded_at=False)
+        crm = {n: jdbc.read_table(self.spark, jdbc_url, t, properties=jdbc_properties)
+               for n, t in (("src_crm_owners", owners_table), ("src_crm_agents", agents_table))}
+        self.ingest(batch, inputs={
+            "property_raw": raw.withColumn("_loaded_at", stamp),
+            **{n: df.withColumn("_loaded_at", stamp) for n, df in crm.items()}})
+
     def bronze(self, name: str, batch: int) -> DataFrame:
         return self.store.read_version("bronze", name, batch)
 

@@ -8,6 +8,7 @@ in one bulk Spark write.  Connection settings are a plain dict.
 from __future__ import annotations
 
 import hashlib
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,15 @@ def connection_properties(url: str, user: str | None = None, password: str | Non
     return props
 
 
+def settings_from_env(prefix: str = "VAULTMART_JDBC_") -> tuple[str, dict[str, str]]:
+    """URL and connection properties from ``<prefix>URL``, ``USER``, ``PASSWORD``,
+    ``DRIVER`` (S4); missing optional ones are left out."""
+    url = os.environ[f"{prefix}URL"]
+    return url, connection_properties(url, os.environ.get(f"{prefix}USER"),
+                                      os.environ.get(f"{prefix}PASSWORD"),
+                                      os.environ.get(f"{prefix}DRIVER"))
+
+
 def write_table(df: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
     """Replace the table's rows (truncate + bulk insert; create if missing)."""
     props = properties or connection_properties(url)
