@@ -16,9 +16,8 @@
   that batch's closed partition holds the whole closed part and a marker
   ``<sat>/_base/batch=<n>`` says earlier closed partitions are superseded.
 
-Every write first drops the batch's own partitions, then ``INSERT INTO ...
-PARTITION (batch=<n>)`` (managed tables: dropping a partition deletes its
-files).  A batch only replaces its own partitions while it reads earlier
+Every write first drops the batch's own partitions (catalog entry and
+files), then ``INSERT INTO ... PARTITION (batch=<n>)``.  A batch only replaces its own partitions while it reads earlier
 ones, so a failed or repeated batch simply runs again.
 """
 
@@ -41,6 +40,7 @@ class LayerStore:
         self.buckets = buckets
         self.db = "vaultmart_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
         self._lock = threading.Lock()
+        self._locations: dict[str, str] = {}
         # managed tables of this database live under the run's folder
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{self.root}/catalog'")
 
@@ -106,6 +106,12 @@ class LayerStore:
                     f"INTO {self.buckets} BUCKETS")
         return fq
 
+    def _location(self, fq: str) -> str:
+        if fq not in self._locations:
+            rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {fq}").collect()
+            self._locations[fq] = next(r.data_type for r in rows if r.col_name == "Location")
+        return self._locations[fq]
+
     def _insert(self, df: DataFrame, fq: str, batch: int, extra_cols: list[str]) -> None:
         view = f"vaultmart_batch_{uuid.uuid4().hex}"
         df.createOrReplaceTempView(view)
@@ -114,6 +120,10 @@ class LayerStore:
                                                    *extra_cols])
             spec = ", ".join([f"batch={batch}", *extra_cols])
             self.spark.sql(f"ALTER TABLE {fq} DROP IF EXISTS PARTITION (batch={batch})")
+            # the catalog may keep the files of a dropped partition: remove our own
+            fs, hpath = self._fs(f"{self._location(fq)}/batch={batch}")
+            if fs.exists(hpath):
+                fs.delete(hpath, True)
             self.spark.sql(f"INSERT INTO {fq} PARTITION ({spec}) SELECT {cols} FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
@@ -143,10 +153,14 @@ class LayerStore:
                 .where((F.col("batch") == batch) & F.col("is_current"))
                 .drop("batch", "is_current"))
 
+    def _closed_start(self, table: str, batch: int) -> int:
+        """First batch whose closed partition is still live as of ``batch``."""
+        bases = [b for b in self._marked_batches(self.path("gold", table, "_base")) if b <= batch]
+        return bases[-1] if bases else 1
+
     def read_closed(self, table: str, batch: int) -> DataFrame | None:
         """Closed rows as of ``batch``: the latest full rewrite, then later deltas."""
-        bases = [b for b in self._marked_batches(self.path("gold", table, "_base")) if b <= batch]
-        start = bases[-1] if bases else 1
+        start = self._closed_start(table, batch)
         if not any(start <= b <= batch for b in self.batches("gold", table)):
             return None
         return (self.spark.table(self.name("gold", table))
@@ -154,12 +168,18 @@ class LayerStore:
                 .drop("batch", "is_current"))
 
     def read_satellite(self, table: str, batch: int) -> DataFrame | None:
-        """Whole history of a satellite as of ``batch`` (open and closed rows)."""
-        open_rows = self.read_open(table, batch)
-        closed = self.read_closed(table, batch)
-        if open_rows is None:
+        """Whole history of a satellite as of ``batch`` (open and closed rows).
+
+        One scan of the bucketed table with a partition filter, so a window or
+        join on the hash key over the history needs no shuffle.
+        """
+        if batch not in self.batches("gold", table):
             return None
-        return open_rows if closed is None else open_rows.unionByName(closed)
+        start = self._closed_start(table, batch)
+        live = (((F.col("batch") == batch) & F.col("is_current"))
+                | (F.col("batch").between(start, batch) & ~F.col("is_current")))
+        return (self.spark.table(self.name("gold", table)).where(live)
+                .drop("batch", "is_current"))
 
     def has_base(self, table: str, batch: int) -> bool:
         return batch in self._marked_batches(self.path("gold", table, "_base"))
