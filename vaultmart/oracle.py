@@ -426,7 +426,8 @@ def oracle_queries() -> dict[str, str]:
         "sat_property_as_of": build(f"SELECT * FROM sat_property_b3 WHERE load_date = {D1}",
                                     "sat_property_b3"),
         "sat_property_history": build(
-            "SELECT *, row_number() OVER (PARTITION BY property_hk ORDER BY load_date) AS version "
+            "SELECT *, CAST(row_number() OVER (PARTITION BY property_hk ORDER BY load_date) AS INTEGER) "
+            "AS version "
             "FROM sat_property_b3", "sat_property_b3"),
         "mart_property_sales": build("SELECT * FROM mart_sales_b3", "mart_sales_b3"),
         "mart_agent_performance": build("SELECT * FROM mart_agent_b3", "mart_agent_b3"),
