@@ -83,14 +83,37 @@ def _view(spark, n_tx=3000):
     return view, tx, lp, la
 
 
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
 def test_star_join_is_exact_under_skew(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    """A property and an agent with a third of all sales: AQE splits both joins."""
+    import contextlib
+    import io
+
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, val in SKEW_CONF.items():
+        spark.conf.set(k, val)
     try:
         view, tx, lp, la = _view(spark)
         sales = marts.mart_property_sales(view)
         got = {r.transaction_id: (r.agent_name, r.price_vs_listing_pct) for r in sales.collect()}
+        plan = io.StringIO()
+        with contextlib.redirect_stdout(plan):
+            sales.explain()
+        assert plan.getvalue().count("skew=true") >= 2
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for k, val in old.items():
+            if val is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, val)
     assert len(got) == len(tx)
     agent_of = {t: a for t, a, _, _ in la}
     for thk, tid, price, *_ in tx:

@@ -44,6 +44,20 @@ def spread_nulls(key: str, row_id: str) -> Column:
     return F.coalesce(F.col(key), F.concat(F.lit("~"), F.col(row_id)))
 
 
+def exchange_key(key: str) -> Column:
+    """The same hash key through an expression the planner cannot match to a
+    table's bucketing (md5 hex is already lower case, so values are equal).
+
+    A bucketed dimension would otherwise enter the join without an exchange,
+    and AQE only splits a skewed key when both join inputs are exchanges: this
+    keeps a property or agent that holds a large share of all sales from
+    landing in one task, at the price of shuffling the (one row per key)
+    dimension.  An explicit ``repartition`` would not do: AQE keeps
+    user-requested partitionings as they are and does not split them.
+    """
+    return F.lower(F.col(key))
+
+
 def mart_property_sales(v: VaultView) -> DataFrame:
     """M1: one row per transaction with its property and (optional) agent."""
     tx = v.hub_transaction.select("transaction_hk", "transaction_id").join(
@@ -60,11 +74,13 @@ def mart_property_sales(v: VaultView) -> DataFrame:
                                    "agency_name", F.col("region").alias("agent_region")),
         "agent_hk").withColumnRenamed("agent_hk", "_agent_key")
 
+    props = props.withColumn("_property_key", exchange_key("property_hk")).drop("property_hk")
+    agents = agents.withColumn("_agent_key", exchange_key("_agent_key"))
     sales = (tx.join(v.lnk_transaction_property.select("transaction_hk", "property_hk"),
                      "transaction_hk")
              .join(v.lnk_transaction_agent.select("transaction_hk", "agent_hk"),
-                   "transaction_hk", "left")
-             .join(props, "property_hk"))
+                   "transaction_hk", "left"))
+    sales = sales.join(props, sales.property_hk == props._property_key).drop("_property_key")
     sales = sales.withColumn("_agent_key", spread_nulls("agent_hk", "transaction_hk"))
     sales = sales.join(agents, "_agent_key", "left")
     return sales.select(
