@@ -167,16 +167,17 @@ class Pipeline:
         return self.store.read_version("bronze", name, batch)
 
     # -- silver ------------------------------------------------------------------
+    def _stage_one(self, name: str, batch: int) -> None:
+        plan = {
+            "stg_transactions": lambda: staging.stg_transactions(self.bronze("property_raw", batch)),
+            "stg_properties": lambda: staging.stg_properties(self.bronze("property_raw", batch)),
+            "stg_owners": lambda: staging.stg_owners(self.bronze("src_crm_owners", batch)),
+            "stg_agents": lambda: staging.stg_agents(self.bronze("src_crm_agents", batch)),
+        }[name]()
+        self.store.write_bucketed(plan, "silver", name, STAGING_KEYS[name], batch)
+
     def stage(self, batch: int) -> None:
-        raw = self.bronze("property_raw", batch)
-        plans = {
-            "stg_transactions": staging.stg_transactions(raw),
-            "stg_properties": staging.stg_properties(raw),
-            "stg_owners": staging.stg_owners(self.bronze("src_crm_owners", batch)),
-            "stg_agents": staging.stg_agents(self.bronze("src_crm_agents", batch)),
-        }
-        self._parallel([(lambda n=n, df=df: self.store.write_bucketed(
-            df, "silver", n, STAGING_KEYS[n], batch)) for n, df in plans.items()])
+        self._parallel([(lambda n=n: self._stage_one(n, batch)) for n in STAGING_TABLES])
 
     def staged(self, name: str, batch: int) -> DataFrame:
         return self.store.read_batch("silver", name, batch)
@@ -212,11 +213,7 @@ class Pipeline:
         self.store.write_satellite(out.open, out.closed, table, hk, batch, out.closed_is_full)
 
     def load_vault(self, batch: int) -> None:
-        jobs = ([lambda t=t: self._load_hub(t, batch) for t in HUBS]
-                + [lambda t=t: self._load_link(t, batch) for t in LINKS]
-                + [lambda t=t: self._load_insert_only(t, batch) for t in INSERT_ONLY_SATELLITES]
-                + [lambda t=t: self._load_satellite(t, batch) for t in SATELLITES])
-        self._parallel(jobs)
+        self._parallel([job for _, job in self._load_jobs(batch).values()])
 
     def hub(self, table: str, batch: int) -> DataFrame:
         return self.store.read_appended("gold", table, batch)
@@ -285,12 +282,44 @@ class Pipeline:
         return out
 
     # -- whole run -------------------------------------------------------------------
+    def _load_jobs(self, batch: int) -> dict[str, tuple[str, object]]:
+        """Vault loads of a batch with the staged entity each one reads."""
+        jobs = {t: (HUBS[t][0], lambda t=t: self._load_hub(t, batch)) for t in HUBS}
+        jobs.update({t: ("stg_transactions", lambda t=t: self._load_link(t, batch)) for t in LINKS})
+        jobs.update({t: (INSERT_ONLY_SATELLITES[t][0], lambda t=t: self._load_insert_only(t, batch))
+                     for t in INSERT_ONLY_SATELLITES})
+        jobs.update({t: (SATELLITES[t][0], lambda t=t: self._load_satellite(t, batch))
+                     for t in SATELLITES})
+        return jobs
+
     def run_batch(self, batch: int, with_marts: bool = True, feed: int | None = None,
                   inputs: dict[str, DataFrame] | None = None) -> None:
-        """Load one batch; ``feed``/``inputs`` as in :meth:`ingest`."""
-        self.ingest(batch, feed, inputs)
-        self.stage(batch)
-        self.load_vault(batch)
+        """Load one batch; ``feed``/``inputs`` as in :meth:`ingest`.
+
+        Layers keep their order per entity, but an entity does not wait for
+        the others: the CRM entities are staged and loaded while the wide
+        feed is still being written.
+        """
+        sources = inputs if inputs is not None else self.bronze_inputs(feed or batch)
+        stage_of = {"stg_transactions": "property_raw", "stg_properties": "property_raw",
+                    "stg_owners": "src_crm_owners", "stg_agents": "src_crm_agents"}
+        loads = self._load_jobs(batch)
+        with ThreadPoolExecutor(max_workers=len(sources) + len(stage_of) + len(loads)) as pool:
+            bronze = {n: pool.submit(self.ingest, batch, None, {n: df}) for n, df in sources.items()}
+
+            def stage_one(name):
+                bronze[stage_of[name]].result()
+                self._stage_one(name, batch)
+
+            staged = {n: pool.submit(stage_one, n) for n in stage_of}
+
+            def load_one(table):
+                stg, job = loads[table]
+                staged[stg].result()
+                job()
+
+            for f in [pool.submit(load_one, t) for t in loads]:
+                f.result()
         if with_marts:
             self.build_marts(batch)
         self.done.add(batch)
