@@ -64,7 +64,8 @@ def test_ingest_from_csv_and_jdbc_sources(spark, run):
     jdbc.write_table(fixtures.crm_owners(spark, run.sf_dir, 1), url, "OWNERS")
     jdbc.write_table(fixtures.crm_agents(spark, run.sf_dir, 1), url, "AGENTS")
     p = Pipeline(spark, run.sf_dir, root=f"{run.root}/ext/run")
-    p.ingest_sources(1, csv_path, url, owners_table="OWNERS", agents_table="AGENTS")
+    p.ingest_sources(1, csv_path, url, owners_table="OWNERS", agents_table="AGENTS",
+                     loaded_at="2024-01-01 00:00:00")
     assert p.load_counts[("property_raw", 1)] == raw.count()
     p.stage(1)
     p.load_vault(1)

@@ -179,7 +179,7 @@ def as_of(satellite: DataFrame, hk: str, instant: str) -> DataFrame:
     t = F.lit(instant).cast("timestamp_ntz")
     valid = satellite.where((F.col(LOAD_DATE) <= t)
                             & (F.col(LOAD_END_DATE).isNull() | (t < F.col(LOAD_END_DATE))))
-    return first_per_key(valid, [hk], [F.col(LOAD_DATE).desc(), F.col(HASHDIFF).asc()])
+    return first_per_key(valid, [hk], [F.col(LOAD_DATE).desc_nulls_last(), F.col(HASHDIFF).asc()])
 
 
 def history(satellite: DataFrame, hk: str, key_value: str | None = None) -> DataFrame:
@@ -189,11 +189,11 @@ def history(satellite: DataFrame, hk: str, key_value: str | None = None) -> Data
     """
     if key_value is not None:
         satellite = satellite.where(F.col(hk) == F.lit(key_value))
-    w = Window.partitionBy(hk).orderBy(F.col(LOAD_DATE).asc(), F.col(HASHDIFF).asc())
+    w = Window.partitionBy(hk).orderBy(F.col(LOAD_DATE).asc_nulls_last(), F.col(HASHDIFF).asc())
     return satellite.withColumn("version", F.row_number().over(w))
 
 
 def latest_version(satellite: DataFrame, hk: str, key_value: str) -> DataFrame:
     """The newest version of one key (``order by load_date desc limit 1``)."""
     return (satellite.where(F.col(hk) == F.lit(key_value))
-            .orderBy(F.col(LOAD_DATE).desc(), F.col(HASHDIFF).asc()).limit(1))
+            .orderBy(F.col(LOAD_DATE).desc_nulls_first(), F.col(HASHDIFF).asc()).limit(1))

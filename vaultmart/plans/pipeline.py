@@ -155,7 +155,8 @@ class Pipeline:
         tables over JDBC, each with the batch's audit instant."""
         from vaultmart.sources import files, jdbc
 
-        stamp = F.lit(loaded_at or fixtures.BATCH_LOADED_AT.get(batch)).cast("timestamp_ntz")
+        # a fixed instant makes a rerun exact; by default the time of the load
+        stamp = (F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp())
         raw = files.read_property_csv(self.spark, csv_path, with_loaded_at=False)
         crm = {n: jdbc.read_table(self.spark, jdbc_url, t, properties=jdbc_properties)
                for n, t in (("src_crm_owners", owners_table), ("src_crm_agents", agents_table))}
