@@ -97,6 +97,18 @@ class Pipeline:
         if self.buckets is None:
             self.buckets = default_buckets(self.spark, self.sf_dir)
         self.store = LayerStore(self.spark, self.root, self.buckets)
+        self.buckets = self.store.buckets
+        # tables of an earlier application on the same run folder
+        for name, key in STAGING_KEYS.items():
+            self.store.attach("silver", name, key)
+        for table, (_, hk, _) in HUBS.items():
+            self.store.attach("gold", table, hk)
+        for table in LINKS:
+            self.store.attach("gold", table, "transaction_hk")
+        for table, (_, hk, _) in INSERT_ONLY_SATELLITES.items():
+            self.store.attach("gold", table, hk)
+        for table, (_, hk, _) in SATELLITES.items():
+            self.store.attach("gold", table, hk, satellite=True)
         self._sizes = None
 
     # -- helpers -----------------------------------------------------------------

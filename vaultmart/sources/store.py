@@ -17,7 +17,7 @@
   ``<sat>/_base/batch=<n>`` says earlier closed partitions are superseded.
 
 Every write first drops the batch's own partitions (catalog entry and
-files), then ``INSERT INTO ... PARTITION (batch=<n>)``.  A batch only replaces its own partitions while it reads earlier
+files; the tables are external), then ``INSERT INTO ... PARTITION (batch=<n>)``.  A batch only replaces its own partitions while it reads earlier
 ones, so a failed or repeated batch simply runs again.
 """
 
@@ -32,17 +32,27 @@ from pyspark.sql import functions as F
 
 
 class LayerStore:
-    """Read and write the layer tables of one pipeline run."""
+    """Read and write the layer tables of one pipeline run.
+
+    Tables are external: their files stay under the run folder, and a later
+    Spark application (the next day's job) re-attaches them with
+    :meth:`attach`, so the run survives the session that started it.  The
+    bucket count is fixed at the first write and kept with the run.
+    """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
         self.db = "vaultmart_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
         self._lock = threading.Lock()
         self._locations: dict[str, str] = {}
-        # managed tables of this database live under the run's folder
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{self.root}/catalog'")
+        meta = f"{self.root}/_store"
+        if self._exists(f"{meta}/_SUCCESS"):
+            self.buckets = int(spark.read.parquet(meta).first()["buckets"])
+        else:
+            self.buckets = buckets
+            spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(meta)
 
     # -- paths and names -------------------------------------------------------
     def path(self, layer: str, table: str, part: str | None = None) -> str:
@@ -92,20 +102,38 @@ class LayerStore:
         return self.spark.read.parquet(self.path(layer, table, f"batch={batch}"))
 
     # -- bucketed catalog tables (silver, gold) ---------------------------------
+    def _create(self, fq: str, fields, layer: str, table: str, key: str,
+                partitions: tuple[tuple[str, str], ...]) -> None:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        parts = ", ".join(f"`{n}` {t}" for n, t in partitions)
+        names = ", ".join(f"`{n}`" for n, _ in partitions)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {fq} ({cols}, {parts}) USING parquet "
+            f"PARTITIONED BY ({names}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+            f"INTO {self.buckets} BUCKETS LOCATION '{self.path(layer, table)}'")
+
     def _ensure_table(self, df: DataFrame, layer: str, table: str, key: str,
                       partitions: tuple[tuple[str, str], ...]) -> str:
         fq = self.name(layer, table)
         with self._lock:
             if not self.spark.catalog.tableExists(fq):
-                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-                parts = ", ".join(f"`{n}` {t}" for n, t in partitions)
-                names = ", ".join(f"`{n}`" for n, _ in partitions)
-                self.spark.sql(
-                    f"CREATE TABLE {fq} ({cols}, {parts}) USING parquet "
-                    f"PARTITIONED BY ({names}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
-                    f"INTO {self.buckets} BUCKETS")
+                self._create(fq, df.schema.fields, layer, table, key, partitions)
         return fq
 
+    def attach(self, layer: str, table: str, key: str, satellite: bool = False) -> None:
+        """Register a table written by an earlier application, with its partitions."""
+        fq = self.name(layer, table)
+        path = self.path(layer, table)
+        with self._lock:
+            if self.spark.catalog.tableExists(fq) or not self._exists(path):
+                return
+            partitions = (("batch", "int"), ("is_current", "boolean")) if satellite \
+                else (("batch", "int"),)
+            names = {n for n, _ in partitions}
+            fields = [f for f in self.spark.read.parquet(path).schema.fields if f.name not in names]
+            self._create(fq, fields, layer, table, key, partitions)
+            self.spark.sql(f"ALTER TABLE {fq} RECOVER PARTITIONS")
+
     def _location(self, fq: str) -> str:
         if fq not in self._locations:
             rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {fq}").collect()
