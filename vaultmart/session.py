@@ -43,13 +43,16 @@ def get_session(master: str | None = None, app_name: str = "vaultmart",
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we pick our own and
-    register it as the checkpoint folder, so later reads agree.
+    Only a local-mode session without one (tests) gets a folder of our own,
+    registered as its checkpoint folder so later reads agree; on a cluster a
+    machine-local folder would be wrong, so a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="vaultmart-ckpt-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
