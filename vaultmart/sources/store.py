@@ -156,10 +156,20 @@ class LayerStore:
         finally:
             self.spark.catalog.dropTempView(view)
 
+    def _by_bucket(self, df: DataFrame, key: str) -> DataFrame:
+        """One task per bucket, so a batch writes one file per bucket.
+
+        Without it every input task writes a file for every bucket (tasks x
+        buckets files).  Spark's hash partitioning equals the bucket hash, and
+        the planner drops this exchange when the input is already partitioned
+        that way (a bucketed read, or a join or window on the key).
+        """
+        return df.repartition(self.buckets, key)
+
     def write_bucketed(self, df: DataFrame, layer: str, table: str, key: str, batch: int) -> None:
         """Replace partition ``batch`` of a table bucketed by ``key``."""
         fq = self._ensure_table(df, layer, table, key, (("batch", "int"),))
-        self._insert(df, fq, batch, [])
+        self._insert(self._by_bucket(df, key), fq, batch, [])
 
     def read_batch(self, layer: str, table: str, batch: int) -> DataFrame:
         """One batch of a bucketed table (e.g. a staged entity)."""
@@ -219,7 +229,7 @@ class LayerStore:
                 .unionByName(closed.withColumn("is_current", F.lit(False))))
         fq = self._ensure_table(open_rows, "gold", table, key,
                                 (("batch", "int"), ("is_current", "boolean")))
-        self._insert(rows, fq, batch, ["is_current"])
+        self._insert(self._by_bucket(rows, key), fq, batch, ["is_current"])
         if closed_is_full:
             self.spark.range(0).write.mode("overwrite").parquet(
                 self.path("gold", table, f"_base/batch={batch}"))
