@@ -164,3 +164,13 @@ def test_a_later_application_continues_the_run(spark, run):
         b = Counter(tuple(r) for r in run.satellite(t, 3).collect())
         assert a == b, t
     assert second.hub("hub_property", 3).count() == run.hub("hub_property", 3).count()
+
+
+def test_load_report_counts_new_keys_and_duplicates(run):
+    orders = run.spark.read.parquet(f"{run.sf_dir}/orders.parquet")
+    late_keys = orders.where(F.col("o_orderkey") % 10 == 9).count()
+    rep = run.load_report[("hub_transaction", 2)]
+    assert rep["written"] == late_keys and rep["duplicates"] == 0
+    assert rep["staged"] == orders.count()
+    assert run.load_report[("lnk_transaction_agent", 1)]["written"] == orders.count() - late_keys
+    assert run.load_report[("sat_property_details", 1)]["changed"] == run.hub("hub_property", 1).count()

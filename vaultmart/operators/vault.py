@@ -18,7 +18,7 @@ md5 hash keys, so hash partitioning on them is uniform.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -36,29 +36,56 @@ def _null_end() -> F.Column:
     return F.lit(None).cast("timestamp_ntz").alias(LOAD_END_DATE)
 
 
+@dataclass
+class LoadReport:
+    """Row counts of one load, observed in the pass that writes it.
+
+    ``staged`` rows in, ``unique`` after the in-batch deduplication (their
+    difference is the duplicates dropped), ``written`` rows appended.
+    """
+
+    staged: Observation = field(default_factory=Observation)
+    unique: Observation = field(default_factory=Observation)
+    written: Observation = field(default_factory=Observation)
+
+    def values(self) -> dict[str, int]:
+        """Read after the write has run (blocks until then)."""
+        out = {k: int(getattr(self, k).get["rows"]) for k in ("staged", "unique", "written")}
+        out["duplicates"] = out["staged"] - out["unique"]
+        return out
+
+
+def _counted(df: DataFrame, obs: Observation | None) -> DataFrame:
+    return df if obs is None else df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+
 def load_hub(staged: DataFrame, hk: str, business_key: str,
-             target: DataFrame | None = None) -> DataFrame:
+             target: DataFrame | None = None, report: LoadReport | None = None) -> DataFrame:
     """Hub rows to append: one per hash key not yet in ``target`` (V3)."""
-    src = staged.select(hk, business_key, LOAD_DATE, RECORD_SOURCE)
+    src = _counted(staged.select(hk, business_key, LOAD_DATE, RECORD_SOURCE),
+                   report and report.staged)
     src = first_per_key(src, [hk], [F.col(LOAD_DATE).asc_nulls_last(),
                                     F.col(business_key).asc(), F.col(RECORD_SOURCE).asc()])
+    src = _counted(src, report and report.unique)
     if target is not None:
         src = src.join(target.select(hk), hk, "left_anti")
-    return src
+    return _counted(src, report and report.written)
 
 
 def load_link(staged: DataFrame, driving_hk: str, other_source: str, other_hk: str,
-              target: DataFrame | None = None) -> DataFrame:
+              target: DataFrame | None = None, report: LoadReport | None = None) -> DataFrame:
     """Link rows to append, keyed by the driving (transaction) key (V4).
 
     A later change of the other key is ignored: the first pairing stays.
     """
-    src = staged.select(driving_hk, F.col(other_source).alias(other_hk), LOAD_DATE, RECORD_SOURCE)
+    src = _counted(staged.select(driving_hk, F.col(other_source).alias(other_hk), LOAD_DATE,
+                                 RECORD_SOURCE), report and report.staged)
     src = first_per_key(src, [driving_hk], [F.col(LOAD_DATE).asc_nulls_last(),
                                             F.col(other_hk).asc_nulls_last()])
+    src = _counted(src, report and report.unique)
     if target is not None:
         src = src.join(target.select(driving_hk), driving_hk, "left_anti")
-    return src
+    return _counted(src, report and report.written)
 
 
 def satellite_columns(hk: str, attrs: Sequence[str]) -> list[str]:
@@ -66,13 +93,16 @@ def satellite_columns(hk: str, attrs: Sequence[str]) -> list[str]:
 
 
 def load_insert_only_satellite(staged: DataFrame, hk: str, attrs: Sequence[str],
-                               target: DataFrame | None = None) -> DataFrame:
+                               target: DataFrame | None = None,
+                               report: LoadReport | None = None) -> DataFrame:
     """Insert-only satellite (V8): by key only; hashdiff kept, never compared."""
-    src = staged.select(hk, *attrs, HASHDIFF, LOAD_DATE, _null_end(), RECORD_SOURCE)
+    src = _counted(staged.select(hk, *attrs, HASHDIFF, LOAD_DATE, _null_end(), RECORD_SOURCE),
+                   report and report.staged)
     src = first_per_key(src, [hk], [F.col(LOAD_DATE).asc_nulls_last(), F.col(HASHDIFF).asc()])
+    src = _counted(src, report and report.unique)
     if target is not None:
         src = src.join(target.select(hk), hk, "left_anti")
-    return src
+    return _counted(src, report and report.written)
 
 
 def changed_rows(staged: DataFrame, hk: str, open_rows: DataFrame | None) -> DataFrame:

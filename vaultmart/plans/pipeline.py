@@ -89,6 +89,7 @@ class Pipeline:
     threads: int = 8
     buckets: int | None = None
     load_counts: dict = field(default_factory=dict)
+    load_report: dict = field(default_factory=dict)
     done: set = field(default_factory=set)
 
     def __post_init__(self):
@@ -199,21 +200,27 @@ class Pipeline:
     def _load_hub(self, table: str, batch: int) -> None:
         stg, hk, bk = HUBS[table]
         target = self.store.read_appended("gold", table, batch - 1)
-        rows = vault.load_hub(self.staged(stg, batch), hk, bk, target)
+        report = vault.LoadReport()
+        rows = vault.load_hub(self.staged(stg, batch), hk, bk, target, report)
         self.store.write_bucketed(rows, "gold", table, hk, batch)
+        self.load_report[(table, batch)] = report.values()
 
     def _load_link(self, table: str, batch: int) -> None:
         src, other = LINKS[table]
         target = self.store.read_appended("gold", table, batch - 1)
+        report = vault.LoadReport()
         rows = vault.load_link(self.staged("stg_transactions", batch), "transaction_hk",
-                               src, other, target)
+                               src, other, target, report)
         self.store.write_bucketed(rows, "gold", table, "transaction_hk", batch)
+        self.load_report[(table, batch)] = report.values()
 
     def _load_insert_only(self, table: str, batch: int) -> None:
         stg, hk, attrs = INSERT_ONLY_SATELLITES[table]
         target = self.store.read_appended("gold", table, batch - 1)
-        rows = vault.load_insert_only_satellite(self.staged(stg, batch), hk, attrs, target)
+        report = vault.LoadReport()
+        rows = vault.load_insert_only_satellite(self.staged(stg, batch), hk, attrs, target, report)
         self.store.write_bucketed(rows, "gold", table, hk, batch)
+        self.load_report[(table, batch)] = report.values()
 
     def _load_satellite(self, table: str, batch: int) -> None:
         stg, hk, attrs = SATELLITES[table]
@@ -224,6 +231,8 @@ class Pipeline:
             materialize=self._materializer(f"{table}_changes", batch),
             force_full_closed=self.store.has_base(table, batch))
         self.store.write_satellite(out.open, out.closed, table, hk, batch, out.closed_is_full)
+        self.load_report[(table, batch)] = {"changed": out.n_changed,
+                                            "closed_rewrite": out.closed_is_full}
 
     def load_vault(self, batch: int) -> None:
         self._parallel([job for _, job in self._load_jobs(batch).values()])
