@@ -74,3 +74,11 @@ def test_ingest_from_csv_and_jdbc_sources(spark, run):
     ours = p.satellite("sat_owner_details", 1).drop("load_end_date")
     theirs = run.satellite("sat_owner_details", 1).drop("load_end_date")
     assert ours.exceptAll(theirs).count() == 0
+
+
+def test_command_line_runs_a_day_and_gates_on_quality(spark, run, capsys):
+    from vaultmart.__main__ import main
+
+    rc = main(["--sf-dir", run.sf_dir, "--root", f"{run.root}/cli", "--batches", "1", "--quality"])
+    out = capsys.readouterr().out
+    assert rc == 0 and '"hub_transaction@1"' in out and "FAIL" not in out
