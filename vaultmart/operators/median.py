@@ -45,10 +45,18 @@ def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
     are all null are absent.  ``materialize`` pins the chunk numbering
     (default: reliable ``checkpoint()``), so both branches see one partitioning.
     """
+    counts = (df.where(F.col(value_col).isNotNull())
+              .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c")))
+    return median_from_counts(counts, group_cols, value_col, "_c", out_col, materialize)
+
+
+def median_from_counts(counts: DataFrame, group_cols: Sequence[str], value_col: str,
+                       count_col: str, out_col: str = "median",
+                       materialize: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The same median from rows ``(group..., value, count)`` with non-null values."""
     g = list(group_cols)
     v = value_col
-    counts = (df.where(F.col(v).isNotNull())
-              .groupBy(*g, v).agg(F.count(F.lit(1)).alias("_c")))
+    counts = counts.select(*g, v, F.col(count_col).alias("_c"))
     ranged = (counts.repartitionByRange(*[F.col(c).asc_nulls_first() for c in g], F.col(v).asc())
               .withColumn("_p", F.spark_partition_id()))
     ranged = (materialize or (lambda d: d.checkpoint()))(ranged)

@@ -14,8 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultmart.functions.numeric import avg_rounded, pct_change_rounded
-from vaultmart.operators.median import exact_median
+from vaultmart.functions.numeric import avg_rounded, div_round_half_away, pct_change_rounded
+from vaultmart.operators.median import exact_median, median_from_counts
 
 
 @dataclass
@@ -124,15 +124,35 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 
 
 def mart_suburb_trends(sales: DataFrame, materialize=None) -> DataFrame:
-    """M3: per suburb, state and month; the median is exact and distributed."""
-    keyed = sales.select("suburb", "state", sale_month().alias("sale_month"),
-                         "sale_price", "days_on_market")
+    """M3: per suburb, state and month.
+
+    One scan of the sales mart: rows collapse map-side to one per ``(group,
+    price)`` with their count and days-on-market sum; the counts, the exact
+    averages (whole-number half-away rounding) and the exact distributed
+    median all come from that pre-aggregate, written once to the run folder.
+    """
     keys = ["suburb", "state", "sale_month"]
-    agg = keyed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        avg_rounded("sale_price", 0).alias("avg_sale_price"),
-        avg_rounded("days_on_market", 1).alias("avg_days_on_market"))
-    med = median_rounded(keyed, keys, "sale_price", "median_sale_price", 0, materialize)
+    per_price = (sales.select("suburb", "state", sale_month().alias("sale_month"),
+                              "sale_price", "days_on_market")
+                 .groupBy(*keys, "sale_price")
+                 .agg(F.count(F.lit(1)).alias("_c"), F.sum("days_on_market").alias("_dom"),
+                      F.count("days_on_market").alias("_ndom")))
+    per_price = (materialize or (lambda d: d.checkpoint()))(per_price)
+    cents = (F.col("sale_price") * 100).cast("long") * F.col("_c")
+    agg = per_price.groupBy(*keys).agg(
+        F.sum("_c").alias("transaction_count"),
+        F.sum(F.when(F.col("sale_price").isNotNull(), cents)).alias("_cents"),
+        F.sum(F.when(F.col("sale_price").isNotNull(), F.col("_c"))).alias("_nprice"),
+        F.sum("_dom").alias("_dom"), F.sum("_ndom").alias("_ndom"))
+    avg_price = div_round_half_away(F.col("_cents"), F.col("_nprice") * 100)
+    avg_dom = div_round_half_away(F.col("_dom") * 10, F.col("_ndom"))
+    agg = agg.select(*keys, "transaction_count",
+                     avg_price.cast("decimal(18,0)").alias("avg_sale_price"),
+                     (avg_dom.cast("decimal(20,0)") / F.lit(10)).cast("decimal(18,1)")
+                     .alias("avg_days_on_market"))
+    med = median_from_counts(per_price.where(F.col("sale_price").isNotNull()), keys, "sale_price",
+                             "_c", "_median", materialize)
+    med = med.select(*keys, F.round("_median", 0).cast("decimal(18,0)").alias("median_sale_price"))
     joined = agg.join(med, _null_safe_on(agg, med, keys), "left")
     return joined.select(*[agg[c] for c in keys], "transaction_count", "avg_sale_price",
                          "median_sale_price", "avg_days_on_market")

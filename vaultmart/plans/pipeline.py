@@ -126,6 +126,11 @@ class Pipeline:
             return self.spark.read.parquet(path)
         return write_and_read
 
+    def _materializer_seq(self, name: str, batch: int):
+        """A materializer that writes each call to its own folder."""
+        calls = iter(range(1_000_000))
+        return lambda df: self._materializer(f"{name}_{next(calls)}", batch)(df)
+
     def _parallel(self, jobs):
         with ThreadPoolExecutor(max_workers=self.threads) as pool:
             for f in [pool.submit(j) for j in jobs]:
@@ -274,7 +279,7 @@ class Pipeline:
             lambda: self.store.write_version(marts.mart_agent_performance(sales), "mart",
                                              "mart_agent_performance", batch),
             lambda: self.store.write_version(
-                marts.mart_suburb_trends(sales, self._materializer("median_suburb_month", batch)),
+                marts.mart_suburb_trends(sales, self._materializer_seq("suburb_month", batch)),
                 "mart", "mart_suburb_trends", batch),
         ])
 
