@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vaultmart.llm import quality_rules
+from vaultmart.llm import bpe, quality_rules
 from vaultmart.llm.common import read_documents
 
 
@@ -15,6 +16,26 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(docs, keep=["doc_id", "lang", "source"])
 
 
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
+    """Ids and decoded bytes of every text, as digests."""
+    path = ranks_path or tokenizer_path(BPE_RANKS)
+    docs = read_documents(spark, sf_dir).select("doc_id", bpe.encode(F.col("text"), path).alias("e"))
+    back = docs.select("doc_id", "e.ids", bpe.decode(F.col("e.ids"), path).alias("bytes"))
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_byte_bpe": op4_byte_bpe,
 }
