@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm import bpe, quality_rules
+from vaultmart.llm import bpe, quality_rules, sharding, token_file
 from vaultmart.llm.common import read_documents
 
 
@@ -35,7 +35,23 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None
         F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))
 
 
+WORD_BPE = "word_bpe_49k.json"
+
+
+def op7_token_file(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    """Ids written in directly addressable codes, read back, as start, count and checksum."""
+    path = model_path or tokenizer_path(WORD_BPE)
+    back = token_file.round_trip(read_documents(spark, sf_dir), path, end_id=1)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(read_documents(spark, sf_dir), shards=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_token_file": op7_token_file,
+    "op9_sharding": op9_sharding,
 }
