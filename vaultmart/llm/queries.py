@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm import bpe, quality_rules, sharding, token_file
+from vaultmart.llm import bpe, quality_rules, sharding, simhash, token_file
 from vaultmart.llm.common import read_documents
 
 
@@ -45,6 +45,10 @@ def op7_token_file(spark: SparkSession, sf_dir: str, model_path: str | None = No
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_documents(spark, sf_dir), shingle=3, radius=3)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_documents(spark, sf_dir), shards=8)
 
@@ -53,5 +57,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_token_file": op7_token_file,
+    "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
 }
