@@ -23,14 +23,14 @@ def words(column):
     return F.array_remove(F.split(F.coalesce(column, F.lit("")), SPACE), "")
 
 
-def write_table(df: DataFrame, label: str) -> DataFrame:
+def write_table(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write `df` to a fresh folder under the cluster's shared folder and read it back.
 
     Cuts lineage: a lost executor later costs a file read, not the work behind the table.
     """
     spark = df.sparkSession
     path = new_run_dir(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -40,3 +40,10 @@ def free_name(taken, base: str) -> str:
     while base.lower() in lower:
         base = "_" + base
     return base
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Documents are large rows: hand at most `rows` of them to Python at a time in this session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)

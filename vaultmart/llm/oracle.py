@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from vaultmart.llm import line_dedup
 from vaultmart.llm import quality_rules as q
 
 
@@ -72,6 +73,36 @@ from counts c left join fences f on c.lang is not distinct from f.lang and c.sou
 """
 
 
+def line_dedup_sql(documents: str = "documents") -> str:
+    """Lines by their words; variants are the word lists themselves, so nothing here is hashed."""
+    return f"""
+with line as (
+  select doc_id, no, ls[no] line, regexp_extract_all(ls[no], '[^\\x20\\x09-\\x0D]+') w
+  from (select doc_id, string_split(text, chr(10)) ls, unnest(range(1, len(string_split(text, chr(10))) + 1)) no
+        from {documents} where text is not null)
+), first_ as (
+  select w, len(w) n, arg_min(line, (doc_id, no)) line, min((doc_id, no)) place from line where len(w) > 0 group by w
+), cut as (
+  select w, n, place, i, w[:i - 1] || w[i + 1:] v
+  from (select *, unnest(range(1, n + 1)) i from first_ where n >= {line_dedup.MIN_WORDS})
+), gone as (
+  select a.w from cut a join cut b on a.n = b.n and a.i = b.i and a.v = b.v where b.place < a.place
+  union select a.w from cut a join first_ b on a.v = b.w and b.n >= {line_dedup.MIN_WORDS} where b.place < a.place
+  union select b.w from cut a join first_ b on a.v = b.w and b.n >= {line_dedup.MIN_WORDS} where a.place < b.place
+), kept as (
+  select place[1] doc_id, place[2] no, line from first_ where w not in (select w from gone)
+  union all select doc_id, no, line from line where len(w) = 0
+), text_ as (
+  select doc_id, string_agg(line, chr(10) order by no) text, count(*) n_kept from kept group by doc_id
+)
+select d.doc_id, case when d.text is not null then coalesce(t.text, '') end as text,
+       cast(case when d.text is null then 0 else len(string_split(d.text, chr(10))) end as bigint) n_lines,
+       cast(coalesce(n_kept, 0) as bigint) n_kept
+from {documents} d left join text_ t using (doc_id)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": quality_sql(),
+    "op5_line_dedup": line_dedup_sql(),
 }

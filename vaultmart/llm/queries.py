@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm import bpe, quality_rules, sharding, simhash, token_file
+from vaultmart.llm import bpe, decontaminate, line_dedup, quality_rules, sharding, simhash, token_file
 from vaultmart.llm.common import read_documents
 
 
@@ -38,6 +38,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
 def op7_token_file(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     """Ids written in directly addressable codes, read back, as start, count and checksum."""
     path = model_path or tokenizer_path(WORD_BPE)
@@ -53,10 +58,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_documents(spark, sf_dir), shards=8)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_line_dedup": op5_line_dedup,
     "op7_token_file": op7_token_file,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
+    "op10_decontamination": op10_decontamination,
 }

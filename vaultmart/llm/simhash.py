@@ -29,10 +29,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm.common import free_name, write_table
+from vaultmart.llm.common import free_name, small_batches, write_table
 from vaultmart.llm.components import connected_components
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
@@ -64,6 +64,8 @@ def text_fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprint(text_col, shingle: int = SHINGLE):
     """String column of 16 lowercase hex digits."""
+    small_batches(SparkSession.active())
+
     @F.arrow_udf("string")
     def run(texts: pa.Array) -> pa.Array:
         out = []
