@@ -47,3 +47,24 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, rows)
+
+
+class RecentCache:
+    """A bounded cache of two generations: what is not asked for during a whole one goes."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, keys) -> list:
+        """The distinct `keys` that must be made and put into `young`; the others are there afterwards."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old, out = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                known = old.get(k)
+                if known is None:
+                    out.append(k)
+                else:
+                    young[k] = known
+        return out

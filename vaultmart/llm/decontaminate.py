@@ -9,10 +9,11 @@ The item's threshold is 1 less its heaviest words, as many as a leak that passes
 lack: no verifiable leak scores below it.  Weights are then divided by the threshold, so that
 retrieval is "all items that score 1 or more" for every item alike.
 
-Search.  A first bound, the passage's words at their largest weight anywhere, is taken for all passages
-of a text at once; the others run block-max WAND: postings in blocks of POSTING_BLOCK with the largest
-weight of each, cursors in order of their item, the pivot by list maxima, a jump past the block when
-the block maxima cannot reach the threshold, and full scoring otherwise.
+Search.  Items are in blocks of ITEM_BLOCK, sorted by length.  Each term keeps its largest weight in each
+block; the sums of these block maxima over the distinct words of a passage are taken for all
+passages of a text at once, and a block that cannot reach 1 is skipped.  In the blocks left, cursors over the
+words' postings run WAND: in order of their item, pivot by the lists' maxima, skip to the
+pivot's item, score it fully when all cursors before it stand there.
 
 Verification.  At least OVERLAP of the item's distinct five-word shingles occur in the passage, and at least
 OVERLAP of the distinct words of its question and of its answer.  The question ends at the last "?",
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +45,11 @@ from vaultmart.llm.common import free_name, small_batches
 K1, B = 1.2, 0.75
 SHINGLE, OVERLAP = 5, 0.8
 MIN_ITEM_WORDS = SHINGLE
-POSTING_BLOCK = 16
-PART_BYTES = 16 << 20
+ITEM_BLOCK = 4
+SLAB = 1 << 12
+PART_BYTES = 1 << 20
+_PAST = 1 << 62
+_item = itemgetter(0)
 CACHE_ENTRIES = 300_000
 LONG_TEXT = 1 << 22  # longer texts are split word by word, never held as a list of words
 _ENDS = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”‘’„…–—¿¡·•"
@@ -72,8 +77,9 @@ class Index:
         self.terms: dict[str, int] = {}
         self.ids, self.shingles, self.words = [], [], []
         sequences = []
-        for item, text in sorted(items, key=lambda x: (x[0] is None, x[0])):
-            sequence = self._ids(text)
+        # items of like length side by side: their weights are alike, which makes block maxima tight
+        known = [(len(x), item is None, item, x, text) for item, text in items for x in [self._ids(text)]]
+        for _, _, item, sequence, text in sorted(known, key=lambda x: (x[0], x[1], x[2] or 0)):
             if len(sequence) >= MIN_ITEM_WORDS:
                 self.ids.append(item)
                 sequences.append(sequence)
@@ -103,65 +109,62 @@ class Index:
             self.threshold.append(threshold)
             for t, w in zip(terms.tolist(), (weight / threshold).tolist()):
                 lists[t].append((k, w))
-        self.postings = [([k for k, _ in x], [w for _, w in x]) for x in lists]
-        self.top = np.array([max((w for _, w in x), default=0.0) for x in lists] + [0.0])
-        self.blocks = [[(x[a:a + POSTING_BLOCK][-1][0], max(w for _, w in x[a:a + POSTING_BLOCK]))
-                        for a in range(0, len(x), POSTING_BLOCK)] for x in lists]
-
-    def search(self, terms: list[int]) -> list[tuple[int, float]]:
-        """(item, score) of all items that score 1 or more for the distinct `terms`, by block-max WAND."""
+        self.n_blocks = -(-n // ITEM_BLOCK)
+        # per term its postings by block, and all terms' block maxima as compressed rows
+        self.postings: list[dict[int, list[tuple[int, float]]]] = []
+        rows, blocks, maxima = [0], [], []
+        for x in lists:
+            by_block: dict[int, list[tuple[int, float]]] = {}
+            for k, w in x:
+                by_block.setdefault(k // ITEM_BLOCK, []).append((k, w))
+            self.postings.append(by_block)
+            blocks += by_block
+            maxima += [max(w for _, w in p) for p in by_block.values()]
+            rows.append(len(blocks))
+        self.rows, self.blocks = np.array(rows, np.int64), np.array(blocks, np.int64)
+        self.maxima = np.array(maxima)
+
+    def block_bounds(self, ids: np.ndarray, chunk: int) -> np.ndarray:
+        """[chunk, block] sums of block maxima over the distinct terms of each chunk of `chunk` words."""
+        at = np.flatnonzero(ids >= 0)
+        n_chunks, n_terms = -(-len(ids) // chunk), max(1, len(self.terms))
+        owner, term = np.divmod(np.unique(at // chunk * n_terms + ids[at]), n_terms)
+        size = self.rows[term + 1] - self.rows[term]
+        place = np.arange(size.sum()) + np.repeat(self.rows[term] - (np.cumsum(size) - size), size)
+        cell = np.repeat(owner * self.n_blocks, size) + self.blocks[place]
+        return np.bincount(cell, self.maxima[place], n_chunks * self.n_blocks).reshape(n_chunks, self.n_blocks)
+
+    def search(self, terms: list[int], block: int) -> list[tuple[int, float]]:
+        """(item, score) of the items of a block that score 1 or more for the distinct `terms`, by WAND."""
         limit, out = 1 - 1e-9, []
-        cursors = [[self.postings[t][0][0], t, 0] for t in terms if self.postings[t][0]]  # item, term, position
+        lists = [p for p in (self.postings[t].get(block) for t in terms) if p]
+        # a cursor: the item it stands at, the list's largest weight, the list, the position
+        cursors = [[p[0][0], max(w for _, w in p), p, 0] for p in lists]
+        if sum(c[1] for c in cursors) < limit:
+            return out
         while cursors:
-            cursors.sort()
+            cursors.sort(key=_item)
             bound, pivot = 0.0, -1
-            for k, (_, t, _) in enumerate(cursors):
-                bound += self.top[t]
+            for k, c in enumerate(cursors):
+                bound += c[1]
                 if bound >= limit:
                     pivot = k
                     break
             if pivot < 0:
                 break
             item = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
-                pivot += 1
-            block_bound, edge = 0.0, len(self.ids)
-            for _, t, at in cursors[:pivot + 1]:
-                blocks = self.blocks[t]
-                b = at // POSTING_BLOCK
-                while b < len(blocks) and blocks[b][0] < item:
-                    b += 1
-                if b < len(blocks):
-                    block_bound += blocks[b][1]
-                    edge = min(edge, blocks[b][0] + 1)
-            if block_bound < limit:
-                # no item before the first block edge (or the next cursor) can make it
-                target = min(edge, cursors[pivot + 1][0]) if pivot + 1 < len(cursors) else edge
-                cursors = self._forward(cursors, pivot + 1, max(target, item + 1))
-            elif cursors[0][0] == item:
-                score = sum(self.postings[t][1][at] for _, t, at in cursors[:pivot + 1])
+            if cursors[0][0] == item:
+                score = sum(c[2][c[3]][1] for c in cursors if c[0] == item)
                 if score >= limit:
                     out.append((item, score))
-                cursors = self._forward(cursors, pivot + 1, item + 1)
-            else:
-                cursors = self._forward(cursors, pivot + 1, item)
+                item += 1
+            for c in cursors:  # the lists before the pivot skip to its item, or past it if it was scored
+                while c[0] < item:
+                    c[3] += 1
+                    c[0] = c[2][c[3]][0] if c[3] < len(c[2]) else _PAST
+            cursors = [c for c in cursors if c[0] != _PAST]
         return out
 
-    def _forward(self, cursors: list, n: int, item: int) -> list:
-        """Move the first `n` cursors to their first posting of `item` or later; drop those at their end."""
-        for c in cursors[:n]:
-            items, _ = self.postings[c[1]]
-            at, blocks = c[2], self.blocks[c[1]]
-            b = at // POSTING_BLOCK
-            while b < len(blocks) and blocks[b][0] < item:
-                b += 1
-            at = max(at, b * POSTING_BLOCK)
-            while at < len(items) and items[at] < item:
-                at += 1
-            c[2] = at
-            c[0] = items[at] if at < len(items) else None
-        return [c for c in cursors if c[0] is not None]
-
     def verify(self, item: int, sequence: list[int]) -> tuple[float, float, float] | None:
         """Overlaps (shingles, question, answer) of an item with a passage, if all reach OVERLAP."""
         share = lambda want, have: len(want & have) / len(want)
@@ -205,25 +208,26 @@ class Searcher:
 
     def leaks(self, text: str) -> list[dict]:
         ids = self.sequence(text)
+        best: dict[int, dict] = {}
         if not len(ids) or not self.index.ids:
             return []
-        size, stride = 2 * self.stride, self.stride
-        sums = np.concatenate([[0], np.cumsum(self.index.top[ids])])
-        starts = np.arange(0, max(1, len(ids) - stride), stride)
-        bound = sums[np.minimum(starts + size, len(ids))] - sums[starts]
-        best: dict[int, dict] = {}
-        for a in starts[bound >= 1 - 1e-9].tolist():
-            passage = ids[a:a + size]
-            terms = np.unique(passage)
-            terms = terms[terms >= 0]
-            if self.index.top[terms].sum() < 1 - 1e-9:
-                continue
-            for item, score in self.index.search(terms.tolist()):
-                overlap = self.index.verify(item, passage.tolist())
-                raw = score * self.index.threshold[item]
-                if overlap and raw > best.get(item, {"score": 0.0})["score"]:
-                    best[item] = {"item_id": self.index.ids[item], "score": raw, "passage_start": a,
-                                  "overlap": overlap[0], "question_overlap": overlap[1], "answer_overlap": overlap[2]}
+        stride, n_chunks = self.stride, -(-len(ids) // self.stride)
+        for first in range(0, max(1, n_chunks - 1), SLAB):  # chunks whose bounds are held at once
+            part = self.index.block_bounds(ids[first * stride:(first + SLAB + 1) * stride], stride)
+            bound = part[:-1] + part[1:] if len(part) > 1 else part  # a passage is two chunks
+            terms, last = None, -1
+            for k, block in zip(*(x.tolist() for x in np.nonzero(bound >= 1 - 1e-9))):
+                a = (first + k) * stride
+                if a != last:
+                    passage, last = ids[a:a + 2 * stride], a
+                    terms = np.unique(passage[passage >= 0]).tolist()
+                for item, score in self.index.search(terms, block):
+                    overlap = self.index.verify(item, passage.tolist())
+                    raw = score * self.index.threshold[item]
+                    if overlap and raw > best.get(item, {"score": 0.0})["score"]:
+                        best[item] = {"item_id": self.index.ids[item], "score": raw, "passage_start": a,
+                                      "overlap": overlap[0], "question_overlap": overlap[1],
+                                      "answer_overlap": overlap[2]}
         return [best[k] for k in sorted(best)]
 
 
