@@ -7,10 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm import bpe, decontaminate, line_dedup, quality_rules, sharding, simhash, token_file
+from vaultmart.llm import bpe, decontaminate, license_scan, line_dedup, quality_rules, sharding, simhash, token_counts, token_file
 from vaultmart.llm.common import read_documents
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    path = model_path or tokenizer_path(PIECES)
+    return docs.select("doc_id", token_counts.token_counts(F.col("text"), path).alias("n_tokens"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per licence paragraph of every text."""
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    found = license_scan.scan(F.col("text"), license_scan.train(docs))
+    return docs.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     return quality_rules.quality_verdicts(docs, keep=["doc_id", "lang", "source"])
@@ -19,11 +40,6 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 def op4_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
     """Ids and decoded bytes of every text, as digests."""
     path = ranks_path or tokenizer_path(BPE_RANKS)
@@ -63,6 +79,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
