@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm import bpe, decontaminate, license_scan, line_dedup, quality_rules, sharding, simhash, token_counts, token_file
+from vaultmart.llm import bpe, decontaminate, language_model, license_scan, line_dedup, quality_rules, sharding, simhash, token_counts, token_file
 from vaultmart.llm.common import read_documents
 
 
@@ -51,6 +51,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None
         F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(read_documents(spark, sf_dir))
+
+
 WORD_BPE = "word_bpe_49k.json"
 
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language_model": op6_language_model,
     "op7_token_file": op7_token_file,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
