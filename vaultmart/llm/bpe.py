@@ -31,10 +31,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vaultmart.llm.common import RecentCache, small_batches
+
 PIECE = 1 << 20          # code points per scan
 BLOCK = 256              # code points per block of a scan
-GROUP_CHARS = 1 << 21    # code points of text handled together
-CACHE_ENTRIES = 500_000  # pre-tokens cached per Python worker
+GROUP_CHARS = 1 << 19    # code points of text handled together
+CACHE_ENTRIES = 100_000  # pre-tokens cached per Python worker and generation
 CACHED_CHARS = 64        # longer pre-tokens are not cached
 
 # Classes.  0-3 come from the table; the others are made from them and the next code points.
@@ -268,24 +270,22 @@ class Encoder:
         self.ranks = parse_ranks(blob)
         self.pairs = mergeable_pairs(self.ranks)
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
-        self.cache: dict[str, bytes] = {}
+        self.cache = RecentCache(CACHE_ENTRIES)
 
     def learn(self, tokens: set[str]) -> dict[str, bytes]:
         """A mapping that holds every one of `tokens`: the cache, and the long ones beside it."""
-        cache, long = self.cache, {}
-        if len(cache) + len(tokens) > CACHE_ENTRIES:
-            cache.clear()
-        new, pieces = [], []
-        for token in tokens:
-            if token not in cache:
-                piece = token.encode()
-                known = self.ranks.get(piece)
-                if known is not None:
-                    cache[token] = known.to_bytes(4, "little")
-                elif len(token) > CACHED_CHARS:
-                    long[token] = np.array(merge(piece, self.ranks), np.int32).tobytes()
-                else:
-                    new.append(token), pieces.append(piece)
+        long, new, pieces = {}, [], []
+        missing = self.cache.missing(tokens)
+        cache = self.cache.young
+        for token in missing:
+            piece = token.encode()
+            known = self.ranks.get(piece)
+            if known is not None:
+                cache[token] = known.to_bytes(4, "little")
+            elif len(token) > CACHED_CHARS:
+                long[token] = np.array(merge(piece, self.ranks), np.int32).tobytes()
+            else:
+                new.append(token), pieces.append(piece)
         if pieces:
             cache.update(zip(new, merge_many(pieces, self.byte_ids, self.pairs)))
         return ChainMap(long, cache) if long else cache
@@ -342,6 +342,7 @@ def encode(text_col, ranks_path: str):
     """Column struct(ids, id_ends, char_ends) of a text column: pre-token k has the ids up to
     id_ends[k] and the code points up to char_ends[k]."""
     runs, (vocabulary, key) = class_runs(), _share(ranks_path)
+    small_batches(SparkSession.active())
 
     @F.arrow_udf(ENCODED)
     def run(texts: pa.Array) -> pa.Array:
@@ -392,6 +393,7 @@ def decode(ids_col, ranks_path: str):
     """Binary column of the bytes that a column of ids stands for (null: no bytes)."""
 
     vocabulary, key = _share(ranks_path)
+    small_batches(SparkSession.active())
 
     @F.arrow_udf(T.BinaryType())
     def run(ids: pa.Array) -> pa.Array:
