@@ -165,7 +165,8 @@ def filter_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
     wrapped = docs.select(row, docs[text_col].alias("_text"), docs[lang_col].alias("_lang"),
                           docs[source_col].alias("_source"))
-    first = document_counts(wrapped, "_text", ["_lang", "_source"])
+    # written: a filter over the unwritten counts would be pushed down and repeat their expressions
+    first = write_table(document_counts(wrapped, "_text", ["_lang", "_source"]), "quality-counts")
     limits = write_table(fences(sketches(first, "_lang", "_source")), "quality-fences")
     counts = document_counts(wrapped, "_text", ["_row", "_lang", "_source"])
     return judge(counts, limits, "_lang", "_source").filter("kept").select("_row.*")
