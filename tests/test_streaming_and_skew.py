@@ -26,7 +26,7 @@ def test_micro_batches_feed_the_vault(spark, run):
                 "src_crm_agents": fixtures.with_loaded_at(fixtures.crm_agents(spark, SF_SMALL, batch), batch)}
 
     load = micro_batch_loader(p, crm, lambda b: fixtures.BATCH_LOADED_AT[b], with_marts=False)
-    for b in (1, 2):
+    for b in (1, 2):  # one query; its epochs are given as two one-drop runs
         q = (feed_stream(spark, f"{root}/drops/d{b}")
              .writeStream.foreachBatch(lambda df, epoch, b=b: load(df, b - 1))
              .option("checkpointLocation", f"{root}/ckpt{b}")

@@ -32,6 +32,12 @@ def hash_key(*business_key: str | Column) -> Column:
     return F.md5(F.concat_ws(HASHDIFF_SEPARATOR, *[as_text(c) for c in business_key]))
 
 
-def hashdiff(*parts: Column) -> Column:
-    """md5 over the '||'-joined text parts; concat_ws skips null parts."""
+def hashdiff(*parts: Column, null_safe: bool = False) -> Column:
+    """md5 over the '||'-joined text parts; concat_ws skips null parts.
+
+    Skipping lets two rows collide when a null moves (``(a, null)`` and ``(null, a)``).
+    ``null_safe`` puts a character no text form contains in a null's place instead;
+    the default stays, as its hashes are the ones stored."""
+    if null_safe:
+        parts = tuple(F.coalesce(p, F.lit("\x00")) for p in parts)
     return F.md5(F.concat_ws(HASHDIFF_SEPARATOR, *parts))

@@ -66,6 +66,13 @@ def _label(t: Test) -> str:
     return t.kind if t.kind != "relationships" else f"relationships:{t.to_table}.{t.to_field}"
 
 
+def unique_count(df: DataFrame, col: str) -> DataFrame:
+    """``(column_name, violations)`` of one column, grouped by the column itself: a table
+    bucketed by it is not shuffled."""
+    dup = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return dup.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(col).alias("column_name"), "violations")
+
+
 def unique_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Duplicated non-null values per column, all columns in one shuffle.
 
@@ -88,9 +95,11 @@ def not_null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(cols), "column_name", "violations")
 
 
-def run_tests(tests: Sequence[Test], tables: Mapping[str, DataFrame]) -> DataFrame:
+def run_tests(tests: Sequence[Test], tables: Mapping[str, DataFrame],
+              bucket_keys: Mapping[str, str] | None = None) -> DataFrame:
     """All test results as one DataFrame ``(layer, table_name, column_name, test,
-    violations)``, one row per declared test, in declaration order."""
+    violations)``, one row per declared test, in declaration order.  ``bucket_keys``:
+    the column each table is bucketed by, whose unique test then needs no shuffle."""
     spark = next(iter(tables.values())).sparkSession
     frames = []
     by_table: dict[str, list[Test]] = {}
@@ -100,6 +109,11 @@ def run_tests(tests: Sequence[Test], tables: Mapping[str, DataFrame]) -> DataFra
         df = tables[table]
         for kind, fn in (("not_null", not_null_counts), ("unique", unique_counts)):
             cols = list(dict.fromkeys(t.column for t in items if t.kind == kind))
+            own = (bucket_keys or {}).get(table)
+            if kind == "unique" and own in cols:
+                cols.remove(own)
+                frames.append(unique_count(df, own).select(F.lit(table).alias("table_name"), "column_name",
+                                                           F.lit(kind).alias("test"), "violations"))
             if cols:
                 frames.append(fn(df, cols).select(F.lit(table).alias("table_name"), "column_name",
                                                   F.lit(kind).alias("test"), "violations"))

@@ -20,9 +20,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from vaultmart.functions.hashing import hash_key
 from vaultmart.operators.keys import first_per_key
 
 LOAD_DATE = "load_date"
@@ -36,6 +38,17 @@ def _null_end() -> F.Column:
     return F.lit(None).cast("timestamp_ntz").alias(LOAD_END_DATE)
 
 
+def observed(obs: Observation, name: str) -> int:
+    """An observed count.  A branch that the optimizer proves empty is cut from the plan with its
+    observation, which then has no row at all: it saw none."""
+    try:
+        return int(obs.get[name])
+    except Py4JJavaError as e:
+        if "assertion failed" not in str(e.java_exception):
+            raise
+        return 0
+
+
 @dataclass
 class LoadReport:
     """Row counts of one load, observed in the pass that writes it.
@@ -50,7 +63,7 @@ class LoadReport:
 
     def values(self) -> dict[str, int]:
         """Read after the write has run (blocks until then)."""
-        out = {k: int(getattr(self, k).get["rows"]) for k in ("staged", "unique", "written")}
+        out = {k: observed(getattr(self, k), "rows") for k in ("staged", "unique", "written")}
         out["duplicates"] = out["staged"] - out["unique"]
         return out
 
@@ -126,11 +139,15 @@ def changed_rows(staged: DataFrame, hk: str, open_rows: DataFrame | None) -> Dat
 
 @dataclass
 class SatelliteBatch:
-    """What a satellite load writes: open rows, and closed rows (delta or full)."""
+    """What a satellite load writes.
 
-    open: DataFrame
-    closed: DataFrame
-    closed_is_full: bool
+    ``touched``: the open versions of the batch's changed keys and the new ones, closed out
+    (``load_end_date`` set or null); ``untouched``: all other open rows (None on first load);
+    ``closed``: the earlier closed rows, only when the batch replaces some of them."""
+
+    touched: DataFrame
+    untouched: DataFrame | None
+    closed: DataFrame | None
     changed: DataFrame
     n_changed: int = 0
 
@@ -169,7 +186,7 @@ def load_satellite(staged: DataFrame, hk: str, attrs: Sequence[str],
     changed = changed.observe(stats, F.count(F.lit(1)).alias("changed"),
                               F.count_if(older).alias("older"))
     changed = (materialize or (lambda d: d.checkpoint()))(changed)
-    n_older = stats.get["older"]
+    n_older = observed(stats, "older")
 
     fresh = changed.select(*[c for c in cols if c != LOAD_END_DATE]).withColumn(
         LOAD_END_DATE, F.lit(None).cast("timestamp_ntz")).select(*cols)
@@ -183,20 +200,14 @@ def load_satellite(staged: DataFrame, hk: str, attrs: Sequence[str],
                    .select(*cols).unionByName(fresh))
         untouched = open_prev.join(keys, hk, "left_anti").select(*cols)
     touched = close_versions(touched, hk).select(*cols)
-    open_new = touched.where(F.col(LOAD_END_DATE).isNull())
-    if untouched is not None:
-        open_new = untouched.unionByName(open_new)
-    closed_new = touched.where(F.col(LOAD_END_DATE).isNotNull())
 
-    full = False
+    closed = None
     if closed_prev is not None and (n_older > 0 or force_full_closed):
         suspects = changed.where(older).select(hk, LOAD_DATE)
         if force_full_closed or not closed_prev.join(suspects, [hk, LOAD_DATE], "left_semi").isEmpty():
-            closed_new = (closed_prev.join(suspects, [hk, LOAD_DATE], "left_anti")
-                          .select(*cols).unionByName(closed_new))
-            full = True
-    return SatelliteBatch(open=open_new, closed=closed_new, closed_is_full=full,
-                          changed=changed.drop(_PREV_LOAD_DATE), n_changed=stats.get["changed"])
+            closed = closed_prev.join(suspects, [hk, LOAD_DATE], "left_anti").select(*cols)
+    return SatelliteBatch(touched=touched, untouched=untouched, closed=closed,
+                          changed=changed.drop(_PREV_LOAD_DATE), n_changed=observed(stats, "changed"))
 
 
 def current(satellite: DataFrame) -> DataFrame:
@@ -212,18 +223,19 @@ def as_of(satellite: DataFrame, hk: str, instant: str) -> DataFrame:
     return first_per_key(valid, [hk], [F.col(LOAD_DATE).desc_nulls_last(), F.col(HASHDIFF).asc()])
 
 
-def history(satellite: DataFrame, hk: str, key_value: str | None = None) -> DataFrame:
-    """Version history with a 1-based ``version`` number per key.
-
-    ``key_value`` restricts it to one hash key (the scalar lookup of F7).
-    """
-    if key_value is not None:
-        satellite = satellite.where(F.col(hk) == F.lit(key_value))
+def history(satellite: DataFrame, hk: str) -> DataFrame:
+    """Version history with a 1-based ``version`` number per key."""
     w = Window.partitionBy(hk).orderBy(F.col(LOAD_DATE).asc_nulls_last(), F.col(HASHDIFF).asc())
     return satellite.withColumn("version", F.row_number().over(w))
 
 
-def latest_version(satellite: DataFrame, hk: str, key_value: str) -> DataFrame:
-    """The newest version of one key (``order by load_date desc limit 1``)."""
-    return (satellite.where(F.col(hk) == F.lit(key_value))
+def key_history(satellite: DataFrame, hk: str, business_key: str) -> DataFrame:
+    """The versions of one business key, oldest first."""
+    return (satellite.where(F.col(hk) == hash_key(F.lit(business_key)))
+            .orderBy(F.col(LOAD_DATE).asc_nulls_last(), F.col(HASHDIFF).asc()))
+
+
+def latest_version(satellite: DataFrame, hk: str, business_key: str) -> DataFrame:
+    """The newest version of one business key (``order by load_date desc limit 1``)."""
+    return (satellite.where(F.col(hk) == hash_key(F.lit(business_key)))
             .orderBy(F.col(LOAD_DATE).desc_nulls_first(), F.col(HASHDIFF).asc()).limit(1))

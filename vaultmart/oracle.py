@@ -210,6 +210,17 @@ UNION ALL SELECT pkey, '-late', {LATE}, {D2} FROM used_props WHERE pkey % 100 =
 UNION ALL SELECT pkey, '-replaced', {D2}, {NULL_TS} FROM used_props WHERE pkey % 100 = 50""",
     "used_props")
 
+# The same after batches 1 and 3 only: nothing became "updated" in between, so the reverted ones never
+# changed, and keys 1 mod 10 come with batch 3.
+cte("prop_versions_gap", f"""SELECT pkey, '' AS tag, {D1} AS load_date,
+       CASE WHEN pkey % 100 = 50 THEN {D2} WHEN pkey % 100 IN (10, 70, 90) THEN {D3} END AS load_end_date
+FROM used_props WHERE pkey % 10 <> 1
+UNION ALL SELECT pkey, '', {D3}, {NULL_TS} FROM used_props WHERE pkey % 10 = 1
+UNION ALL SELECT pkey, '-updated', {D3}, {NULL_TS} FROM used_props WHERE pkey % 100 IN (10, 70, 90)
+UNION ALL SELECT pkey, '-late', {LATE}, {D1} FROM used_props WHERE pkey % 100 = 30
+UNION ALL SELECT pkey, '-replaced', {D2}, {NULL_TS} FROM used_props WHERE pkey % 100 = 50""",
+    "used_props")
+
 cte("sat_property_b3", f"""SELECT property_hk, {PROP_ATTRS}, {PROP_HASHDIFF} AS hashdiff, load_date,
        load_end_date, record_source
 FROM (SELECT md5(CAST(v.pkey AS VARCHAR)) AS property_hk, p.address, p.suburb0 || v.tag AS suburb,
@@ -218,6 +229,14 @@ FROM (SELECT md5(CAST(v.pkey AS VARCHAR)) AS property_hk, p.address, p.suburb0 |
              'bronze.property_raw' AS record_source
       FROM prop_versions v JOIN prop_base p ON p.pkey = v.pkey)""", "prop_versions", "prop_base")
 
+cte("sat_property_gap", f"""SELECT property_hk, {PROP_ATTRS}, {PROP_HASHDIFF} AS hashdiff, load_date,
+       load_end_date, record_source
+FROM (SELECT md5(CAST(v.pkey AS VARCHAR)) AS property_hk, p.address, p.suburb0 || v.tag AS suburb,
+             p.postcode, p.state, p.bedrooms, p.bathrooms, p.land_size_sqm, p.property_type,
+             p.year_built, p.listing_price, v.load_date, v.load_end_date,
+             'bronze.property_raw' AS record_source
+      FROM prop_versions_gap v JOIN prop_base p ON p.pkey = v.pkey)""", "prop_versions_gap", "prop_base")
+
 # Owners 0 mod 20 change phone in batch 2; agents 0 mod 5 become platinum in
 # batch 2 (no change when they already were).  Batch 3 repeats batch 2.
 cte("sat_owner_b3", f"""SELECT owner_hk, {OWNER_ATTRS}, hashdiff, load_date,
@@ -394,27 +413,59 @@ def oracle_queries() -> dict[str, str]:
         "stg_owners": build("SELECT * FROM stg_own_b2", "stg_own_b2"),
         "stg_agents": build("SELECT * FROM stg_agt_b2", "stg_agt_b2"),
         "hub_property": build("SELECT property_hk, property_id, load_date, record_source "
-                              "FROM stg_prop_b1", "stg_prop_b1"),
-        "hub_owner": build("SELECT owner_hk, owner_id, load_date, record_source FROM stg_own_b1",
-                           "stg_own_b1"),
-        "hub_agent": build("SELECT agent_hk, agent_id, load_date, record_source FROM stg_agt_b1",
-                           "stg_agt_b1"),
+                              "FROM stg_prop_b2", "stg_prop_b2"),
+        "hub_owner": build("SELECT owner_hk, owner_id, load_date, record_source FROM stg_own_b2",
+                           "stg_own_b2"),
+        "hub_agent": build("SELECT agent_hk, agent_id, load_date, record_source FROM stg_agt_b2",
+                           "stg_agt_b2"),
         "hub_transaction": build("SELECT transaction_hk, transaction_id, load_date, record_source "
-                                 "FROM stg_tx_b1", "stg_tx_b1"),
+                                 "FROM stg_tx_b2", "stg_tx_b2"),
         "lnk_transaction_property": build("SELECT transaction_hk, property_hk, load_date, "
-                                          "record_source FROM stg_tx_b1", "stg_tx_b1"),
+                                          "record_source FROM stg_tx_b2", "stg_tx_b2"),
         "lnk_transaction_buyer": build("SELECT transaction_hk, buyer_hk AS owner_hk, load_date, "
-                                       "record_source FROM stg_tx_b1", "stg_tx_b1"),
+                                       "record_source FROM stg_tx_b2", "stg_tx_b2"),
         "lnk_transaction_seller": build("SELECT transaction_hk, seller_hk AS owner_hk, load_date, "
-                                        "record_source FROM stg_tx_b1", "stg_tx_b1"),
+                                        "record_source FROM stg_tx_b2", "stg_tx_b2"),
         "lnk_transaction_agent": build("SELECT transaction_hk, agent_hk, load_date, record_source "
-                                       "FROM stg_tx_b1", "stg_tx_b1"),
-        "sat_property_details": _first_load("property_hk", PROP_ATTRS, "stg_prop_b1"),
-        "sat_owner_details": _first_load("owner_hk", OWNER_ATTRS, "stg_own_b1"),
-        "sat_agent_details": _first_load("agent_hk", AGENT_ATTRS, "stg_agt_b1"),
-        "sat_transaction_details": _first_load("transaction_hk", TX_ATTRS, "stg_tx_b1"),
-        "hub_property_incremental": build("SELECT * FROM hub_property_b3", "hub_property_b3"),
-        "lnk_transaction_agent_incremental": build("SELECT * FROM lnk_agent_b3", "lnk_agent_b3"),
+                                       "FROM stg_tx_b2", "stg_tx_b2"),
+        "sat_property_details": _first_load("property_hk", PROP_ATTRS, "stg_prop_b2"),
+        "sat_owner_details": _first_load("owner_hk", OWNER_ATTRS, "stg_own_b2"),
+        "sat_agent_details": _first_load("agent_hk", AGENT_ATTRS, "stg_agt_b2"),
+        "sat_transaction_details": _first_load("transaction_hk", TX_ATTRS, "stg_tx_b2"),
+        **{f"hub_{n}_incremental": build(f"SELECT * FROM hub_{n}_b3", f"hub_{n}_b3")
+           for n in ("property", "owner", "agent", "transaction")},
+        **{f"lnk_transaction_{n}_incremental": build(f"SELECT * FROM lnk_{n}_b3", f"lnk_{n}_b3")
+           for n in ("property", "buyer", "seller", "agent")},
+        "sat_property_gap": build("SELECT * FROM sat_property_gap", "sat_property_gap"),
+        "hub_transaction_replay": build("SELECT * FROM hub_transaction_b3", "hub_transaction_b3"),
+        "sat_property_replay": build("SELECT * FROM sat_property_b3", "sat_property_b3"),
+        "sat_property_one_key": build("SELECT * FROM sat_property_b3 WHERE property_hk = md5('30') "
+                                      "ORDER BY load_date", "sat_property_b3"),
+        "sat_property_one_key_latest": build("SELECT * FROM sat_property_b3 WHERE property_hk = md5('30') "
+                                             "ORDER BY load_date DESC LIMIT 1", "sat_property_b3"),
+        "mart_sql_read": build("SELECT * FROM mart_sales_b3", "mart_sales_b3"),
+        "stg_properties_latest": build(f"""SELECT *, {PROP_HASHDIFF} AS hashdiff
+FROM (SELECT CAST(p.pkey AS VARCHAR) AS property_id, p.address,
+             CASE WHEN p.pkey % 10 = 0 THEN p.suburb0 || '-updated' ELSE p.suburb0 END
+               || CASE WHEN u.c THEN '-c' WHEN u.b THEN '-b' ELSE '-a' END AS suburb,
+             p.postcode, p.state, p.bedrooms, p.bathrooms, p.land_size_sqm, p.property_type, p.year_built,
+             p.listing_price, CASE WHEN u.c THEN NULL WHEN u.b THEN {D3} ELSE {D1} END AS load_date,
+             'bronze.property_raw' AS record_source, md5(CAST(p.pkey AS VARCHAR)) AS property_hk
+      FROM prop_base p JOIN (SELECT pkey, bool_or(k % 3 = 1) AS b, bool_or(k % 3 = 2) AS c
+                             FROM tx_base GROUP BY pkey) u ON u.pkey = p.pkey)""", "prop_base", "tx_base"),
+        "dq_results_red": build("""SELECT 'red' AS layer, * FROM (
+SELECT 'lineitem' AS table_name, 'l_orderkey' AS column_name, 'unique' AS test,
+       (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)) AS violations
+UNION ALL SELECT 'lineitem', 'l_partkey', 'unique',
+       (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_partkey HAVING count(*) > 1))
+UNION ALL SELECT 'orders', 'o_orderkey', 'unique',
+       (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1))
+UNION ALL SELECT 'property_raw', 'agent_id', 'not_null', (SELECT count(*) FROM tx_base WHERE k % 50 = 0)
+UNION ALL SELECT 'property_raw', 'transaction_id', 'not_null', 0
+UNION ALL SELECT 'orders', 'o_orderkey', 'relationships:lineitem.l_orderkey',
+       (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))
+UNION ALL SELECT 'lineitem', 'l_orderkey', 'relationships:orders.o_orderkey',
+       (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)))""", "tx_base"),
         "sat_transaction_insert_only": build("SELECT * FROM sat_transaction_b3", "sat_transaction_b3"),
         "sat_property_scd2": build("SELECT * FROM sat_property_b3", "sat_property_b3"),
         "sat_owner_scd2": build("SELECT * FROM sat_owner_b3", "sat_owner_b3"),

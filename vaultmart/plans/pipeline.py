@@ -8,7 +8,8 @@ one batch only depend on staging, so they run as concurrent Spark jobs.
 
 from __future__ import annotations
 
-import math
+import itertools
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -61,22 +62,9 @@ MART_TABLES = ["mart_property_sales", "mart_agent_performance", "mart_suburb_tre
                "mart_owner_portfolio"]
 
 
-BUCKET_TARGET_BYTES = 64 * 1024 * 1024
-
-
-def default_buckets(spark: SparkSession, sf_dir: str) -> int:
-    """Bucket count for the vault: about 64 MiB of input per bucket, a power of
-    two, at least 8, at most ``spark.sql.shuffle.partitions``.
-
-    Every table of a grain shares it, so their joins line up; the incoming
-    batch is shuffled to the same count.
-    """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/orders.parquet")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    size = fs.getContentSummary(path).getLength() if fs.exists(path) else 0
-    want = max(8, 1 << max(0, math.ceil(math.log2(max(1, size / BUCKET_TARGET_BYTES)))))
-    return max(1, min(want, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+# The bronze table whose size sets the bucket count of each staged entity's grain.
+BRONZE_OF = {"stg_transactions": "property_raw", "stg_properties": "property_raw",
+             "stg_owners": "src_crm_owners", "stg_agents": "src_crm_agents"}
 
 
 @dataclass
@@ -88,17 +76,15 @@ class Pipeline:
     root: str | None = None
     threads: int = 8
     buckets: int | None = None
+    keep_open: int | None = 3  # batches whose open satellite rows stay stored; None: all
     load_counts: dict = field(default_factory=dict)
     load_report: dict = field(default_factory=dict)
-    done: set = field(default_factory=set)
+    load_seconds: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if self.root is None:
             self.root = new_run_dir(self.spark, "run")
-        if self.buckets is None:
-            self.buckets = default_buckets(self.spark, self.sf_dir)
         self.store = LayerStore(self.spark, self.root, self.buckets)
-        self.buckets = self.store.buckets
         # tables of an earlier application on the same run folder
         for name, key in STAGING_KEYS.items():
             self.store.attach("silver", name, key)
@@ -128,7 +114,7 @@ class Pipeline:
 
     def _materializer_seq(self, name: str, batch: int):
         """A materializer that writes each call to its own folder."""
-        calls = iter(range(1_000_000))
+        calls = itertools.count()
         return lambda df: self._materializer(f"{name}_{next(calls)}", batch)(df)
 
     def _parallel(self, jobs):
@@ -168,15 +154,21 @@ class Pipeline:
     def ingest_sources(self, batch: int, csv_path: str, jdbc_url: str,
                        jdbc_properties: dict | None = None, loaded_at: str | None = None,
                        owners_table: str = "src_crm.owners",
-                       agents_table: str = "src_crm.agents") -> None:
+                       agents_table: str = "src_crm.agents",
+                       jdbc_options: dict[str, dict] | None = None) -> None:
         """Bronze from external sources (S7): the raw CSV feed, then the two CRM
-        tables over JDBC, each with the batch's audit instant."""
+        tables over JDBC, each with the batch's audit instant.
+
+        ``jdbc_options`` gives per table (``src_crm_owners``, ``src_crm_agents``) the
+        range to split its read on: ``partition_column``, ``lower``, ``upper``,
+        ``partitions``, ``fetch_size``; without it a table is one task."""
         from vaultmart.sources import files, jdbc
 
         # a fixed instant makes a rerun exact; by default the time of the load
         stamp = (F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp())
         raw = files.read_property_csv(self.spark, csv_path, with_loaded_at=False)
-        crm = {n: jdbc.read_table(self.spark, jdbc_url, t, properties=jdbc_properties)
+        options = jdbc_options or {}
+        crm = {n: jdbc.read_table(self.spark, jdbc_url, t, properties=jdbc_properties, **options.get(n, {}))
                for n, t in (("src_crm_owners", owners_table), ("src_crm_agents", agents_table))}
         self.ingest(batch, inputs={
             "property_raw": raw.withColumn("_loaded_at", stamp),
@@ -193,6 +185,7 @@ class Pipeline:
             "stg_owners": lambda: staging.stg_owners(self.bronze("src_crm_owners", batch)),
             "stg_agents": lambda: staging.stg_agents(self.bronze("src_crm_agents", batch)),
         }[name]()
+        self.store.buckets(STAGING_KEYS[name], self.store.path("bronze", BRONZE_OF[name], f"batch={batch}"))
         self.store.write_bucketed(plan, "silver", name, STAGING_KEYS[name], batch)
 
     def stage(self, batch: int) -> None:
@@ -235,9 +228,9 @@ class Pipeline:
             closed_prev=self.store.read_closed(table, batch - 1),
             materialize=self._materializer(f"{table}_changes", batch),
             force_full_closed=self.store.has_base(table, batch))
-        self.store.write_satellite(out.open, out.closed, table, hk, batch, out.closed_is_full)
+        self.store.write_satellite(out, table, hk, batch)
         self.load_report[(table, batch)] = {"changed": out.n_changed,
-                                            "closed_rewrite": out.closed_is_full}
+                                            "closed_rewrite": out.closed is not None}
 
     def load_vault(self, batch: int) -> None:
         self._parallel([job for _, job in self._load_jobs(batch).values()])
@@ -296,7 +289,9 @@ class Pipeline:
         return tables
 
     def quality(self, batch: int) -> DataFrame:
-        return quality.run_tests(quality.DECLARED_TESTS, self.quality_tables(batch))
+        keys = {**STAGING_KEYS, **{t: hk for t, (_, hk, _) in {**HUBS, **SATELLITES, **INSERT_ONLY_SATELLITES}.items()},
+                **dict.fromkeys(LINKS, "transaction_hk")}
+        return quality.run_tests(quality.DECLARED_TESTS, self.quality_tables(batch), keys)
 
     def layer_tables(self, batch: int) -> dict[tuple[str, str], DataFrame]:
         out = {("bronze", n): self.bronze(n, batch) for n in BRONZE_TABLES}
@@ -320,39 +315,87 @@ class Pipeline:
         return jobs
 
     def run_batch(self, batch: int, with_marts: bool = True, feed: int | None = None,
-                  inputs: dict[str, DataFrame] | None = None) -> None:
+                  inputs: dict[str, DataFrame] | None = None, replay: bool = False,
+                  stream: str | None = None, epoch: int | None = None) -> None:
         """Load one batch; ``feed``/``inputs`` as in :meth:`ingest`.
 
+        Batch numbers may have gaps, but history only grows at its end:
+
+        * an earlier batch that was started and not finished must be run again first;
+        * a batch before others already loaded is refused, because they were
+          loaded on top of what it is about to change, unless ``replay`` is given:
+          then it and all later ones are dropped from silver and gold, it is loaded anew, and the
+          later ones are loaded again from their bronze tables;
+        * the last batch can be run again under its own number.
+        """
+        started, finished = self.store.marked("started"), self.store.marked("finished")
+        broken = [b for b in started if b < batch and b not in finished]
+        if broken:
+            raise RuntimeError(f"batch {broken[0]} was started but not finished: run it again before batch {batch}")
+        later = [b for b in started if b > batch]
+        if later and not replay:
+            raise ValueError(f"batches {later} were loaded after batch {batch}: pass replay=True to load them again")
+        if later:
+            if not all(self.store.has_open(t, batch - 1) for t in SATELLITES):
+                raise ValueError(f"the open rows before batch {batch} are not stored any more (keep_open)")
+            whole = [b for b in later if b in finished]
+            self.store.drop_from(batch)
+        self._load(batch, with_marts, inputs if inputs is not None else self.bronze_inputs(feed or batch), stream, epoch)
+        if later:
+            for b in whole:
+                self._load(b, with_marts, None, None, None)
+
+    def _load(self, batch: int, with_marts: bool, sources: dict[str, DataFrame] | None,
+              stream: str | None, epoch: int | None) -> None:
+        """One batch through all layers; without ``sources`` from its bronze tables.
+
         Layers keep their order per entity, but an entity does not wait for
         the others: the CRM entities are staged and loaded while the wide
         feed is still being written.
         """
-        sources = inputs if inputs is not None else self.bronze_inputs(feed or batch)
-        stage_of = {"stg_transactions": "property_raw", "stg_properties": "property_raw",
-                    "stg_owners": "src_crm_owners", "stg_agents": "src_crm_agents"}
+        self.store.mark("started", batch, stream, epoch)
         loads = self._load_jobs(batch)
-        with ThreadPoolExecutor(max_workers=len(sources) + len(stage_of) + len(loads)) as pool:
-            bronze = {n: pool.submit(self.ingest, batch, None, {n: df}) for n, df in sources.items()}
+        with ThreadPoolExecutor(max_workers=len(BRONZE_TABLES) + len(BRONZE_OF) + len(loads)) as pool:
+            bronze = {n: pool.submit(self._timed, f"bronze.{n}", batch, lambda n=n, df=df: self.ingest(batch, None, {n: df}))
+                      for n, df in (sources or {}).items()}
 
             def stage_one(name):
-                bronze[stage_of[name]].result()
-                self._stage_one(name, batch)
+                if sources is not None:
+                    bronze[BRONZE_OF[name]].result()
+                self._timed(f"silver.{name}", batch, lambda: self._stage_one(name, batch))
 
-            staged = {n: pool.submit(stage_one, n) for n in stage_of}
+            staged = {n: pool.submit(stage_one, n) for n in BRONZE_OF}
 
             def load_one(table):
                 stg, job = loads[table]
                 staged[stg].result()
-                job()
+                self._timed(f"gold.{table}", batch, job)
 
             for f in [pool.submit(load_one, t) for t in loads]:
                 f.result()
         if with_marts:
-            self.build_marts(batch)
-        self.done.add(batch)
+            self._timed("marts", batch, lambda: self.build_marts(batch))
+        self.store.mark("finished", batch, stream, epoch)
+        if self.keep_open:
+            for table in SATELLITES:
+                self.store.drop_superseded(table, self.keep_open)
+
+    def publish(self, batch: int, prefix: str = "") -> None:
+        """Views ``<prefix>bronze|silver|gold|mart.<table>`` over the layers as of ``batch``: what SQL and
+        dashboards read.  Superseded versions and batch columns do not show."""
+        views = [("bronze", t, "files") for t in BRONZE_TABLES] + [("silver", t, "batch") for t in STAGING_TABLES]
+        views += [("gold", t, "appended") for t in [*HUBS, *LINKS, *INSERT_ONLY_SATELLITES]]
+        views += [("gold", t, "versions") for t in SATELLITES] + [("mart", t, "files") for t in MART_TABLES]
+        for layer, table, kind in views:
+            self.store.publish(layer, table, batch, f"{prefix}{layer}", kind)
+
+    def _timed(self, name: str, batch: int, job) -> None:
+        t0 = time.time()
+        job()
+        self.load_seconds[(name, batch)] = round(time.time() - t0, 3)
 
     def run(self, batches=(1, 2, 3), marts_for=(3,)) -> "Pipeline":
         for b in batches:
-            if b not in self.done:
+            if b not in self.store.marked("finished"):
                 self.run_batch(b, with_marts=b in marts_for)
         return self

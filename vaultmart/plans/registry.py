@@ -8,9 +8,11 @@ that needs it pays for it.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vaultmart.operators import quality, vault
 from vaultmart.plans import dashboards, staging
@@ -19,29 +21,54 @@ from vaultmart.sources import fixtures
 
 FIRST, LAST = 1, 3
 AS_OF_INSTANT = "2024-01-01 12:00:00"
+ONE_KEY = "30"  # a property with a late version
 
-_RUNS: dict[tuple[str, str], Pipeline] = {}
+_RUNS: dict[tuple[str, str, str], Pipeline] = {}
 _LOCK = threading.Lock()
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    """The finished three-batch run for this session and input folder."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def _run(spark: SparkSession, sf_dir: str, kind: str, load: Callable[[Pipeline], None]) -> Pipeline:
+    """A finished run, shared by the queries of this session and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
     with _LOCK:
         run = _RUNS.get(key)
         if run is None:
-            run = Pipeline(spark, sf_dir).run()
+            run = Pipeline(spark, sf_dir)
+            load(run)
             _RUNS[key] = run
     return run
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """Batches 1-3."""
+    return _run(spark, sf_dir, "full", lambda p: p.run())
+
+
+def first_load(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """An empty vault's first batch, fed with every order (the feed of batch 2)."""
+    return _run(spark, sf_dir, "first", lambda p: p.run_batch(1, with_marts=False, feed=2))
+
+
+def gap(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """Batch 1, then batch 3: number 2 never came."""
+    return _run(spark, sf_dir, "gap", lambda p: p.run(batches=(1, 3), marts_for=()))
+
+
+def replayed(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """Batches 1-3, then batch 2 again: batch 3 is loaded again on top of it."""
+    def load(p):
+        p.run(marts_for=())
+        p.run_batch(2, with_marts=False, replay=True)
+    return _run(spark, sf_dir, "replay", load)
+
+
 def _raw(spark, sf_dir, batch):
     return fixtures.property_raw(spark, sf_dir, batch)
 
 
-def _gold(table: str, batch: int) -> Callable[[SparkSession, str], DataFrame]:
+def _gold(table: str, batch: int, source=pipeline) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark, sf_dir):
-        p = pipeline(spark, sf_dir)
+        p = source(spark, sf_dir)
         return p.satellite(table, batch) if table.startswith("sat_") else p.hub(table, batch)
     return q
 
@@ -57,7 +84,7 @@ def _dash(fn, table: str):
 def _csv_round_trip(spark, sf_dir):
     from vaultmart.sources import files
     p = pipeline(spark, sf_dir)
-    path = f"{p.root}/csv/property_raw"
+    path = f"{p.root}/csv/property_raw-{uuid.uuid4().hex}"  # a frame of an earlier call still reads its own
     files.write_property_csv(_raw(spark, sf_dir, 2), path)
     return files.read_property_csv(spark, path)
 
@@ -67,15 +94,45 @@ def _jdbc_round_trip(spark, sf_dir):
     p = pipeline(spark, sf_dir)
     owners = fixtures.with_loaded_at(fixtures.crm_owners(spark, sf_dir, 1), 1)
     url = jdbc.embedded_url(p.root)
-    jdbc.write_table(owners, url, "SRC_CRM_OWNERS")
-    return jdbc.read_table(spark, url, "SRC_CRM_OWNERS", partition_column="registration_date",
+    table = f"SRC_CRM_OWNERS_{uuid.uuid4().hex[:12].upper()}"
+    jdbc.write_table(owners, url, table)
+    return jdbc.read_table(spark, url, table, partition_column="registration_date",
                            lower="2010-01-01", upper="2019-12-31", partitions=4)
 
 
 def _median_by_suburb(spark, sf_dir):
     p = pipeline(spark, sf_dir)
     return dashboards.median_price_by_suburb(
-        p.mart("mart_property_sales", LAST), p._materializer("median_suburb", LAST))
+        p.mart("mart_property_sales", LAST), p._materializer(f"median_suburb_{uuid.uuid4().hex}", LAST))
+
+
+def _mart_sql_read(spark, sf_dir):
+    p = pipeline(spark, sf_dir)
+    p.publish(LAST, prefix=f"{p.store.db}_")
+    return spark.sql(f"SELECT * FROM `{p.store.db}_mart`.mart_property_sales")
+
+
+def _dq_red(spark, sf_dir):
+    """The runner over tables known to be bad: every kind of test must count violations."""
+    t = quality.Test
+    tests = [t("red", "lineitem", "l_orderkey", "unique"), t("red", "lineitem", "l_partkey", "unique"),
+             t("red", "orders", "o_orderkey", "unique"), t("red", "property_raw", "agent_id", "not_null"),
+             t("red", "property_raw", "transaction_id", "not_null"),
+             t("red", "orders", "o_orderkey", "relationships", "lineitem", "l_orderkey"),
+             t("red", "lineitem", "l_orderkey", "relationships", "orders", "o_orderkey")]
+    tables = {n: fixtures.read_table(spark, sf_dir, n) for n in ("lineitem", "orders")}
+    return quality.run_tests(tests, {**tables, "property_raw": _raw(spark, sf_dir, 2)},
+                             {"lineitem": "l_orderkey"})
+
+
+def _stg_properties_latest(spark, sf_dir):
+    """Sales of one property that carry three load times, one of them null, with other attributes each."""
+    c = F.col("transaction_id").cast("long") % 3
+    raw = _raw(spark, sf_dir, 2).withColumns({
+        "suburb": F.concat("suburb", F.element_at(F.array(*map(F.lit, ("-a", "-b", "-c"))), (c + 1).cast("int"))),
+        "_loaded_at": F.when(c == 0, fixtures._ts(fixtures.BATCH_LOADED_AT[1]))
+                       .when(c == 1, fixtures._ts(fixtures.BATCH_LOADED_AT[3]))})
+    return staging.stg_properties(raw)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -83,19 +140,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_property_raw": lambda s, d: _raw(s, d, 2),
     "stg_transactions": lambda s, d: staging.stg_transactions(_raw(s, d, 2)),
     "stg_properties": lambda s, d: staging.stg_properties(_raw(s, d, 2)),
+    "stg_properties_latest": _stg_properties_latest,
     "stg_owners": lambda s, d: staging.stg_owners(
         fixtures.with_loaded_at(fixtures.crm_owners(s, d, 2), 2)),
     "stg_agents": lambda s, d: staging.stg_agents(
         fixtures.with_loaded_at(fixtures.crm_agents(s, d, 2), 2)),
     # gold, first load
-    **{t: _gold(t, FIRST) for t in [
+    **{t: _gold(t, FIRST, first_load) for t in [
         "hub_property", "hub_owner", "hub_agent", "hub_transaction",
         "lnk_transaction_property", "lnk_transaction_buyer", "lnk_transaction_seller",
         "lnk_transaction_agent", "sat_property_details", "sat_owner_details",
         "sat_agent_details", "sat_transaction_details"]},
     # gold after three batches
-    "hub_property_incremental": _gold("hub_property", LAST),
-    "lnk_transaction_agent_incremental": _gold("lnk_transaction_agent", LAST),
+    **{f"{t}_incremental": _gold(t, LAST) for t in [
+        "hub_property", "hub_owner", "hub_agent", "hub_transaction", "lnk_transaction_property",
+        "lnk_transaction_buyer", "lnk_transaction_seller", "lnk_transaction_agent"]},
+    "sat_property_gap": _gold("sat_property_details", LAST, gap),
+    "hub_transaction_replay": _gold("hub_transaction", LAST, replayed),
+    "sat_property_replay": _gold("sat_property_details", LAST, replayed),
     "sat_transaction_insert_only": _gold("sat_transaction_details", LAST),
     "sat_property_scd2": _gold("sat_property_details", LAST),
     "sat_owner_scd2": _gold("sat_owner_details", LAST),
@@ -105,7 +167,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pipeline(s, d).satellite("sat_property_details", LAST), "property_hk", AS_OF_INSTANT),
     "sat_property_history": lambda s, d: vault.history(
         pipeline(s, d).satellite("sat_property_details", LAST), "property_hk"),
+    "sat_property_one_key": lambda s, d: vault.key_history(
+        pipeline(s, d).satellite("sat_property_details", LAST), "property_hk", ONE_KEY),
+    "sat_property_one_key_latest": lambda s, d: vault.latest_version(
+        pipeline(s, d).satellite("sat_property_details", LAST), "property_hk", ONE_KEY),
     # marts
+    "mart_sql_read": _mart_sql_read,
     "mart_property_sales": _mart("mart_property_sales"),
     "mart_agent_performance": _mart("mart_agent_performance"),
     "mart_suburb_trends": _mart("mart_suburb_trends"),
@@ -119,6 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fixtures.read_table(s, d, "lineitem"), "l_orderkey"),
     "dq_null_agents": lambda s, d: quality.not_null_violations(_raw(s, d, 2), "agent_id")
         .select("transaction_id", "agent_id"),
+    "dq_results_red": _dq_red,
     # dashboards
     "dash_sales_volume": _dash(dashboards.sales_volume, "mart_property_sales"),
     "dash_median_price_by_suburb": _median_by_suburb,

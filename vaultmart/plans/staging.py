@@ -60,7 +60,9 @@ def stg_properties(raw: DataFrame) -> DataFrame:
         _load_date(),
         F.lit(RECORD_SOURCE_RAW).alias("record_source"),
     )
-    staged = typed.select(
+    # one row per distinct version first: a hash aggregate that combines map-side, so the hashes
+    # and the sort below see a few rows per property, not one per sale
+    staged = typed.distinct().select(
         "*",
         hash_key("property_id").alias("property_hk"),
         hashdiff(as_text("address", True), as_text("suburb", True), as_text("postcode", True),

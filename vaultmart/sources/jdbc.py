@@ -42,19 +42,23 @@ def settings_from_env(prefix: str = "VAULTMART_JDBC_") -> tuple[str, dict[str, s
                                       os.environ.get(f"{prefix}DRIVER"))
 
 
-def write_table(df: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
-    """Replace the table's rows (truncate + bulk insert; create if missing)."""
+def write_table(df: DataFrame, url: str, table: str, properties: dict | None = None,
+                connections: int = 16) -> None:
+    """Replace the table's rows (truncate + bulk insert; create if missing).
+
+    At most ``connections`` tasks write at once.  Truncate and inserts are separate
+    transactions: a reader in between sees fewer rows, and a failed write is run again."""
     props = properties or connection_properties(url)
-    (df.write.mode("overwrite").option("truncate", "true")
+    (df.write.option("numPartitions", str(connections)).mode("overwrite").option("truncate", "true")
        .jdbc(url, table, properties=props))
 
 
 def read_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
                lower=None, upper=None, partitions: int = 1,
-               properties: dict | None = None) -> DataFrame:
+               properties: dict | None = None, fetch_size: int = 10_000) -> DataFrame:
     """Read a table, split into ``partitions`` ranges of ``partition_column``."""
     reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
-              .option("preferTimestampNTZ", "true"))
+              .option("preferTimestampNTZ", "true").option("fetchsize", str(fetch_size)))
     for key, value in (properties or connection_properties(url)).items():
         reader = reader.option(key, value)
     if partition_column is not None:

@@ -17,13 +17,19 @@
   ``<sat>/_base/batch=<n>`` says earlier closed partitions are superseded.
 
 Every write first drops the batch's own partitions (catalog entry and
-files; the tables are external), then ``INSERT INTO ... PARTITION (batch=<n>)``.  A batch only replaces its own partitions while it reads earlier
-ones, so a failed or repeated batch simply runs again.
+files; the tables are external), then ``INSERT INTO ... PARTITION (batch=<n>)``.
+A batch only replaces its own partitions while it reads earlier ones.
+
+The run folder also keeps the batches' state: ``_started/batch=<n>`` is written
+before a batch touches any table and ``_finished/batch=<n>`` after its last write.
+Nothing about a batch lives in process memory only, so the next application, or
+the next stream, knows which batches hold and which were broken off.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import threading
 import uuid
 
@@ -31,28 +37,95 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BUCKET_TARGET_BYTES = 128 * 1024 * 1024
+
+
+def bucket_count(input_bytes: int) -> int:
+    """About 128 MiB of a batch's input per bucket, a power of two; one for small grains."""
+    return 1 << max(0, math.ceil(math.log2(max(1, input_bytes / BUCKET_TARGET_BYTES))))
+
+
 class LayerStore:
     """Read and write the layer tables of one pipeline run.
 
     Tables are external: their files stay under the run folder, and a later
     Spark application (the next day's job) re-attaches them with
-    :meth:`attach`, so the run survives the session that started it.  The
-    bucket count is fixed at the first write and kept with the run.
+    :meth:`attach`, so the run survives the session that started it.  Each
+    grain's bucket count is fixed at its first write and kept with the run.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._fixed, self._counts = buckets, {}
         self.db = "vaultmart_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
-        self._lock = threading.Lock()
+        self._lock, self._tables = threading.Lock(), threading.Lock()
         self._locations: dict[str, str] = {}
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{self.root}/catalog'")
-        meta = f"{self.root}/_store"
-        if self._exists(f"{meta}/_SUCCESS"):
-            self.buckets = int(spark.read.parquet(meta).first()["buckets"])
-        else:
-            self.buckets = buckets
-            spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(meta)
+
+    def buckets(self, key: str, source: str | None = None) -> int:
+        """Bucket count of the tables keyed by ``key``: fixed by the caller, or set when the grain is
+        first written, from the bytes of its first bronze input ``source``, and kept with the run."""
+        with self._lock:
+            if key not in self._counts:
+                meta = f"{self.root}/_buckets/{key}"
+                if self._exists(f"{meta}/_SUCCESS"):
+                    self._counts[key] = int(self.spark.read.parquet(meta).first()["buckets"])
+                else:
+                    n = self._fixed or bucket_count(self.folder_bytes(source) if source else 0)
+                    self.spark.createDataFrame([(n,)], "buckets int").write.mode("overwrite").parquet(meta)
+                    self._counts[key] = n
+            return self._counts[key]
+
+    def folder_bytes(self, path: str) -> int:
+        fs, hpath = self._fs(path)
+        return fs.getContentSummary(hpath).getLength() if fs.exists(hpath) else 0
+
+    # -- batch state -------------------------------------------------------------
+    def mark(self, state: str, batch: int, stream: str | None = None, epoch: int | None = None) -> None:
+        rows = [(stream, epoch)]
+        self.spark.createDataFrame(rows, "stream string, epoch long").coalesce(1).write.mode("overwrite").parquet(
+            f"{self.root}/_{state}/batch={batch}")
+
+    def marked(self, state: str) -> list[int]:
+        """Batches ``started`` or ``finished``, ascending."""
+        return self._marked_batches(f"{self.root}/_{state}")
+
+    def batch_of_epoch(self, stream: str, epoch: int) -> int | None:
+        """The batch that a stream's micro-batch was given, if any."""
+        found = [b for b in self.marked("started")
+                 if tuple(self.spark.read.parquet(f"{self.root}/_started/batch={b}").first()) == (stream, epoch)]
+        return found[-1] if found else None
+
+    def drop_from(self, batch: int) -> None:
+        """Forget ``batch`` and every later one: state first, then their silver and gold partitions."""
+        for state in ("finished", "started"):
+            for b in self.marked(state):
+                if b >= batch:
+                    self._delete(f"{self.root}/_{state}/batch={b}")
+        tables = self.spark.sql(f"SHOW TABLES IN {self.db}").collect()
+        for row in tables:
+            if row["isTemporary"]:
+                continue
+            fq = f"{self.db}.{row['tableName']}"
+            layer, table = row["tableName"].split("_", 1)
+            for b in self.batches(layer, table):
+                if b >= batch:
+                    self._drop_batch(fq, b)
+        for table in {r["tableName"].split("_", 1)[1] for r in tables}:
+            for b in self._marked_batches(self.path("gold", table, "_base")):
+                if b >= batch:
+                    self._delete(self.path("gold", table, f"_base/batch={b}"))
+
+    def _delete(self, path: str) -> None:
+        fs, hpath = self._fs(path)
+        if fs.exists(hpath):
+            fs.delete(hpath, True)
+
+    def _drop_batch(self, fq: str, batch: int) -> None:
+        self.spark.sql(f"ALTER TABLE {fq} DROP IF EXISTS PARTITION (batch={batch})")
+        # the catalog may keep the files of a dropped partition: remove our own
+        self._delete(f"{self._location(fq)}/batch={batch}")
 
     # -- paths and names -------------------------------------------------------
     def path(self, layer: str, table: str, part: str | None = None) -> str:
@@ -110,12 +183,13 @@ class LayerStore:
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {fq} ({cols}, {parts}) USING parquet "
             f"PARTITIONED BY ({names}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
-            f"INTO {self.buckets} BUCKETS LOCATION '{self.path(layer, table)}'")
+            f"INTO {self.buckets(key)} BUCKETS LOCATION '{self.path(layer, table)}'")
 
     def _ensure_table(self, df: DataFrame, layer: str, table: str, key: str,
                       partitions: tuple[tuple[str, str], ...]) -> str:
         fq = self.name(layer, table)
-        with self._lock:
+        self.buckets(key)
+        with self._tables:
             if not self.spark.catalog.tableExists(fq):
                 self._create(fq, df.schema.fields, layer, table, key, partitions)
         return fq
@@ -124,7 +198,7 @@ class LayerStore:
         """Register a table written by an earlier application, with its partitions."""
         fq = self.name(layer, table)
         path = self.path(layer, table)
-        with self._lock:
+        with self._tables:
             if self.spark.catalog.tableExists(fq) or not self._exists(path):
                 return
             partitions = (("batch", "int"), ("is_current", "boolean")) if satellite \
@@ -140,18 +214,21 @@ class LayerStore:
             self._locations[fq] = next(r.data_type for r in rows if r.col_name == "Location")
         return self._locations[fq]
 
-    def _insert(self, df: DataFrame, fq: str, batch: int, extra_cols: list[str]) -> None:
+    def _insert(self, df: DataFrame, fq: str, batch: int, extra_cols: list[str], drop: bool = True) -> None:
+        schema = self.spark.table(fq).schema
+        want = {f.name: f.dataType for f in schema.fields if f.name != "batch"}
+        have = {f.name: f.dataType for f in df.schema.fields}
+        if have != want:
+            differ = sorted(set(map(str, have.items())) ^ set(map(str, want.items())))
+            raise ValueError(f"{fq}: the columns to write do not match the table: {differ}")
         view = f"vaultmart_batch_{uuid.uuid4().hex}"
         df.createOrReplaceTempView(view)
         try:
-            cols = ", ".join(f"`{c}`" for c in [*[c for c in df.columns if c not in extra_cols],
-                                                   *extra_cols])
+            # by name: in the table's column order, dynamic partitions last
+            cols = ", ".join(f"`{c}`" for c in [*[c for c in want if c not in extra_cols], *extra_cols])
             spec = ", ".join([f"batch={batch}", *extra_cols])
-            self.spark.sql(f"ALTER TABLE {fq} DROP IF EXISTS PARTITION (batch={batch})")
-            # the catalog may keep the files of a dropped partition: remove our own
-            fs, hpath = self._fs(f"{self._location(fq)}/batch={batch}")
-            if fs.exists(hpath):
-                fs.delete(hpath, True)
+            if drop:
+                self._drop_batch(fq, batch)
             self.spark.sql(f"INSERT INTO {fq} PARTITION ({spec}) SELECT {cols} FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
@@ -164,7 +241,7 @@ class LayerStore:
         the planner drops this exchange when the input is already partitioned
         that way (a bucketed read, or a join or window on the key).
         """
-        return df.repartition(self.buckets, key)
+        return df.repartition(self.buckets(key), key)
 
     def write_bucketed(self, df: DataFrame, layer: str, table: str, key: str, batch: int) -> None:
         """Replace partition ``batch`` of a table bucketed by ``key``."""
@@ -184,11 +261,32 @@ class LayerStore:
                 .where(F.col("batch") <= batch).drop("batch"))
 
     # -- satellites ---------------------------------------------------------------
+    def open_batches(self, table: str) -> list[int]:
+        """Batches whose open rows are stored."""
+        fq = self.name("gold", table)
+        if not self.spark.catalog.tableExists(fq):
+            return []
+        parts = [p.split("/") for (p,) in self.spark.sql(f"SHOW PARTITIONS {fq}").collect()]
+        return sorted(int(b.split("=", 1)[1]) for b, state in parts if state == "is_current=true")
+
+    def latest(self, table: str, batch: int) -> int | None:
+        """The last batch up to ``batch`` that loaded the table: batch numbers may have gaps."""
+        found = [b for b in self.open_batches(table) if b <= batch]
+        if not found and not self.has_open(table, batch):
+            raise ValueError(f"the open rows of {table} as of batch {batch} are not stored any more")
+        return found[-1] if found else None
+
+    def has_open(self, table: str, batch: int) -> bool:
+        """Whether the open rows as of ``batch`` are stored, if there were any."""
+        finished = [b for b in self.marked("finished") if b <= batch]
+        return not finished or finished[-1] in self.open_batches(table)
+
     def read_open(self, table: str, batch: int) -> DataFrame | None:
-        if batch not in self.batches("gold", table):
+        last = self.latest(table, batch)
+        if last is None:
             return None
         return (self.spark.table(self.name("gold", table))
-                .where((F.col("batch") == batch) & F.col("is_current"))
+                .where((F.col("batch") == last) & F.col("is_current"))
                 .drop("batch", "is_current"))
 
     def _closed_start(self, table: str, batch: int) -> int:
@@ -211,10 +309,11 @@ class LayerStore:
         One scan of the bucketed table with a partition filter, so a window or
         join on the hash key over the history needs no shuffle.
         """
-        if batch not in self.batches("gold", table):
+        last = self.latest(table, batch)
+        if last is None:
             return None
         start = self._closed_start(table, batch)
-        live = (((F.col("batch") == batch) & F.col("is_current"))
+        live = (((F.col("batch") == last) & F.col("is_current"))
                 | (F.col("batch").between(start, batch) & ~F.col("is_current")))
         return (self.spark.table(self.name("gold", table)).where(live)
                 .drop("batch", "is_current"))
@@ -222,14 +321,44 @@ class LayerStore:
     def has_base(self, table: str, batch: int) -> bool:
         return batch in self._marked_batches(self.path("gold", table, "_base"))
 
-    def write_satellite(self, open_rows: DataFrame, closed: DataFrame, table: str, key: str,
-                        batch: int, closed_is_full: bool) -> None:
-        """One job: the batch's open and closed rows, split by ``is_current``."""
-        rows = (open_rows.withColumn("is_current", F.lit(True))
-                .unionByName(closed.withColumn("is_current", F.lit(False))))
-        fq = self._ensure_table(open_rows, "gold", table, key,
+    def write_satellite(self, out, table: str, key: str, batch: int) -> None:
+        """A batch's rows, split by ``is_current``: the touched rows in one pass (their close-out window
+        runs once), and the untouched open rows straight from the bucketed scan, so they
+        are copied bucket by bucket and never shuffled."""
+        touched = out.touched.withColumn("is_current", F.col("load_end_date").isNull())
+        fq = self._ensure_table(out.touched, "gold", table, key,
                                 (("batch", "int"), ("is_current", "boolean")))
-        self._insert(self._by_bucket(rows, key), fq, batch, ["is_current"])
-        if closed_is_full:
+        self._insert(self._by_bucket(touched, key), fq, batch, ["is_current"])
+        for rows, is_open in ((out.untouched, True), (out.closed, False)):
+            if rows is not None:
+                rows = rows.withColumn("is_current", F.lit(is_open))
+                self._insert(self._by_bucket(rows, key), fq, batch, ["is_current"], drop=False)
+        if out.closed is not None:
             self.spark.range(0).write.mode("overwrite").parquet(
                 self.path("gold", table, f"_base/batch={batch}"))
+
+    def drop_superseded(self, table: str, keep: int) -> None:
+        """Release the open rows of all but the last ``keep`` batches: each batch holds them anew."""
+        fq = self.name("gold", table)
+        for b in self.batches("gold", table)[:-keep]:
+            self.spark.sql(f"ALTER TABLE {fq} DROP IF EXISTS PARTITION (batch={b}, is_current=true)")
+            self._delete(f"{self._location(fq)}/batch={b}/is_current=true")
+
+    # -- named layers -----------------------------------------------------------
+    def publish(self, layer: str, table: str, batch: int, database: str, kind: str) -> None:
+        """Point view ``<database>.<table>`` at the table as of ``batch``; readers of the view before
+        keep reading the files it named."""
+        if kind == "files":
+            source = f"parquet.`{self.path(layer, table, f'batch={batch}')}`"
+            select = f"SELECT * FROM {source}"
+        else:
+            fq = self.name(layer, table)
+            cols = ", ".join(f"`{f.name}`" for f in self.spark.table(fq).schema.fields
+                             if f.name not in ("batch", "is_current"))
+            where = {"batch": f"batch = {batch}", "appended": f"batch <= {batch}"}.get(kind)
+            if where is None:
+                where = (f"(batch = {self.latest(table, batch)} AND is_current) OR (batch BETWEEN "
+                         f"{self._closed_start(table, batch)} AND {batch} AND NOT is_current)")
+            select = f"SELECT {cols} FROM {fq} WHERE {where}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS {select}")
