@@ -26,11 +26,19 @@ def words(column):
 def write_table(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write `df` to a fresh folder under the cluster's shared folder and read it back.
 
-    Cuts lineage: a lost executor later costs a file read, not the work behind the table.
+    Cuts lineage: a lost executor later costs a file read, not the work behind the table.  The
+    shuffle files behind it are not needed any more and go at once, instead of when the driver
+    happens to collect garbage.
     """
     spark = df.sparkSession
     path = new_run_dir(spark, label)
-    df.write.parquet(path, compression=codec)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        df.write.parquet(path, compression=codec)
+    finally:
+        spark.conf.set(name, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -71,13 +71,18 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 def repeated_keys(keys: DataFrame) -> DataFrame:
     """(bucket, bits): the keys of `keys` (key) that occur at least twice, marked in a bitmap."""
     again = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    marks = again.select(F.expr(f"pmod(key, {_BITS}) + 1").alias("y"))
+    return _bitmap(again.select("key"))
+
+
+def _bitmap(keys: DataFrame) -> DataFrame:
+    """(bucket, bits): the distinct `keys` (key) marked in a bitmap."""
+    marks = keys.select(F.expr(f"pmod(key, {_BITS}) + 1").alias("y"))
     return marks.select(F.bitmap_bucket_number("y").alias("bucket"), F.bitmap_bit_position("y").alias("bit")) \
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
-def with_marked(df: DataFrame, key_columns: list[str], marks: DataFrame) -> DataFrame:
-    """Rows of `df` of which any of the key columns is marked."""
+def with_mark(df: DataFrame, key_columns: list[str], marks: DataFrame) -> DataFrame:
+    """`df` with boolean `marked`: any of the key columns is marked."""
     found = F.lit(False)
     for k, c in enumerate(key_columns):
         y = f"(pmod({c}, {_BITS}) + 1)"
@@ -88,7 +93,7 @@ def with_marked(df: DataFrame, key_columns: list[str], marks: DataFrame) -> Data
         bit = F.expr(f"shiftright({byte}, cast(bitmap_bit_position({y}) % 8 as int)) & 1")
         found = found | F.coalesce(bit == 1, F.lit(False))
     extra = [f"_{x}{k}" for k in range(len(key_columns)) for x in "bm"]
-    return df.filter(found).drop(*extra)
+    return df.withColumn("marked", found).drop(*extra)
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -129,11 +134,11 @@ def near_links(lines: DataFrame) -> DataFrame:
     long = lines.filter(F.col("n") >= MIN_WORDS)
     marks = write_table(repeated_keys(long.select(F.explode("halves").alias("key"))), "line-halves")
     sized = [f"halves[{k}]" for k in range(4)]
-    found = with_marked(long, sized, marks).select("h1", "h2", "place", "n", words(F.col("line")).alias("w"))
+    found = with_mark(long, sized, marks).filter("marked").select("h1", "h2", "place", "n", words(F.col("line")).alias("w"))
     found = write_table(found, "lines-found")
     keys = variants(found)
     marks = write_table(repeated_keys(keys.select("key")), "line-variants")
-    keys = with_marked(keys, ["key"], marks)
+    keys = with_mark(keys, ["key"], marks).filter("marked").drop("marked")
     members = write_table(keys.join(found.select("h1", "h2", "place"), ["h1", "h2"]), "line-members")
     at = F.struct("place", "h1", "h2")
     first = members.groupBy("key").agg(
@@ -157,23 +162,27 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                       F.col(text_col).alias("text"))
     lines = distinct_lines(row)
     gone = write_table(near_links(lines), "lines-gone")
-    stay = lines.join(gone, ["h1", "h2"], "left_anti").select("place.doc", "place.no", "line")
+    # lines that cannot be among those gone are not shuffled to find out
+    marks = write_table(_bitmap(gone.select(F.col("h1").alias("key"))), "lines-gone-marks")
+    lines = with_mark(lines.select("h1", "h2", "place", "line"), ["h1"], marks)
+    stay = lines.filter("not marked").unionByName(lines.filter("marked").join(gone, ["h1", "h2"], "left_anti")).select(
+        "place.doc", "place.no", "line")
     blank = _lines(row).filter(~_has_word(F.col("line"))).distinct()
-    kept = stay.unionByName(blank).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("no", "line"))).alias("_l"))
     taken = [*docs.columns, "n_lines", "n_kept"]
-    key, count, null, new, got = (free_name(taken, c) for c in ("_doc", "_lines", "_null", "_text", "_kept"))
+    key, count, null, new, own, got = (free_name(taken, c) for c in ("_doc", "_lines", "_null", "_text", "_own", "_kept"))
+    kept = stay.unionByName(blank).select(F.col("doc").alias(own), "no", "line").groupBy(own).agg(
+        F.sort_array(F.collect_list(F.struct("no", "line"))).alias(got))
     others = [c for c in docs.columns if c != text_col and c.lower() not in ("n_lines", "n_kept")]
     marked = docs.select(*[F.col(f"`{c}`") for c in others],
                          F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t")).alias(key),
                          F.size(F.split(F.col(text_col), "\n")).alias(count), F.col(text_col).isNull().alias(null))
-    kept = kept.select(F.struct("doc", "_l").alias(got))
-    # null-safe on the id: a plain equality would lose rows of null ids
-    joined = marked.join(kept, F.col(f"{key}.id").eqNullSafe(F.col(f"{got}.doc.id"))
-                         & (F.col(f"{key}.t") == F.col(f"{got}.doc.t")), "left")
-    text = F.when(~F.col(null), F.coalesce(F.array_join(F.col(f"{got}._l.line"), "\n"), F.lit("")))
+    # on the very struct the lines are grouped by (null ids inside it are equal): the gathered lines
+    # are not shuffled again
+    joined = marked.join(kept, F.col(key) == F.col(own), "left")
+    text = F.when(~F.col(null), F.coalesce(F.array_join(F.col(f"{got}.line"), "\n"), F.lit("")))
     out = joined.withColumn(new, text)
     columns = [F.col(new).alias(c) if c == text_col else
                F.char_length(new).cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(f"`{c}`")
                for c in docs.columns if c.lower() not in ("n_lines", "n_kept")]
     return out.select(*columns, F.when(F.col(null), 0).otherwise(F.col(count)).cast("long").alias("n_lines"),
-                      F.coalesce(F.size(f"{got}._l"), F.lit(0)).cast("long").alias("n_kept"))
+                      F.coalesce(F.size(got), F.lit(0)).cast("long").alias("n_kept"))
