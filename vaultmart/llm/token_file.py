@@ -32,13 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vaultmart.llm.common import new_run_dir
+from vaultmart.llm.common import RecentCache, new_run_dir, small_batches
 
 MAGIC, VERSION, CHUNK_BITS = 0x31434144, 1, 8
 RANK_BITS = 512
 SHARD_IDS = 1 << 18      # a shard is closed at the first document end past this many ids
-CACHE_ENTRIES = 400_000  # words cached per Python worker
-GROUP_CHARS = 1 << 21
+CACHE_ENTRIES = 80_000   # words cached per Python worker and generation
+GROUP_CHARS = 1 << 18
+STOPS = ".,;:!?"
+# the split pattern that the vocabulary file must state for the shortcuts of WordEncoder to hold
+WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def encode_shard(ids: np.ndarray, doc_ends: np.ndarray) -> bytes:
@@ -116,37 +119,71 @@ class Shard:
 
 class WordEncoder:
     """Ids by the tokenizers library.  The model's text rules never join across a space or a line
-    end, so each stretch between them is encoded once by the library and kept in a bounded cache."""
+    end, so each stretch between them is encoded once and kept in a bounded cache.  Nor do they join letters
+    and the punctuation after them, and they lower-case, so a word is given to the library once for
+    all its spellings with ASCII capitals and stops."""
 
     def __init__(self, model_json: str) -> None:
         from tokenizers import Tokenizer
 
         rules = json.loads(model_json)
         kinds = [n["type"] for n in rules["normalizer"]["normalizers"]]
-        if kinds != ["NFC", "Replace", "Lowercase"] or rules["pre_tokenizer"]["pretokenizers"][0]["type"] != "Split":
+        split = rules["pre_tokenizer"]["pretokenizers"][0]
+        if kinds != ["NFC", "Replace", "Lowercase"] or split["pattern"]["Regex"] != WORD_RULE:
             raise ValueError("this vocabulary's text rules are not known to part at white space")
         self.library = Tokenizer.from_str(model_json)
-        self.cache: dict[str, bytes] = {"": b""}
+        self.model, self.normalizer = self.library.model, self.library.normalizer
+        self.byte_chars = {b: c for c, b in _byte_alphabet().items()}
+        self.stretches, self.cores = RecentCache(CACHE_ENTRIES), RecentCache(CACHE_ENTRIES)
+
+    def _encode(self, cores: list[str]) -> list[list[int]]:
+        """A run of letters is one pre-token whatever stands around it: it goes straight to the library's
+        merge model, after the library's normaliser; everything else goes through the whole library."""
+        letters = [c for c in cores if c.isalpha()]
+        normal = dict(zip(letters, self.normalizer.normalize_str(" ".join(letters)).split(" "), strict=True)) if letters else {}
+        out = []
+        for core in cores:
+            n = normal.get(core, "")
+            if n.isalpha():
+                if not n.isascii():
+                    n = n.encode().decode("latin-1").translate(self.byte_chars)
+                out.append([t.id for t in self.model.tokenize(n)])
+            else:
+                out.append(self.library.encode(core, add_special_tokens=False).ids)
+        return out
 
     def learn(self, stretches: set[str]) -> dict[str, bytes]:
-        if len(self.cache) + len(stretches) > CACHE_ENTRIES:
-            self.cache = {"": b""}
-        new = [s for s in stretches if s not in self.cache]
-        found = self.library.encode_batch_fast(new, add_special_tokens=False)
-        self.cache.update((s, np.array(e.ids, np.uint32).tobytes()) for s, e in zip(new, found))
-        return self.cache
+        """A mapping that holds the ids of every one of `stretches`."""
+        parted = {}
+        for s in self.stretches.missing(stretches):
+            core = s.rstrip(STOPS)
+            if core.isalpha():
+                parted[s] = (core.lower() if core.isascii() else core, s[len(core):])
+            else:
+                parted[s] = (s, "")
+        new = self.cores.missing({x for pair in parted.values() for x in pair})
+        known = self.cores.young
+        if new:
+            known.update((s, np.array(e, np.uint32).tobytes()) for s, e in zip(new, self._encode(new), strict=True))
+        self.stretches.young.update((s, known[a] + known[b]) for s, (a, b) in parted.items())
+        return self.stretches.young
 
     def encode_texts(self, texts: list[str], end_id: int) -> list[bytes]:
         """Per text its ids and `end_id`, as little-endian 32-bit integers."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        stretches: set[str] = set()
-        for s in split:
-            stretches.update(s)
-        known = self.learn(stretches)
+        known = self.learn(set().union(*split))
         end = struct.pack("<I", end_id)
         return [b"".join([*map(known.__getitem__, s), end]) for s in split]
 
 
+def _byte_alphabet() -> dict[int, int]:
+    """Byte-level pre-tokenisers write printable Latin-1 bytes as themselves and the others, in order,
+    as the characters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {256 + k: b for k, b in enumerate(rest)}
+
+
 _WORKER: dict = {}
 
 SHARD_SCHEMA = "part int, local_start long, n_ids long, doc_ids array<bigint>, payload binary"
@@ -156,6 +193,7 @@ def write_token_file(docs: DataFrame, model_path: str, end_id: int, path: str, t
                      id_col: str = "doc_id", shard_ids: int = SHARD_IDS) -> None:
     """Write the shards of all documents, in ascending order of the id, under `path`."""
     spark = docs.sparkSession
+    small_batches(spark)
     with open(model_path, encoding="utf-8") as f:
         blob = f.read()
     model, key = spark.sparkContext.broadcast(blob), zlib.crc32(blob.encode())
