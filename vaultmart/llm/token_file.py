@@ -37,7 +37,7 @@ from vaultmart.llm.common import RecentCache, new_run_dir, small_batches
 MAGIC, VERSION, CHUNK_BITS = 0x31434144, 1, 8
 RANK_BITS = 512
 SHARD_IDS = 1 << 18      # a shard is closed at the first document end past this many ids
-CACHE_ENTRIES = 80_000   # words cached per Python worker and generation
+CACHE_ENTRIES = 200_000  # words cached per Python worker and generation
 GROUP_CHARS = 1 << 18
 STOPS = ".,;:!?"
 # the split pattern that the vocabulary file must state for the shortcuts of WordEncoder to hold
