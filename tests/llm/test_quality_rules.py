@@ -37,14 +37,16 @@ def test_cells_bound_the_error(spark):
 
 
 def test_sketches_merge(spark):
-    counts = spark.range(3000).select(
-        F.lit("en").alias("lang"), (F.col("id") % 3).cast("string").alias("source"), F.lit(False).alias("base_failed"),
-        F.lit(100).alias("n_words"), (F.col("id") + 100).alias("word_chars"), F.lit(0).alias("n_symbols"),
-        F.lit(4).alias("n_lines"), F.lit(0).alias("n_dup_lines"), F.lit(0).alias("n_repeat_words"))
-    parts = [q.sketches(counts.filter(F.col("id") % 2 == k) if "id" in counts.columns else counts) for k in (0,)]
-    whole = q._quartiles(parts[0], ["lang"]).filter("ratio = 'word_len'").first()
-    assert whole.docs == 3000
-    assert 849 <= whole.q1 <= 849 * 33 / 32 and 2349 <= whole.q3 <= 2349 * 33 / 32
+    def counts(low, high):
+        return spark.range(low, high).select(
+            F.lit("en").alias("lang"), (F.col("id") % 3).cast("string").alias("source"), F.lit(False).alias("base_failed"),
+            F.lit(100).alias("n_words"), (F.col("id") + 100).alias("word_chars"), F.lit(0).alias("n_symbols"),
+            F.lit(4).alias("n_lines"), F.lit(0).alias("n_dup_lines"), F.lit(0).alias("n_repeat_words"))
+    parts = q.sketches(counts(0, 1700)).unionByName(q.sketches(counts(1700, 3000)))
+    merged = q._quartiles(parts, ["lang"]).filter("ratio = 'word_len'").first()
+    assert merged == q._quartiles(q.sketches(counts(0, 3000)), ["lang"]).filter("ratio = 'word_len'").first()
+    assert merged.docs == 3000
+    assert 849 <= merged.q1 <= 849 * 33 / 32 and 2349 <= merged.q3 <= 2349 * 33 / 32
 
 
 @pytest.fixture(scope="module")
