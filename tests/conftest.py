@@ -25,7 +25,7 @@ def run(spark):
     """Batches 1-3 at sf0.001, then batch 4 = the feed of batch 3 sent again."""
     from vaultmart.plans.pipeline import Pipeline
 
-    p = Pipeline(spark, SF_SMALL, buckets=8)
+    p = Pipeline(spark, SF_SMALL, buckets=8, keep_open=None)
     p.run(batches=(1, 2, 3), marts_for=(3,))
     p.run_batch(4, with_marts=False, feed=3)
     return p

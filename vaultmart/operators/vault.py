@@ -143,14 +143,30 @@ class SatelliteBatch:
 
     ``touched``: the open versions of the batch's changed keys and the new ones, closed out
     (``load_end_date`` set or null); ``untouched``: all other open rows (None on first load);
-    ``closed``: the earlier closed rows, only when the batch replaces some of them."""
+    ``kept_closed``: the earlier closed rows, only when the batch replaces some of them."""
 
     touched: DataFrame
     untouched: DataFrame | None
-    closed: DataFrame | None
+    kept_closed: DataFrame | None
     changed: DataFrame
     n_changed: int = 0
 
+    @property
+    def closed_is_full(self) -> bool:
+        """Whether ``closed`` is the whole closed part, not just what the batch adds to it."""
+        return self.kept_closed is not None
+
+    @property
+    def open(self) -> DataFrame:
+        """All open rows after the batch."""
+        rows = self.touched.where(F.col(LOAD_END_DATE).isNull())
+        return rows if self.untouched is None else self.untouched.unionByName(rows)
+
+    @property
+    def closed(self) -> DataFrame:
+        rows = self.touched.where(F.col(LOAD_END_DATE).isNotNull())
+        return rows if self.kept_closed is None else self.kept_closed.unionByName(rows)
+
 
 def close_versions(rows: DataFrame, hk: str) -> DataFrame:
     """SCD2 close-out (V6) over open rows unique per ``(hk, load_date)``.
@@ -201,12 +217,12 @@ def load_satellite(staged: DataFrame, hk: str, attrs: Sequence[str],
         untouched = open_prev.join(keys, hk, "left_anti").select(*cols)
     touched = close_versions(touched, hk).select(*cols)
 
-    closed = None
+    kept_closed = None
     if closed_prev is not None and (n_older > 0 or force_full_closed):
         suspects = changed.where(older).select(hk, LOAD_DATE)
         if force_full_closed or not closed_prev.join(suspects, [hk, LOAD_DATE], "left_semi").isEmpty():
-            closed = closed_prev.join(suspects, [hk, LOAD_DATE], "left_anti").select(*cols)
-    return SatelliteBatch(touched=touched, untouched=untouched, closed=closed,
+            kept_closed = closed_prev.join(suspects, [hk, LOAD_DATE], "left_anti").select(*cols)
+    return SatelliteBatch(touched=touched, untouched=untouched, kept_closed=kept_closed,
                           changed=changed.drop(_PREV_LOAD_DATE), n_changed=observed(stats, "changed"))
 
 

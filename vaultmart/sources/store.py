@@ -329,11 +329,11 @@ class LayerStore:
         fq = self._ensure_table(out.touched, "gold", table, key,
                                 (("batch", "int"), ("is_current", "boolean")))
         self._insert(self._by_bucket(touched, key), fq, batch, ["is_current"])
-        for rows, is_open in ((out.untouched, True), (out.closed, False)):
+        for rows, is_open in ((out.untouched, True), (out.kept_closed, False)):
             if rows is not None:
                 rows = rows.withColumn("is_current", F.lit(is_open))
                 self._insert(self._by_bucket(rows, key), fq, batch, ["is_current"], drop=False)
-        if out.closed is not None:
+        if out.closed_is_full:
             self.spark.range(0).write.mode("overwrite").parquet(
                 self.path("gold", table, f"_base/batch={batch}"))
 
