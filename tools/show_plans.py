@@ -19,15 +19,20 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def main() -> None:
     from vaultmart.operators import vault
     from vaultmart.plans import marts
-    from vaultmart.plans.pipeline import Pipeline
+    from vaultmart.plans.pipeline import SATELLITES, Pipeline
     from vaultmart.session import get_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     spark = get_session("local[4]", shuffle_partitions=8, extra={
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
-    run = Pipeline(spark, sf_dir).run()
+    run = Pipeline(spark, sf_dir, buckets=8).run()
+    sat = vault.load_satellite(
+        run.staged("stg_owners", 3), "owner_hk", SATELLITES["sat_owner_details"][2],
+        run.store.read_open("sat_owner_details", 2), None, materialize=run._materializer("show_plans", 3))
     plans = {
+        "satellite write, untouched rows": run.store._by_bucket(sat.untouched, "owner_hk"),
+        "satellite write, touched rows": run.store._by_bucket(sat.touched, "owner_hk"),
         "hub load (batch 3 against batches 1-2)": vault.load_hub(
             run.staged("stg_transactions", 3), "transaction_hk", "transaction_id",
             run.hub("hub_transaction", 2)),
