@@ -276,7 +276,7 @@ def drop_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str =
     fp, row = free_name(docs.columns, "_fingerprint"), free_name(docs.columns, "_row")
     # written, so that a row's number is fixed
     marked = write_table(docs.withColumns({fp: fingerprint(docs[text_col], shingle),
-                                           row: F.monotonically_increasing_id()}), "simhash-docs")
+                                           row: F.monotonically_increasing_id()}), "simhash-docs", "zstd")
     ids = marked.select(F.col(id_col).alias("doc_id"), F.col(fp).alias("fingerprint"), F.col(row).alias("row"))
     component = class_components(ids, radius)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("k")
