@@ -1,7 +1,9 @@
 """Licence scan: held-out accuracy on generated paragraphs, and planted lines."""
 
 import random
+import textwrap
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,69 @@ def test_whole_table(spark, docs):
     want = sorted((d.doc_id, k, planted[x]) for d in docs.collect() for k, x in enumerate((d.text or "").split("\n")) if x in planted)
     got = op2_license_scan(spark, "/root/testdata/sf0.001").collect()
     assert sorted((r.doc_id, r.paragraph, r.family) for r in got) == want and want
+
+
+NOTICES = {
+    "MIT": ls.TEMPLATES[3][1], "BSD-3-Clause": ls.TEMPLATES[8][1],
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+               "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+               "option) any later version.",
+    "MPL-2.0": ls.TEMPLATES[10][1], "Apache-2.0": ls.TEMPLATES[1][1]}
+
+
+@pytest.mark.parametrize("lead", ["", " * ", "# "])
+@pytest.mark.parametrize("width", [30, 72])
+def test_wrapped_notices(model, lead, width):
+    for family, notice in NOTICES.items():
+        lines = textwrap.wrap(notice, width)
+        text = "\n".join(["some text before", *(lead + x for x in lines), lead.rstrip(), "and text after it"])
+        found = model.find(text)
+        assert [(f["family"], f["paragraph"], f["last_line"]) for f in found] == [(family, 1, len(lines))]
+        assert ls.normal_words(text[found[0]["start"]:found[0]["end"]]) == ls.normal_words(notice)
+
+
+def test_blank_lines_part_notices(model):
+    lines = textwrap.wrap(NOTICES["MIT"], 72)
+    assert model.find("\n".join(lines)) and not model.find("\n \n".join(lines))
+
+
+def test_notice_inside_a_long_line(spark, model):
+    mit = "Released under the MIT License."
+    docs = spark.createDataFrame([(5, "x " * 50_000 + mit), (6, "x " * 20_000 + mit + " y" * 20_000 + " " + mit)],
+                                 "doc_id long, text string")
+    got = docs.select("doc_id", "text", F.explode(ls.scan(F.col("text"), model)).alias("f")).select(
+        "doc_id", "f.paragraph", "f.start", "f.family", F.expr("substring(text, f.start + 1, f.end - f.start)").alias("span"))
+    end = 40_000 + len(mit) + 40_001
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (5, 0, 100_000, "MIT", mit[:-1]), (6, 0, 40_000, "MIT", mit[:-1]), (6, 0, end, "MIT", mit[:-1])]
+
+
+def test_windows_against_every_offset(model):
+    """The bound and the starts at template words lose no window."""
+    rng = random.Random(3)
+    agreeing = 0
+    for trial in range(60):
+        family, text = ls.TEMPLATES[trial % len(ls.TEMPLATES)]
+        words = [w for w in ls.normal_words(text) if rng.random() > 0.1]
+        for _ in range(rng.randint(0, 6)):
+            words.insert(rng.randint(0, len(words)), rng.choice(["zz", "the", "license", "under"]))
+        words = ["yy"] * rng.randint(0, 9) + words + ["yy"] * rng.randint(0, 9)
+        got = {k for k, _, _, _ in model.windows(np.array([model.terms.get(w, -1) for w in words]))}
+        want = set()
+        for k, (f, template) in enumerate(model.templates):
+            size = len(template) + max(ls.SLACK, len(template) // 4)
+            for a in range(len(words)):
+                part = words[a:a + size]
+                if (ls.common_subsequence(template, part) >= ls.AGREE * len(template) - 1e-9
+                        and all(w in part for w in template if ls.VARIANT.fullmatch(w))):
+                    want.add(k)
+        assert got == want
+        agreeing += bool(want)
+    assert agreeing > 30
+
+
+def test_lines_with_many_words_put_in_are_still_found(model):
+    """What the line alone confirms stays found, though no window is that long."""
+    words = NOTICES["MIT"].split()
+    line = " ".join(w + (" zz" if k % 2 else "") for k, w in enumerate(words))
+    assert model.classify([line])[0] is None or [f["family"] for f in model.find(line)] == ["MIT"]

@@ -1,6 +1,9 @@
-"""Licence scan: a trained paragraph classifier, confirmed against templates.
+"""Licence scan: a trained classifier of word windows, confirmed against templates.
 
-Paragraphs are a text's lines with a word.  Features are the hashed word 1- and 2-grams that occur in
+Paragraphs are runs of lines with a word; lines without one (blank, or comment signs only) part them.  In a
+paragraph every word of a template begins a window of the template's length and a quarter, SLACK words more at
+least, across line ends and inside long lines alike; an exact bound on the words it shares with the template
+comes before the comparison.  A window ends with its last agreeing word.  Features are the hashed word 1- and 2-grams that occur in
 the templates (a sparse vector: other n-grams only add to the count of unknown ones).  A softmax regression
 over the licence families and a class `unknown` is trained on the driver, on generated variants of the
 templates (words dropped, case and stops changed, text around them) and, as unknown, on at most
@@ -9,19 +12,23 @@ partitioning or on the corpus size.  This is the operator's one bounded sample.
 
 The unknown class is calibrated: on a held-out part of the training set a temperature is fitted and
 then, on held-out unknown paragraphs, the smallest probability a licence must have so that at most one in
-CALIBRATION of them passes (within THRESHOLDS).  A paragraph predicted as a licence must also agree with one of the family's
-templates: at least AGREE of the template's words (its longest common subsequence with the paragraph)
-and, where the template has a version or variant word, that word.
+CALIBRATION of them passes (within THRESHOLDS).  A window is found if it agrees with a template, at least AGREE
+of the template's words (their longest common subsequence) and, where the template has a version or variant
+word, that word, and is predicted as the template's family.  Of windows that overlap the one with most agreeing
+words stays (then the highest share, the shortest, the first).  A line that no found window touches is also
+tried whole, so that words put in beyond a window's length do not hide a notice on one line.
 
 A paragraph that lacks all witness words (of each template its longest words, more than an agreeing
 paragraph can lack) cannot be confirmed and is not scored; all others of all texts are.
 
 Defined results: null, empty and blank texts have no licence; repeated rows and repeated paragraphs each
-count; very long paragraphs are scored whole; an empty table gives an empty result; other columns pass by.
+count; very long paragraphs are searched whole; pieces of a template (lines of a wrapped notice) are not taught as
+unknown; an empty table gives an empty result; other columns pass by.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 
@@ -67,8 +74,10 @@ SAMPLE_PARAGRAPHS, SAMPLE_CHARS = 4000, 1000
 CALIBRATION = 100
 THRESHOLDS = (0.5, 0.9)
 AGREE = 0.8
+SLACK = 8  # words put in that a window has room for, at least
 SEED = 11
 _WORD = re.compile(r"[^\W_]+(?:[.\-'][^\W_]+)*")
+_BREAK = re.compile(r"\n[\W_]*\n")
 
 
 def normal_words(paragraph: str) -> list[str]:
@@ -91,6 +100,31 @@ def common_subsequence(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
+def last_agreeing(a: list[int], b: list[int]) -> tuple[int, int]:
+    """Length of the longest common subsequence, and the shortest prefix of `b` that has it."""
+    places: dict[int, int] = {}
+    for i, w in enumerate(a):
+        places[w] = places.get(w, 0) | 1 << i
+    full = row = (1 << len(a)) - 1
+    length = end = 0
+    for k, w in enumerate(b, 1):
+        hit = row & places.get(w, 0)
+        if hit:
+            row = (row + hit | row - hit) & full
+            if len(a) - row.bit_count() > length:
+                length, end = length + 1, k
+    return length, end
+
+
+def paragraphs_of(text: str):
+    """(start, end) of the runs of lines with a word."""
+    at = 0
+    for m in _BREAK.finditer(text):
+        yield at, m.start()
+        at = m.end()
+    yield at, len(text)
+
+
 class Model:
     """Sparse softmax regression over template n-grams, with a temperature and a threshold."""
 
@@ -102,6 +136,10 @@ class Model:
         self.weights = np.zeros((len(self.features) + 2, len(self.families)))  # + unknown share, bias
         self.temperature, self.threshold = 1.0, 0.5
         self._witnesses = self.witnesses()
+        self.terms = {w: k for k, w in enumerate(dict.fromkeys(w for _, words in self.templates for w in words))}
+        self._ids = [[self.terms[w] for w in words] for _, words in self.templates]
+        self._variants = [[self.terms[w] for w in dict.fromkeys(words) if VARIANT.fullmatch(w)]
+                          for _, words in self.templates]
 
     def vector(self, words: list[str]) -> tuple[list[int], float]:
         """(feature ids, share of n-grams that no template has)."""
@@ -137,7 +175,7 @@ class Model:
         # unknown paragraphs: the corpus's own, and near misses that share common words of the templates
         grams = [w for _, words in self.templates for w in words]
         for p in others:
-            if not self.matches(p):
+            if not self.matches(p) and not self.piece(p):
                 texts.append(p)
                 labels.append(len(self.families) - 1)
         for _ in range(800):
@@ -181,6 +219,79 @@ class Model:
                 best = (family, share)
         return best
 
+    def piece(self, words: list[str]) -> bool:
+        """Is a line of some words a part of a template, as in a wrapped notice?"""
+        return len(words) > 3 and any(common_subsequence(t, words) >= AGREE * len(words) for _, t in self.templates)
+
+    def windows(self, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(template, agreeing words, first word, end) of all agreeing windows of a paragraph's term ids."""
+        out, n = [], len(ids)
+        for k, template in enumerate(self._ids):
+            size = len(template) + max(SLACK, len(template) // 4)
+            need = math.ceil(AGREE * len(template) - 1e-9)
+            starts = np.flatnonzero(np.isin(ids, template))
+            if len(starts) < need:
+                continue
+            ends = np.minimum(starts + size, n)
+            # no more words agree than the window and the template have in common in any order
+            common, has = np.zeros(len(starts), np.int64), np.ones(len(starts), bool)
+            for term in set(template):
+                upto = np.concatenate([[0], np.cumsum(ids == term)])
+                inside = upto[ends] - upto[starts]
+                common += np.minimum(inside, template.count(term))
+                if term in self._variants[k]:
+                    has &= inside > 0
+            for a, b in zip(*(x[has & (common >= need)].tolist() for x in (starts, ends))):
+                window = ids[a:b].tolist()
+                length, end = last_agreeing(template, window)
+                if length >= need:
+                    out.append((k, length, a, a + max([end, *(window.index(v) + 1 for v in self._variants[k])])))
+        return out
+
+    def find(self, text: str) -> list[dict]:
+        """The licence notices of a text in order, none overlapping: lines, characters, family, probability, agreement."""
+        found: list[dict] = []
+        if not self.may_agree(text):
+            return found
+        for first, last in paragraphs_of(text):
+            part = text[first:last]
+            if self.may_agree(part):
+                found += self._find(part, first, text.count("\n", 0, first))
+        return found
+
+    def _find(self, part: str, offset: int, line: int) -> list[dict]:
+        places = np.array([(self.terms.get(m[0].lower(), -1), m.start(), m.end()) for m in _WORD.finditer(part)],
+                          np.int64).reshape(-1, 3)
+        windows = self.windows(places[:, 0])
+        windows.sort(key=lambda x: (-x[1], -x[1] / len(self._ids[x[0]]), x[3] - x[2], x[2], x[0]))
+        taken, out = np.zeros(len(places), bool), []
+
+        def add(a, b, family, probability, agreement):
+            out.append({"paragraph": line + part.count("\n", 0, a), "last_line": line + part.count("\n", 0, b),
+                        "start": offset + a, "end": offset + b, "family": family, "probability": probability,
+                        "agreement": agreement})
+
+        for at in range(0, len(windows), 512):
+            some = windows[at:at + 512]
+            rows = self.probabilities(self.matrix([normal_words(part[places[a, 1]:places[b - 1, 2]]) for _, _, a, b in some]))
+            for (k, length, a, b), row in zip(some, rows):
+                family = int(row[:-1].argmax())
+                if row[family] >= self.threshold and self.families[family] == self.templates[k][0] and not taken[a:b].any():
+                    taken[a:b] = True
+                    add(int(places[a, 1]), int(places[b - 1, 2]), self.families[family], float(row[family]),
+                        length / len(self._ids[k]))
+        # lines that no window touches, whole
+        lines, a = [], 0
+        for x in part.split("\n"):
+            words = slice(*np.searchsorted(places[:, 1], [a, a + len(x)]))
+            if self.may_agree(x) and not taken[words].any():
+                lines.append((a, x))
+            a += len(x) + 1
+        for (a, x), f in zip(lines, self.classify([x for _, x in lines])):
+            if f:
+                add(a, a + len(x), *f)
+        return sorted(out, key=lambda f: f["start"])
+
     def witnesses(self) -> list[str]:
         """Words of which every agreeing paragraph has at least one: of each template its longest words, as many
         as an agreeing paragraph cannot all lack."""
@@ -225,29 +336,23 @@ def train(docs: DataFrame, text_col: str = "text", templates=TEMPLATES) -> Model
 
 
 FOUND = T.ArrayType(T.StructType([
-    T.StructField("paragraph", T.IntegerType()), T.StructField("family", T.StringType()),
+    T.StructField("paragraph", T.IntegerType()), T.StructField("last_line", T.IntegerType()),
+    T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("family", T.StringType()),
     T.StructField("probability", T.DoubleType()), T.StructField("agreement", T.DoubleType())]))
-_ARROW = pa.list_(pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64()),
+_ARROW = pa.list_(pa.struct([("paragraph", pa.int32()), ("last_line", pa.int32()), ("start", pa.int64()),
+                             ("end", pa.int64()), ("family", pa.string()), ("probability", pa.float64()),
                              ("agreement", pa.float64())]))
 
 
 def scan(text_col, model: Model):
-    """Array column of the licence paragraphs of a text: line number, family, probability, agreement."""
+    """Array column of the licence notices of a text: first and last line number, characters [start, end),
+    family, probability, agreement."""
     spark = SparkSession.active()
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(FOUND)
     def run(texts: pa.Array) -> pa.Array:
-        m, out = shared.value, []
-        for t in texts:
-            text = t.as_py() or ""
-            lines = []
-            if m.may_agree(text):
-                lines = [(k, x) for k, x in enumerate(text.split("\n")) if m.may_agree(x)]
-            found = m.classify([x for _, x in lines])
-            out.append([{"paragraph": k, "family": f[0], "probability": f[1], "agreement": f[2]}
-                        for (k, _), f in zip(lines, found) if f])
-        return pa.array(out, _ARROW)
+        return pa.array([shared.value.find(t.as_py() or "") for t in texts], _ARROW)
 
     return run(text_col)
