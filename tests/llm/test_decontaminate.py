@@ -138,3 +138,50 @@ def test_whole_table_against_brute_force(spark):
                         len(set(words(x)) & single) >= 0.8 * len(set(words(x))) for x in dc.parts_of_item(t)):
                     want.add((d.doc_id, i))
     assert got == want and got
+
+
+def whole_text_leaks(rows, text):
+    """Item ids that verify in a window of the stated span at any offset of the text."""
+    words = lambda t: [w for w in map(dc.normal, t.split()) if w]
+    span = 2 * -(-max(len(words(t)) for _, t in rows) * 5 // 4) + dc.PUT_IN
+    w, out = words(text), set()
+    for i, t in rows:
+        want, sides = set(dc.shingles(words(t))), [set(words(x)) for x in dc.parts_of_item(t)]
+        for a in range(max(1, len(w))):
+            part = w[a:a + span]
+            if len(want) and len(want & set(dc.shingles(part))) >= 0.8 * len(want) - 1e-9 and all(
+                    len(x & set(part)) >= 0.8 * len(x) - 1e-9 for x in sides):
+                out.add(i)
+                break
+    return out
+
+
+@pytest.mark.parametrize("put_in", [0, 30, 60, 100, 250])
+def test_words_put_in_at_every_offset(put_in):
+    """A gap between question and answer: found or not must not depend on what stands before."""
+    rng = random.Random(put_in)
+    words = [f"w{k}" for k in range(3000)]
+    rows = [(k, " ".join(rng.choices(words, k=50 - k)) + "? " + " ".join(rng.choices(words, k=9)) + ".") for k in range(6)]
+    searcher = dc.Searcher(dc.Index(rows))
+    question, answer = dc.parts_of_item(rows[0][1])
+    leak = f"{question} {'gap ' * put_in}{answer}"
+    for before in range(searcher.span + 2):
+        found = searcher.leaks("x " * before + leak + " y" * 500)
+        assert [(f["item_id"], f["passage_start"]) for f in found] == [(0, before)]
+
+
+def test_windows_against_whole_texts():
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(rng.choices(words, k=rng.randint(25, 40))) + "? " + " ".join(rng.choices(words, k=5)) + ".")
+            for k in range(4)]
+    searcher = dc.Searcher(dc.Index(rows))
+    hits = misses = 0
+    for trial in range(24):
+        question, answer = dc.parts_of_item(rng.choice(rows)[1])
+        gap = rng.choices(words + ["f"] * 400, k=rng.choice([0, 40, searcher.span - 20, searcher.span - 5, searcher.span + 40]))
+        text = " ".join([*rng.choices(words, k=rng.randint(0, 300)), question, *gap, answer, *rng.choices(words, k=rng.randint(0, 99))])
+        want = whole_text_leaks(rows, text)
+        assert {f["item_id"] for f in searcher.leaks(text)} == want
+        hits, misses = hits + bool(want), misses + (not want)
+    assert hits > 10 and misses > 2

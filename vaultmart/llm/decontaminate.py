@@ -1,8 +1,10 @@
 """Benchmark decontamination: a BM25 inverted index of the test items, searched with block-max WAND.
 
-Words are lower-cased and stripped of punctuation at their ends.  Every text is cut into passages of
-2 L words, L words apart, where L is 1.25 times the longest item, so a leaked item lies
-inside at least one passage even with some words put in.  Every passage queries the index.
+Words are lower-cased and stripped of punctuation at their ends.  A leak is a window of SPAN words, at any
+offset of the text, that passes the verification below; SPAN is 2.5 times the longest item and PUT_IN
+words, so an item with that many words more put in (an explanation, options) is one wherever it stands.
+Passages of 2 SPAN words, SPAN words apart, hold every window; each passage with a shingle of any item
+(without one nothing can verify) queries the index.
 
 Scores.  An item's BM25 weights are divided by their sum, so a passage with all of its words scores 1.
 The item's threshold is 1 less its heaviest words, as many as a leak that passes the verification can
@@ -15,8 +17,9 @@ passages of a text at once, and a block that cannot reach 1 is skipped.  In the
 words' postings run WAND: in order of their item, pivot by the lists' maxima, skip to the
 pivot's item, score it fully when all cursors before it stand there.
 
-Verification.  At least OVERLAP of the item's distinct five-word shingles occur in the passage, and at least
-OVERLAP of the distinct words of its question and of its answer.  The question ends at the last "?",
+Verification.  For each item retrieved the windows that begin at its words in the passage's first half are
+compared with it (any other window has no more of its words than one of these).  At least OVERLAP of the
+item's distinct five-word shingles occur in the window, and at least OVERLAP of the distinct words of its question and of its answer.  The question ends at the last "?",
 or else before the last sentence; an item of one sentence is its own question and answer.
 
 The index is broadcast in parts of at most PART_BYTES of item text (measured), so a larger benchmark means
@@ -24,13 +27,14 @@ more passes over the texts, not a larger broadcast.
 
 Defined results: null, empty or wordless texts have no leaks; items of fewer than MIN_ITEM_WORDS words
 (null included) take no part, as they have no five-word shingle; equal items are all reported; repeated rows each have
-their own; an empty table on either side gives no leaks.  One row per text and item: its best passage (the
-first of equals).
+their own; an empty table on either side gives no leaks.  One row per text and item: its best window
+(the first of equals), which begins at passage_start.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import reduce
 from operator import itemgetter
 
@@ -45,6 +49,9 @@ from vaultmart.llm.common import free_name, small_batches
 K1, B = 1.2, 0.75
 SHINGLE, OVERLAP = 5, 0.8
 MIN_ITEM_WORDS = SHINGLE
+PUT_IN = 256
+MARK_BITS = 20
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 ITEM_BLOCK = 4
 SLAB = 1 << 12
 PART_BYTES = 1 << 20
@@ -86,6 +93,9 @@ class Index:
                 self.shingles.append(frozenset(shingles(sequence)))
                 self.words.append(tuple(frozenset(self._ids(p)) for p in parts_of_item(text)))
         self.longest = max(map(len, sequences), default=0)
+        self.marks = np.unique(_hashes(np.array(sorted(set().union(*self.shingles)), np.int64).reshape(-1, SHINGLE).T))
+        self.mark_bits = np.zeros(1 << MARK_BITS, bool)
+        self.mark_bits[self.marks >> np.uint64(64 - MARK_BITS)] = True
         self._weigh(sequences)
 
     def _ids(self, text: str) -> list[int]:
@@ -100,13 +110,14 @@ class Index:
         for terms, _ in found:
             frequency[terms] += 1
         idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5))
-        self.threshold = []
+        self.threshold, self.weights = [], []
         for k, (terms, tf) in enumerate(found):
             weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(sequences[k]) / mean))
             weight /= weight.sum()
             lacking = int((1 - OVERLAP) * len(self.shingles[k]) + 1e-9)
             threshold = max(1e-3, 1 - np.sort(weight)[::-1][:lacking].sum())
             self.threshold.append(threshold)
+            self.weights.append(dict(zip(terms.tolist(), weight.tolist())))
             for t, w in zip(terms.tolist(), (weight / threshold).tolist()):
                 lists[t].append((k, w))
         self.n_blocks = -(-n // ITEM_BLOCK)
@@ -173,6 +184,71 @@ class Index:
         return found if min(found) >= OVERLAP - 1e-9 else None
 
 
+    def shingle_places(self, ids: np.ndarray) -> np.ndarray:
+        """Where a shingle of some item begins (and, by a chance of equal hashes, others)."""
+        if len(ids) < SHINGLE or not len(self.marks):
+            return np.zeros(0, np.int64)
+        n = len(ids) - SHINGLE + 1
+        known = ids >= 0
+        at = np.flatnonzero(np.logical_and.reduce([known[k:k + n] for k in range(SHINGLE)]))
+        found = _hashes(np.array([ids[at + k] for k in range(SHINGLE)], np.int64))
+        some = np.flatnonzero(self.mark_bits[found >> np.uint64(64 - MARK_BITS)])
+        at, found = at[some], found[some]
+        place = np.minimum(np.searchsorted(self.marks, found), len(self.marks) - 1)
+        return at[self.marks[place] == found]
+
+    def best_window(self, item: int, sequence: list[int], span: int, starts: int) -> tuple | None:
+        """(score, start, overlaps) of the best verified window of `span` words that begins before `starts`."""
+        weights, wanted = self.weights[item], self.shingles[item]
+        question, answer = self.words[item]
+        places = [k for k, t in enumerate(sequence) if t in weights]
+        found = {k: s for k in places for s in [tuple(sequence[k:k + SHINGLE])] if s in wanted}
+        words, seen, best = Counter(), Counter(), None
+        n_question = n_answer = entered = shingled = 0
+        for start in places:
+            if start >= starts:
+                break
+            end = start + span
+            while entered < len(places) and places[entered] < end:
+                t = sequence[places[entered]]
+                words[t] += 1
+                if words[t] == 1:
+                    n_question += t in question
+                    n_answer += t in answer
+                entered += 1
+            while shingled < len(places) and places[shingled] + SHINGLE <= end:
+                if places[shingled] in found:
+                    seen[found[places[shingled]]] += 1
+                shingled += 1
+            overlap = len(seen) / len(wanted), n_question / len(question), n_answer / len(answer)
+            if min(overlap) >= OVERLAP - 1e-9:
+                score = sum(w for t, w in weights.items() if t in words)
+                if best is None or score > best[0] + 1e-12:
+                    best = (score, start, overlap)
+                    if len(words) == len(weights):
+                        break  # the score of all words: no later window is better
+            # the window's first word goes
+            t = sequence[start]
+            words[t] -= 1
+            if not words[t]:
+                del words[t]
+                n_question -= t in question
+                n_answer -= t in answer
+            if start in found:
+                seen[found[start]] -= 1
+                if not seen[found[start]]:
+                    del seen[found[start]]
+        return best
+
+
+def _hashes(columns: np.ndarray) -> np.ndarray:
+    out = np.zeros(columns.shape[1], np.uint64)
+    for c in columns:
+        out = (out ^ c.astype(np.uint64)) * _MIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
 def shingles(sequence: list[int]) -> list[tuple[int, ...]]:
     return list(zip(*(sequence[k:] for k in range(SHINGLE))))
 
@@ -182,7 +258,7 @@ class Searcher:
 
     def __init__(self, index: Index) -> None:
         self.index = index
-        self.stride = max(1, -(-index.longest * 5 // 4))
+        self.span = 2 * max(1, -(-index.longest * 5 // 4)) + PUT_IN
         self.known: dict[str, int] = {}
 
     def _term(self, word: str) -> int:
@@ -211,21 +287,32 @@ class Searcher:
         best: dict[int, dict] = {}
         if not len(ids) or not self.index.ids:
             return []
-        stride, n_chunks = self.stride, -(-len(ids) // self.stride)
-        for first in range(0, max(1, n_chunks - 1), SLAB):  # chunks whose bounds are held at once
-            part = self.index.block_bounds(ids[first * stride:(first + SLAB + 1) * stride], stride)
-            bound = part[:-1] + part[1:] if len(part) > 1 else part  # a passage is two chunks
-            terms, last = None, -1
+        span, n_chunks = self.span, -(-len(ids) // self.span)
+        for first in range(0, n_chunks, SLAB):  # chunks whose bounds are held at once
+            part = ids[first * span:(first + SLAB + 1) * span]
+            marked = np.zeros(-(-len(part) // span) + 2, bool)
+            marked[self.index.shingle_places(part) // span + 1] = True
+            live = (marked[1:] | np.append(marked[2:], False))[:-1]  # a passage is two chunks: its own or the next
+            if not live.any():
+                continue
+            # only the chunks of those passages count
+            used = np.repeat(live | np.append(False, live[:-1]), span)[:len(part)]
+            parts = self.index.block_bounds(np.where(used, part, -1), span)
+            bound = (parts + np.append(parts[1:], np.zeros_like(parts[:1]), 0))[:SLAB]
+            bound[~live[:SLAB]] = 0
+            last = -1
             for k, block in zip(*(x.tolist() for x in np.nonzero(bound >= 1 - 1e-9))):
-                a = (first + k) * stride
+                a = (first + k) * span
                 if a != last:
-                    passage, last = ids[a:a + 2 * stride], a
-                    terms = np.unique(passage[passage >= 0]).tolist()
-                for item, score in self.index.search(terms, block):
-                    overlap = self.index.verify(item, passage.tolist())
-                    raw = score * self.index.threshold[item]
-                    if overlap and raw > best.get(item, {"score": 0.0})["score"]:
-                        best[item] = {"item_id": self.index.ids[item], "score": raw, "passage_start": a,
+                    last, passage = a, ids[a:a + 2 * span]
+                    terms, sequence = np.unique(passage[passage >= 0]).tolist(), passage.tolist()
+                for item, _ in self.index.search(terms, block):
+                    if not self.index.verify(item, sequence):  # nor does any window of the passage
+                        continue
+                    found = self.index.best_window(item, sequence, span, span)
+                    if found and (item not in best or found[0] > best[item]["score"] + 1e-12):
+                        score, start, overlap = found
+                        best[item] = {"item_id": self.index.ids[item], "score": score, "passage_start": a + start,
                                       "overlap": overlap[0], "question_overlap": overlap[1],
                                       "answer_overlap": overlap[2]}
         return [best[k] for k in sorted(best)]
