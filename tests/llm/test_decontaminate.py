@@ -185,3 +185,10 @@ def test_windows_against_whole_texts():
         assert {f["item_id"] for f in searcher.leaks(text)} == want
         hits, misses = hits + bool(want), misses + (not want)
     assert hits > 10 and misses > 2
+
+
+def test_parts_do_not_change_scores(spark, benchmark):
+    frame = spark.createDataFrame([(d, t) for d, t, _ in planted()], "doc_id long, text string")
+    got = [sorted(tuple(r) for r in frame.select("doc_id", F.explode(dc.leaks(F.col("text"), benchmark, part_bytes=b)).alias("x"))
+                  .select("doc_id", "x.*").collect()) for b in (700, 1 << 24)]
+    assert got[0] == got[1] and got[0]

@@ -23,7 +23,8 @@ item's distinct five-word shingles occur in the window, and at least OVERLAP of
 or else before the last sentence; an item of one sentence is its own question and answer.
 
 The index is broadcast in parts of at most PART_BYTES of item text (measured), so a larger benchmark means
-more passes over the texts, not a larger broadcast.
+more passes over the texts, not a larger broadcast.  Number, mean and longest length of the items and the document
+frequencies are those of the whole benchmark in every part, so scores and windows do not depend on the parts.
 
 Defined results: null, empty or wordless texts have no leaks; items of fewer than MIN_ITEM_WORDS words
 (null included) take no part, as they have no five-word shingle; equal items are all reported; repeated rows each have
@@ -33,10 +34,12 @@ their own; an empty table on either side gives no leaks.  One row per text and i
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from functools import reduce
 from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultmart.llm.common import free_name, small_batches
+from vaultmart.llm.common import free_name, small_batches, write_table
 
 K1, B = 1.2, 0.75
 SHINGLE, OVERLAP = 5, 0.8
@@ -77,10 +80,19 @@ def parts_of_item(text: str) -> tuple[str, str]:
     return (question, answer) if question.split() and answer.split() else (text, text)
 
 
+class Statistics(NamedTuple):
+    """Of all items of the benchmark that take part; `frequency` only of the words of one part."""
+
+    n: int
+    words: int
+    longest: int
+    frequency: dict[str, int]
+
+
 class Index:
     """Inverted index of (item id, text) pairs."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], whole: Statistics | None = None) -> None:
         self.terms: dict[str, int] = {}
         self.ids, self.shingles, self.words = [], [], []
         sequences = []
@@ -92,28 +104,31 @@ class Index:
                 sequences.append(sequence)
                 self.shingles.append(frozenset(shingles(sequence)))
                 self.words.append(tuple(frozenset(self._ids(p)) for p in parts_of_item(text)))
-        self.longest = max(map(len, sequences), default=0)
+        self.longest = whole.longest if whole else max(map(len, sequences), default=0)
         self.marks = np.unique(_hashes(np.array(sorted(set().union(*self.shingles)), np.int64).reshape(-1, SHINGLE).T))
         self.mark_bits = np.zeros(1 << MARK_BITS, bool)
         self.mark_bits[self.marks >> np.uint64(64 - MARK_BITS)] = True
-        self._weigh(sequences)
+        self._weigh(sequences, whole)
 
     def _ids(self, text: str) -> list[int]:
         found = (normal(w) for w in text.split())
         return [self.terms.setdefault(w, len(self.terms)) for w in found if w]
 
-    def _weigh(self, sequences: list[list[int]]) -> None:
+    def _weigh(self, sequences: list[list[int]], whole: Statistics | None) -> None:
         n, lists = len(sequences), [[] for _ in self.terms]
-        mean = sum(map(len, sequences)) / n if n else 1
+        n_all = whole.n if whole else n
+        mean = (whole.words if whole else sum(map(len, sequences))) / n_all if n_all else 1
         found = [np.unique(s, return_counts=True) for s in sequences]
         frequency = np.zeros(len(self.terms))
         for terms, _ in found:
             frequency[terms] += 1
-        idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5))
+        if whole:
+            frequency = np.array([whole.frequency.get(w, 0) for w in self.terms], float)
+        idf = np.log1p((n_all - frequency + 0.5) / (frequency + 0.5))
         self.threshold, self.weights = [], []
         for k, (terms, tf) in enumerate(found):
             weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(sequences[k]) / mean))
-            weight /= weight.sum()
+            weight /= math.fsum(weight)
             lacking = int((1 - OVERLAP) * len(self.shingles[k]) + 1e-9)
             threshold = max(1e-3, 1 - np.sort(weight)[::-1][:lacking].sum())
             self.threshold.append(threshold)
@@ -222,7 +237,7 @@ class Index:
                 shingled += 1
             overlap = len(seen) / len(wanted), n_question / len(question), n_answer / len(answer)
             if min(overlap) >= OVERLAP - 1e-9:
-                score = sum(w for t, w in weights.items() if t in words)
+                score = math.fsum(w for t, w in weights.items() if t in words)
                 if best is None or score > best[0] + 1e-12:
                     best = (score, start, overlap)
                     if len(words) == len(weights):
@@ -328,14 +343,34 @@ _ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), (
 _WORKER: dict = {}
 
 
-def _parts(items: DataFrame, id_col: str, text_col: str, part_bytes: int) -> list[list[tuple[int, str]]]:
-    """Items on the driver one part at a time; each part's size is measured before it is fetched."""
+def _parts(items: DataFrame, id_col: str, text_col: str, part_bytes: int):
+    """(items, statistics) on the driver one part at a time; each part's size is measured before it is fetched."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
     total = rows.agg(size.alias("n")).first()["n"]
     n = max(1, -(-total // part_bytes))
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    return [[(r["id"], r["text"]) for r in rows.filter(part == k).collect()] for k in range(n)]
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(n)))
+    fetch = lambda k: [(r["id"], r["text"]) for r in rows.filter(F.col("part") == k).collect()]
+    if n == 1:  # its own statistics are those of the whole
+        yield fetch(0), None
+        return
+    known = write_table(rows.select("part", "text").mapInArrow(_item_words, "part long, n long, words array<string>"), "leak-items")
+    whole = known.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    words = known.select("part", F.explode("words").alias("word"))
+    frequency = write_table(words.groupBy("word").agg(F.count("*").alias("c")), "leak-words")
+    for k in range(n):
+        own = words.filter(F.col("part") == k).select("word").distinct().join(frequency, "word")
+        yield fetch(k), Statistics(*whole, {r["word"]: r["c"] for r in own.collect()})  # at most the part's words
+
+
+def _item_words(batches):
+    """(part, number of words, distinct words) of the items that take part."""
+    for batch in batches:
+        sequences = [[w for w in map(normal, t.as_py().split()) if w] for t in batch.column(1)]
+        rows = [(p, len(x), sorted(set(x))) for p, x in zip(batch.column(0).to_pylist(), sequences) if len(x) >= MIN_ITEM_WORDS]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+             pa.array([r[2] for r in rows], pa.list_(pa.string()))], names=["part", "n", "words"])
 
 
 def leaks(text_col, items: DataFrame, id_col: str = "item_id", item_text_col: str = "text",
@@ -344,8 +379,8 @@ def leaks(text_col, items: DataFrame, id_col: str = "item_id", item_text_col: st
     spark = SparkSession.active()
     small_batches(spark)
     found = []
-    for rows in _parts(items, id_col, item_text_col, part_bytes):
-        shared = spark.sparkContext.broadcast(Index(rows))
+    for rows, whole in _parts(items, id_col, item_text_col, part_bytes):
+        shared = spark.sparkContext.broadcast(Index(rows, whole))
         found.append(_search(shared)(text_col))
     return reduce(F.concat, found)
 
