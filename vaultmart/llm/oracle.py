@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from vaultmart.llm import line_dedup
+from vaultmart.llm import conversation_sql, line_dedup
 from vaultmart.llm import quality_rules as q
 
+# The url rules of the contract, stated again.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
 
 def _cell(v: str) -> str:
     shift = f"greatest(length(bin({v})) - {q.CELL_BITS}, 0)"
@@ -105,4 +109,7 @@ from {documents} d left join text_ t using (doc_id)
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": quality_sql(),
     "op5_line_dedup": line_dedup_sql(),
+    "op11_prefix_trie": conversation_sql.prefix_trie_sql(),
+    "op12_url_filter": conversation_sql.url_filter_sql(URL_RULES),
+    "op13_conversation_repair": conversation_sql.repair_sql(),
 }

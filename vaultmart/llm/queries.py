@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm import bpe, decontaminate, language_model, license_scan, line_dedup, quality_rules, sharding, simhash, token_counts, token_file
+from vaultmart.llm import bpe, decontaminate, language_model, license_scan, line_dedup, prefix_trie, quality_rules, repair, sharding, simhash, token_counts, token_file, url_filter
 from vaultmart.llm.common import read_documents
 
 
@@ -82,6 +82,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the conversations' prefix trie, each conversation with its borrowed head."""
+    convs, steps = prefix_trie.number_turns(read_documents(spark, sf_dir, "conversations"))
+    return prefix_trie.build(convs, prefix_trie.borrow_heads(convs, steps))
+
+
+# The rules of the contract (host, path, action).
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filter.judge(read_documents(spark, sf_dir, "pages"), url_filter.write_rules(spark, rules))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every conversation once damaged."""
+    turns = read_documents(spark, sf_dir, "conversations")
+    return repair.repair_reports(turns, repair.damage(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
@@ -93,4 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_url_filter": op12_url_filter,
+    "op13_conversation_repair": op13_conversation_repair,
 }
