@@ -65,7 +65,7 @@ def number_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def borrow_heads(convs: DataFrame, steps: DataFrame, every: int = 20, most: int = 4) -> DataFrame:
     """Steps in which conversation c begins with the first h turns of c - c % every, h = crc32(c) % most,
-    instead of its own first h."""
+    instead of its own first h (% as in SQL: of the sign of c)."""
     c = F.col("conv_id")
     h = (F.crc32(c.cast("string").cast("binary")) % most).alias("h")
     bases = convs.select(c.alias("base"), F.col("n").alias("n_base"))

@@ -182,7 +182,7 @@ def match(index: dict, hosts: list[str], paths: list[str]) -> list[tuple[str, in
     fits = lookup(index, list({s for ss in probes for s in ss}), False)
     out = []
     for ss in probes:
-        best = max((s for s in ss if s in fits), key=len, default=None)
+        best = max((s for s in ss if s in fits), key=lambda s: (len(s), len(s.partition("/")[0])), default=None)
         out.append(None if best is None else (best, fits[best][0]))
     return out
 
