@@ -9,10 +9,11 @@ nothing is trained.  A character that is no piece costs one token per UTF-8 byte
 The forward score of a position depends on the characters before it only, so all words that share a
 prefix share it.  The distinct new words of a batch are put into a trie; going down the trie, the forward
 scores are extended by one position per node, once for all words below, and the count of
-a word is read off its terminal node.  Counts go into a bounded cache; texts add them up.
+a word is read off its terminal node.  A tail that only one word has is kept as that word, and walked
+without nodes.  Counts go into a bounded cache; texts add them up.
 
-Bounds: the batch's distinct words and the cache; the walk down keeps one path, and a word longer than
-LONG_WORD is walked alone, so a word of a million characters costs its length times the longest piece.
+Bounds: the batch's distinct words and the cache; no node per character of an unshared tail, so a word of a
+million characters costs its length times the pieces open at a time.
 
 Defined results: null, empty and blank texts have no words and no tokens; repeats, order and
 other columns do not matter, because the function acts on one column.
@@ -31,7 +32,6 @@ from vaultmart.llm.common import RecentCache, small_batches
 
 MARK = "▁"          # the word-begin mark of the vocabulary's pieces
 CACHE_ENTRIES = 150_000  # words cached per Python worker and generation
-LONG_WORD = 256
 GROUP_BYTES = 1 << 19
 
 
@@ -48,65 +48,88 @@ def piece_scores(model: bytes) -> dict[str, float]:
     return scores
 
 
+class _Fallback(dict):
+    """Character -> (score, tokens) of its bytes; None for one that is a piece."""
+
+    def __init__(self, pieces: dict, byte_cost: float) -> None:
+        super().__init__((c, None) for c, node in pieces.items() if "" in node)
+        self.byte_cost = byte_cost
+
+    def __missing__(self, c: str):
+        size = len(c.encode())
+        self[c] = size * self.byte_cost, size
+        return self[c]
+
+
 class Counter:
-    """Token counts of words; one per Python worker."""
+    """Token counts of words; one per Python worker.
+
+    The pieces lie in a trie of their own.  Going down the words' trie, each position carries the pieces
+    that are still open: (forward score and tokens where it begins, its node), earliest begin first.  A character
+    moves every open piece one node on, or ends it, so only pieces that match are ever tried."""
 
     def __init__(self, scores: dict[str, float]) -> None:
-        self.scores = scores
-        self.longest = max(map(len, scores))
         self.byte_cost = min(scores.values()) - 1  # of one byte of a character that is no piece
         self.cache = RecentCache(CACHE_ENTRIES)
-
-    def _extend(self, text: str, end: int, best: list[float], tokens: list[int]) -> None:
-        """Append the forward score and count of text[:end], from those of its prefixes."""
-        c = text[end - 1]
-        scores, top, count = self.scores, None, 0
-        for begin in range(max(0, end - self.longest), end):
-            s = scores.get(text[begin:end])
-            if s is not None:
-                s += best[begin]
-                n = tokens[begin] + 1
-                if top is None or s > top or (s == top and n < count):
-                    top, count = s, n
-        if c not in scores:
-            size = len(c.encode())
-            s, n = best[end - 1] + size * self.byte_cost, tokens[end - 1] + size
-            if top is None or s > top or (s == top and n < count):
-                top, count = s, n
-        best.append(top)
-        tokens.append(count)
-
-    def count_alone(self, word: str) -> int:
-        text = MARK + word
-        best, tokens = [0.0], [0]
-        for end in range(1, len(text) + 1):
-            self._extend(text, end, best, tokens)
-        return tokens[-1]
+        self.pieces: dict = {}
+        for piece, score in scores.items():
+            node = self.pieces
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = score  # no character is empty: the place of the piece that ends here
+        self.fallback = _Fallback(self.pieces, self.byte_cost)
+        self.begin = self._walk(MARK, 0.0, 0, [(0.0, 0, self.pieces)])
+
+    def _walk(self, text: str, best: float, tokens: int, opened: list) -> tuple[float, int, list]:
+        """Forward score, tokens and open pieces after `text`, from those before it."""
+        pieces, fallback = self.pieces, self.fallback
+        for c in text:
+            step = fallback[c]
+            if step is None:
+                top = None
+            else:
+                top, count = best + step[0], tokens + step[1]
+            after = []
+            for s, n, node in opened:
+                node = node.get(c)
+                if node is not None:
+                    after.append((s, n, node))
+                    score = node.get("")
+                    if score is not None:
+                        s += score
+                        if top is None or s > top or (s == top and n < count - 1):
+                            top, count = s, n + 1
+            best, tokens, opened = top, count, after
+            opened.append((best, tokens, pieces))
+        return best, tokens, opened
 
     def count_many(self, words: list[str]) -> dict[str, int]:
-        """Counts of distinct words through one trie: node = [children, terminal word or None]."""
-        root: list = [{}, None]
-        out = {}
+        """Counts of distinct words through one trie.  A node maps characters to nodes, or to the one word
+        that goes on there; at "" stands the word that ends."""
+        root: dict = {}
         for word in words:
-            if len(word) > LONG_WORD:
-                out[word] = self.count_alone(word)
-                continue
-            node = root
-            for c in MARK + word:
-                child = node[0].get(c)
+            node, last = root, len(word) - 1
+            for i, c in enumerate(word):
+                child = node.get(c)
                 if child is None:
-                    child = node[0][c] = [{}, None]
+                    node[c] = word
+                    break
+                if child.__class__ is str:  # a word alone so far: its tail moves down
+                    child, other = {}, child
+                    child[other[i + 1:i + 2]] = other
+                    node[c] = child
+                if i == last:
+                    child[""] = word
                 node = child
-            node[1] = word
-        best, tokens, stack = [0.0], [0], [(root, "")]
+        out, walk = {}, self._walk
+        stack = [(root, 0, *self.begin)]
         while stack:
-            (children, word), text = stack.pop()
-            if text:
-                del best[len(text):], tokens[len(text):]  # back to the parent's positions
-                self._extend(text, len(text), best, tokens)
-            if word is not None:
-                out[word] = tokens[-1]
-            stack += [(child, text + c) for c, child in children.items()]
+            node, depth, best, tokens, opened = stack.pop()
+            for c, child in node.items():
+                if child.__class__ is str:
+                    out[child] = walk(child[depth:], best, tokens, opened)[1] if c else tokens
+                else:
+                    stack.append((child, depth + 1, *walk(c, best, tokens, opened)))
         return out
 
     def count_texts(self, texts: list[list[str]]) -> list[int]:
