@@ -39,8 +39,10 @@ def test_small_vocabulary():
     counter = tc.Counter(scores)
     got = counter.count_many(words)
     assert got == {w: brute(scores, w, counter.byte_cost) for w in words}
-    assert all(counter.count_alone(w) == n for w, n in got.items())
-    assert counter.count_many(["ab" * 400])["ab" * 400] == counter.count_alone("ab" * 400)
+    assert all(counter.count_many([w]) == {w: n} for w, n in got.items())  # alone, no node is shared
+    long = ["ab" * 400, "ab" * 400 + "é", "ab" * 399 + "b", "ab" * 400 + "b", "a"]
+    assert counter.count_many(long) == {w: counter.count_many([w])[w] for w in long}
+    assert counter.count_many([]) == {} and counter.count_many(["ab" * 40])["ab" * 40] == brute(scores, "ab" * 40, counter.byte_cost)
 
 
 @pytest.fixture(scope="module")
