@@ -67,12 +67,9 @@ class RecentCache:
         """The distinct `keys` that must be made and put into `young`; the others are there afterwards."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
-        young, old, out = self.young, self.old, []
-        for k in keys:
-            if k not in young:
-                known = old.get(k)
-                if known is None:
-                    out.append(k)
-                else:
-                    young[k] = known
-        return out
+        young, old = self.young, self.old
+        new = set(keys).difference(young)
+        known = list(filter(old.__contains__, new))
+        young.update(zip(known, map(old.__getitem__, known)))
+        new.difference_update(known)
+        return list(new)

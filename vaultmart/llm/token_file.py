@@ -29,6 +29,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ MAGIC, VERSION, CHUNK_BITS = 0x31434144, 1, 8
 RANK_BITS = 512
 SHARD_IDS = 1 << 18      # a shard is closed at the first document end past this many ids
 CACHE_ENTRIES = 200_000  # words cached per Python worker and generation
-GROUP_CHARS = 1 << 18
+GROUP_BYTES = 1 << 20
 STOPS = ".,;:!?"
 # the split pattern that the vocabulary file must state for the shortcuts of WordEncoder to hold
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -136,23 +137,25 @@ class WordEncoder:
         self.byte_chars = {b: c for c, b in _byte_alphabet().items()}
         self.stretches, self.cores = RecentCache(CACHE_ENTRIES), RecentCache(CACHE_ENTRIES)
 
-    def _encode(self, cores: list[str]) -> list[list[int]]:
-        """A run of letters is one pre-token whatever stands around it: it goes straight to the library's
+    def _encode(self, cores: list[str]) -> list[bytes]:
+        """Ids of each core as little-endian 32-bit integers.  A run of letters is one pre-token whatever stands around it: it goes straight to the library's
         merge model, after the library's normaliser; everything else goes through the whole library."""
         letters = [c for c in cores if c.isalpha()]
         normal = dict(zip(letters, self.normalizer.normalize_str(" ".join(letters)).split(" "), strict=True)) if letters else {}
-        out = []
+        merge, whole, chars = self.model.tokenize, self.library.encode_batch_fast, self.byte_chars
+        out, rest = {}, []
         for core in cores:
             n = normal.get(core, "")
-            if n.isalpha():
-                if not n.isascii():
-                    n = n.encode().decode("latin-1").translate(self.byte_chars)
-                out.append([t.id for t in self.model.tokenize(n)])
-            else:
-                out.append(self.library.encode(core, add_special_tokens=False).ids)
-        return out
-
-    def learn(self, stretches: set[str]) -> dict[str, bytes]:
+            if not n.isalpha():
+                rest.append(core)
+                continue
+            if not n.isascii():
+                n = n.encode().decode("latin-1").translate(chars)
+            out[core] = _packed([t.id for t in merge(n)])
+        out.update((c, _packed(e.ids)) for c, e in zip(rest, whole(rest, add_special_tokens=False), strict=True))
+        return [out[c] for c in cores]
+
+    def learn(self, stretches: list[str]) -> dict[str, bytes]:
         """A mapping that holds the ids of every one of `stretches`."""
         parted = {}
         for s in self.stretches.missing(stretches):
@@ -164,16 +167,35 @@ class WordEncoder:
         new = self.cores.missing({x for pair in parted.values() for x in pair})
         known = self.cores.young
         if new:
-            known.update((s, np.array(e, np.uint32).tobytes()) for s, e in zip(new, self._encode(new), strict=True))
+            known.update(zip(new, self._encode(new), strict=True))
         self.stretches.young.update((s, known[a] + known[b]) for s, (a, b) in parted.items())
         return self.stretches.young
 
-    def encode_texts(self, texts: list[str], end_id: int) -> list[bytes]:
-        """Per text its ids and `end_id`, as little-endian 32-bit integers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.learn(set().union(*split))
-        end = struct.pack("<I", end_id)
-        return [b"".join([*map(known.__getitem__, s), end]) for s in split]
+    def encode_texts(self, texts: pa.Array, end_id: int) -> list[bytes]:
+        """Per text its ids and `end_id`, as little-endian 32-bit integers.  Arrow splits the texts and numbers their
+        distinct stretches; only these become Python strings, and the ids are gathered by number."""
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        numbered = split.flatten().dictionary_encode()
+        distinct, at = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()
+        known = self.learn(distinct)
+        packed = list(map(known.__getitem__, distinct))
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        values, begins = np.frombuffer(b"".join(packed), "<u4"), np.cumsum(sizes) - sizes
+        ends = np.concatenate([[0], np.cumsum(sizes[at])])
+        ids = values[np.repeat(begins[at] - ends[:-1], sizes[at]) + np.arange(ends[-1])]
+        cuts, end = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist(), struct.pack("<I", end_id)
+        return [ids[a:b].tobytes() + end for a, b in zip(cuts, cuts[1:])]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _groups(texts: pa.Array) -> list[tuple[int, int]]:
+    """Runs [a, b) of texts of about GROUP_BYTES together; a longer text is alone."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // GROUP_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(texts)]
+    return [(a, b) for a, b in zip(edges, edges[1:]) if a < b]
 
 
 def _byte_alphabet() -> dict[int, int]:
@@ -219,19 +241,13 @@ def write_token_file(docs: DataFrame, model_path: str, end_id: int, path: str, t
             return row
 
         for batch in batches:
-            group, size, keys = [], 0, batch.column(0).to_pylist()
-            last = batch.num_rows - 1
-            for k, text in enumerate(batch.column(1)):
-                group.append(text.as_py() or "")
-                size += len(group[-1])
-                if size < GROUP_CHARS and k < last:
-                    continue
-                for name, b in zip(keys[k + 1 - len(group):k + 1], encoder.encode_texts(group, end_id)):
-                    names.append(name), ids.append(b)
-                    n += len(b) // 4
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            for a, b in _groups(texts):
+                for name, blob in zip(keys[a:b], encoder.encode_texts(texts.slice(a, b - a), end_id)):
+                    names.append(name), ids.append(blob)
+                    n += len(blob) // 4
                     if n >= shard_ids:
                         yield close()
-                group, size = [], 0
         if names:
             yield close()
 
