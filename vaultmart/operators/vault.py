@@ -39,14 +39,19 @@ def _null_end() -> F.Column:
 
 
 def observed(obs: Observation, name: str) -> int:
-    """An observed count.  A branch that the optimizer proves empty is cut from the plan with its
-    observation, which then has no row at all: it saw none."""
+    """An observed count."""
+    return int(observed_value(obs, name) or 0)
+
+
+def observed_value(obs: Observation, name: str):
+    """An observed value.  A branch that the optimizer proves empty is cut from the plan with its
+    observation, which then has no row at all: it saw none (None)."""
     try:
-        return int(obs.get[name])
+        return obs.get[name]
     except Py4JJavaError as e:
         if "assertion failed" not in str(e.java_exception):
             raise
-        return 0
+        return None
 
 
 @dataclass
@@ -239,6 +244,26 @@ def as_of(satellite: DataFrame, hk: str, instant: str) -> DataFrame:
     return first_per_key(valid, [hk], [F.col(LOAD_DATE).desc_nulls_last(), F.col(HASHDIFF).asc()])
 
 
+def point_in_time(satellite: DataFrame, hk: str, grid: Sequence[str]) -> DataFrame:
+    """Index ``(hk, instant, load_date)``: per key the load date of the version valid at each instant of ``grid``.
+
+    Every version is spread over the instants it holds at, and the latest load is a grouped maximum: a
+    satellite partitioned by its key is neither shuffled nor ranked."""
+    instants = F.array(*[F.lit(t).cast("timestamp_ntz") for t in grid])
+    holds = F.filter(instants, lambda t: (F.col(LOAD_DATE) <= t) & (F.col(LOAD_END_DATE).isNull() | (t < F.col(LOAD_END_DATE))))
+    return (satellite.select(hk, LOAD_DATE, F.explode(holds).alias("instant"))
+            .groupBy(hk, "instant").agg(F.max(LOAD_DATE).alias(LOAD_DATE)))
+
+
+def as_of_indexed(satellite: DataFrame, index: DataFrame, hk: str, instant: str) -> DataFrame:
+    """As :func:`as_of` for an instant of the index's grid: its versions by a join on ``(hk, load_date)``.
+
+    Of an open and a closed version with the same load date the valid one counts."""
+    t = F.lit(instant).cast("timestamp_ntz")
+    valid = satellite.where((F.col(LOAD_DATE) <= t) & (F.col(LOAD_END_DATE).isNull() | (t < F.col(LOAD_END_DATE))))
+    return valid.join(index.where(F.col("instant") == t).select(hk, LOAD_DATE), [hk, LOAD_DATE], "left_semi")
+
+
 def history(satellite: DataFrame, hk: str) -> DataFrame:
     """Version history with a 1-based ``version`` number per key."""
     w = Window.partitionBy(hk).orderBy(F.col(LOAD_DATE).asc_nulls_last(), F.col(HASHDIFF).asc())

@@ -439,6 +439,28 @@ def oracle_queries() -> dict[str, str]:
         "sat_property_gap": build("SELECT * FROM sat_property_gap", "sat_property_gap"),
         "hub_transaction_replay": build("SELECT * FROM hub_transaction_b3", "hub_transaction_b3"),
         "sat_property_replay": build("SELECT * FROM sat_property_b3", "sat_property_b3"),
+        "hub_transaction_replay_resumed": build("SELECT * FROM hub_transaction_b3", "hub_transaction_b3"),
+        # batch 1 brought the keys 1 mod 50 only
+        "hub_transaction_rebucketed": build("""SELECT transaction_hk, transaction_id, load_date, record_source FROM stg_tx_b1
+WHERE CAST(transaction_id AS BIGINT) % 50 = 1
+UNION ALL SELECT transaction_hk, transaction_id, load_date, record_source FROM stg_tx_b2
+WHERE CAST(transaction_id AS BIGINT) % 50 <> 1""", "stg_tx_b1", "stg_tx_b2"),
+        "sat_property_rebucketed": build(f"""SELECT a.property_hk, {", ".join(f"a.{c}" for c in PROP_ATTRS.split(", "))}, a.hashdiff,
+       a.load_date, CASE WHEN b.hashdiff <> a.hashdiff THEN b.load_date END AS load_end_date, a.record_source
+FROM stg_prop_b1 a JOIN stg_prop_b2 b USING (property_hk)
+WHERE a.property_id IN (SELECT property_id FROM stg_tx_b1 WHERE CAST(transaction_id AS BIGINT) % 50 = 1)
+UNION ALL SELECT b.property_hk, {", ".join(f"b.{c}" for c in PROP_ATTRS.split(", "))}, b.hashdiff, b.load_date, {NULL_TS}, b.record_source
+FROM stg_prop_b2 b LEFT JOIN (SELECT * FROM stg_prop_b1 WHERE property_id IN (
+  SELECT property_id FROM stg_tx_b1 WHERE CAST(transaction_id AS BIGINT) % 50 = 1)) a USING (property_hk)
+WHERE a.hashdiff IS NULL OR a.hashdiff <> b.hashdiff""", "stg_prop_b1", "stg_prop_b2", "stg_tx_b1"),
+        "sat_property_as_of_indexed": build("""SELECT * FROM sat_property_b3 WHERE load_date <= TIMESTAMP '2024-01-02 12:00:00'
+AND (load_end_date IS NULL OR load_end_date > TIMESTAMP '2024-01-02 12:00:00')""", "sat_property_b3"),
+        "dq_results_delta": _dq_results_sql(),
+        "jdbc_text_key_read": build("SELECT * FROM owners_b1", "owners_b1"),
+        "ingest_counts": build("\nUNION ALL ".join(
+            f"SELECT '{name}' AS table_name, {b} AS batch, count(*) AS row_count, count(DISTINCT _loaded_at) AS load_instants FROM {cte_}_b{b}"
+            for name, cte_ in (("property_raw", "raw"), ("src_crm_owners", "owners"), ("src_crm_agents", "agents")) for b in (1, 2, 3)),
+            *[f"{c}_b{b}" for c in ("raw", "owners", "agents") for b in (1, 2, 3)]),
         "sat_property_one_key": build("SELECT * FROM sat_property_b3 WHERE property_hk = md5('30') "
                                       "ORDER BY load_date", "sat_property_b3"),
         "sat_property_one_key_latest": build("SELECT * FROM sat_property_b3 WHERE property_hk = md5('30') "

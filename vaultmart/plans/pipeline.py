@@ -21,7 +21,9 @@ from vaultmart.operators import quality, vault
 from vaultmart.plans import marts, staging
 from vaultmart.session import new_run_dir
 from vaultmart.sources import fixtures
-from vaultmart.sources.store import LayerStore
+from vaultmart.sources.journal import Listed
+from vaultmart.sources.published import APPENDED, BATCH, FILES, VERSIONS, Published
+from vaultmart.sources.store import BUCKET_TARGET_BYTES, LayerStore
 
 # Which staged entity feeds which vault table, with its keys
 # and attribute columns in table order.
@@ -62,9 +64,17 @@ MART_TABLES = ["mart_property_sales", "mart_agent_performance", "mart_suburb_tre
                "mart_owner_portfolio"]
 
 
-# The bronze table whose size sets the bucket count of each staged entity's grain.
+# The bronze table each staged entity comes from.
 BRONZE_OF = {"stg_transactions": "property_raw", "stg_properties": "property_raw",
              "stg_owners": "src_crm_owners", "stg_agents": "src_crm_agents"}
+# The hash key every bucketed table is keyed by, and what a view shows of each table.
+KEYS = {**{("silver", t): k for t, k in STAGING_KEYS.items()},
+        **{("gold", t): hk for t, (_, hk, _) in {**HUBS, **SATELLITES, **INSERT_ONLY_SATELLITES}.items()},
+        **{("gold", t): "transaction_hk" for t in LINKS},
+        **{("gold", t.replace("sat_", "pit_")): hk for t, (_, hk, _) in SATELLITES.items()}}
+VIEWS = [*(("bronze", t, FILES) for t in BRONZE_TABLES), *(("silver", t, BATCH) for t in STAGING_TABLES),
+         *(("gold", t, APPENDED) for t in [*HUBS, *LINKS, *INSERT_ONLY_SATELLITES]),
+         *(("gold", t, VERSIONS) for t in SATELLITES), *(("mart", t, FILES) for t in MART_TABLES)]
 
 
 @dataclass
@@ -75,8 +85,10 @@ class Pipeline:
     sf_dir: str
     root: str | None = None
     threads: int = 8
-    buckets: int | None = None
-    keep_open: int | None = 3  # batches whose open satellite rows stay stored; None: all
+    buckets: int | None = None  # a fixed count; by default counts follow the data
+    bucket_bytes: int = BUCKET_TARGET_BYTES
+    keep_open: int | None = 3  # the last batches as of which satellites can be read; None: all
+    prefix: str | None = ""  # of the databases whose views show the last batch; None: no views
     load_counts: dict = field(default_factory=dict)
     load_report: dict = field(default_factory=dict)
     load_seconds: dict = field(default_factory=dict)
@@ -84,18 +96,12 @@ class Pipeline:
     def __post_init__(self):
         if self.root is None:
             self.root = new_run_dir(self.spark, "run")
-        self.store = LayerStore(self.spark, self.root, self.buckets)
-        # tables of an earlier application on the same run folder
-        for name, key in STAGING_KEYS.items():
-            self.store.attach("silver", name, key)
-        for table, (_, hk, _) in HUBS.items():
-            self.store.attach("gold", table, hk)
-        for table in LINKS:
-            self.store.attach("gold", table, "transaction_hk")
-        for table, (_, hk, _) in INSERT_ONLY_SATELLITES.items():
-            self.store.attach("gold", table, hk)
-        for table, (_, hk, _) in SATELLITES.items():
-            self.store.attach("gold", table, hk, satellite=True)
+        self.store = LayerStore(self.spark, self.root, KEYS, self.buckets, self.bucket_bytes)
+        for layer, table in KEYS:  # tables of an earlier application on the same run folder
+            self.store.attach(layer, table, satellite=table in SATELLITES)
+        self.published = None if self.prefix is None else Published(self.store, self.prefix, VIEWS)
+        if self.published and self.published.shown() != (0, 0):
+            self.published.show(*self.published.shown())
         self._sizes = None
 
     # -- helpers -----------------------------------------------------------------
@@ -185,9 +191,20 @@ class Pipeline:
             "stg_owners": lambda: staging.stg_owners(self.bronze("src_crm_owners", batch)),
             "stg_agents": lambda: staging.stg_agents(self.bronze("src_crm_agents", batch)),
         }[name]()
-        self.store.buckets(STAGING_KEYS[name], self.store.path("bronze", BRONZE_OF[name], f"batch={batch}"))
+        self.store.fit(STAGING_KEYS[name], self._grain_bytes(name, batch, len(plan.columns)))
         self.store.write_bucketed(plan, "silver", name, STAGING_KEYS[name], batch)
 
+    def _grain_bytes(self, name: str, batch: int, columns: int) -> float:
+        """About the bytes of a batch's rows of one staged entity: the bronze table's, by its share of columns
+        and, where many bronze rows make one row, by its share of distinct ids (one column is read)."""
+        source = self.store.path("bronze", BRONZE_OF[name], f"batch={batch}")
+        bronze = self.bronze(BRONZE_OF[name], batch)
+        size = self.store.folder_bytes(source) * min(1.0, columns / len(bronze.columns))
+        if name != "stg_properties":
+            return size
+        n = bronze.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("property_id").alias("ids")).first()
+        return size * n["ids"] / max(1, n["rows"])
+
     def stage(self, batch: int) -> None:
         self._parallel([(lambda n=n: self._stage_one(n, batch)) for n in STAGING_TABLES])
 
@@ -251,6 +268,17 @@ class Pipeline:
             return vault.current(self.store.read_appended("gold", table, batch))
         return self.store.read_open(table, batch)
 
+    def as_of(self, table: str, batch: int, instant: str) -> DataFrame:
+        """The versions of a type-2 satellite valid at ``instant``; closed partitions that ended by then are not read."""
+        return vault.as_of(self.store.read_as_of(table, batch, instant), SATELLITES[table][1], instant)
+
+    def point_in_time(self, table: str, batch: int, grid: list[str]) -> DataFrame:
+        """Write and return the point-in-time index of a type-2 satellite at the instants of ``grid``, bucketed like it."""
+        hk = SATELLITES[table][1]
+        index = vault.point_in_time(self.store.read_as_of(table, batch, min(grid)), hk, grid)
+        self.store.write_bucketed(index, "gold", table.replace("sat_", "pit_"), hk, batch)
+        return self.store.read_batch("gold", table.replace("sat_", "pit_"), batch)
+
     def vault_view(self, batch: int) -> marts.VaultView:
         return marts.VaultView(
             **{t: self.hub(t, batch) for t in HUBS},
@@ -328,6 +356,8 @@ class Pipeline:
           later ones are loaded again from their bronze tables;
         * the last batch can be run again under its own number.
         """
+        if self.store.intent():
+            raise RuntimeError(f"a replay from batch {self.store.intent()[0].batch} was broken off: call resume_replay() first")
         started, finished = self.store.marked("started"), self.store.marked("finished")
         broken = [b for b in started if b < batch and b not in finished]
         if broken:
@@ -335,15 +365,50 @@ class Pipeline:
         later = [b for b in started if b > batch]
         if later and not replay:
             raise ValueError(f"batches {later} were loaded after batch {batch}: pass replay=True to load them again")
-        if later:
-            if not all(self.store.has_open(t, batch - 1) for t in SATELLITES):
-                raise ValueError(f"the open rows before batch {batch} are not stored any more (keep_open)")
-            whole = [b for b in later if b in finished]
-            self.store.drop_from(batch)
-        self._load(batch, with_marts, inputs if inputs is not None else self.bronze_inputs(feed or batch), stream, epoch)
-        if later:
-            for b in whole:
-                self._load(b, with_marts, None, None, None)
+        sources = inputs if inputs is not None else self.bronze_inputs(feed or batch)
+        if not later:
+            self._hide(batch)
+            self._load(batch, with_marts, sources, stream, epoch)
+            return
+        if not all(self.store.has_open(t, batch - 1) for t in SATELLITES):
+            raise ValueError(f"the open rows before batch {batch} are not stored any more (keep_open)")
+        # the new bronze stands aside, complete, before anything is given up
+        self._parallel([lambda n=n, df=df: df.write.mode("overwrite").parquet(self._aside(n)) for n, df in sources.items()])
+        if batch in started and stream is None:
+            stream, epoch = self.store.origin(batch)
+        self.store.intend([Listed(batch, stream, epoch, True, with_marts),
+                           *(Listed(b, *self.store.origin(b), b in finished, with_marts) for b in later)])
+        self.resume_replay()
+
+    def _aside(self, table: str) -> str:
+        return f"{self.root}/_replay_bronze/{table}"
+
+    def resume_replay(self) -> bool:
+        """Bring a replay to its end, also one that another application began; False if there is none.
+
+        Every step bears being broken off and run again.  A batch that had itself been broken off before the replay is
+        marked as started again, so it has to be run before any later one."""
+        listed = self.store.intent()
+        if not listed:
+            return False
+        first = listed[0].batch
+
+        def take_bronze():
+            for table in BRONZE_TABLES:
+                self.store._move(self._aside(table), self.store.path("bronze", table, f"batch={first}"))
+
+        def drop():
+            self._hide(first)
+            self.store.drop_from(first)
+        self.store.replay_step("bronze", take_bronze)
+        self.store.replay_step("dropped", drop)
+        for x in listed:
+            if x.whole and x.batch not in self.store.marked("finished"):
+                self._load(x.batch, x.with_marts, None, x.stream, x.epoch)
+            elif not x.whole:
+                self.store.mark("started", x.batch, x.stream, x.epoch)
+        self.store.end_replay()
+        return True
 
     def _load(self, batch: int, with_marts: bool, sources: dict[str, DataFrame] | None,
               stream: str | None, epoch: int | None) -> None:
@@ -376,18 +441,27 @@ class Pipeline:
         if with_marts:
             self._timed("marts", batch, lambda: self.build_marts(batch))
         self.store.mark("finished", batch, stream, epoch)
+        if self.published:
+            marts = batch if with_marts else self.published.shown()[1]
+            self._timed("publish", batch, lambda: self.published.show(batch, marts))
+        self.store.drop_outgrown()
         if self.keep_open:
             for table in SATELLITES:
                 self.store.drop_superseded(table, self.keep_open)
 
-    def publish(self, batch: int, prefix: str = "") -> None:
-        """Views ``<prefix>bronze|silver|gold|mart.<table>`` over the layers as of ``batch``: what SQL and
-        dashboards read.  Superseded versions and batch columns do not show."""
-        views = [("bronze", t, "files") for t in BRONZE_TABLES] + [("silver", t, "batch") for t in STAGING_TABLES]
-        views += [("gold", t, "appended") for t in [*HUBS, *LINKS, *INSERT_ONLY_SATELLITES]]
-        views += [("gold", t, "versions") for t in SATELLITES] + [("mart", t, "files") for t in MART_TABLES]
-        for layer, table, kind in views:
-            self.store.publish(layer, table, batch, f"{prefix}{layer}", kind)
+    def _hide(self, batch: int) -> None:
+        """Show the batch before ``batch`` while it is written again."""
+        if self.published:
+            shown, marts = self.published.shown()
+            before = [b for b in self.store.marked("finished") if b < batch]
+            if shown >= batch or marts >= batch:
+                kept = [b for b in before if self.store._exists(self.store.path("mart", MART_TABLES[-1], f"batch={b}/_SUCCESS"))]
+                self.published.show(min(shown, (before or [0])[-1]), min(marts, (kept or [0])[-1]))
+
+    def publish(self, batch: int) -> None:
+        """Show an earlier batch (its marts if they were built) through the run's views."""
+        has_marts = self.store._exists(self.store.path("mart", MART_TABLES[-1], f"batch={batch}/_SUCCESS"))
+        self.published.show(batch, batch if has_marts else self.published.shown()[1])
 
     def _timed(self, name: str, batch: int, job) -> None:
         t0 = time.time()

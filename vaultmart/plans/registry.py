@@ -7,9 +7,11 @@ that needs it pays for it.
 
 from __future__ import annotations
 
+import hashlib
 import threading
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from vaultmart.operators import quality, vault
 from vaultmart.plans import dashboards, staging
 from vaultmart.plans.pipeline import Pipeline
+from vaultmart.plans.quality_delta import carry, quality_delta
 from vaultmart.sources import fixtures
 
 FIRST, LAST = 1, 3
@@ -33,7 +36,7 @@ def _run(spark: SparkSession, sf_dir: str, kind: str, load: Callable[[Pipeline],
     with _LOCK:
         run = _RUNS.get(key)
         if run is None:
-            run = Pipeline(spark, sf_dir)
+            run = Pipeline(spark, sf_dir, prefix=f"{kind}_{hashlib.md5(key[1].encode()).hexdigest()[:8]}_")
             load(run)
             _RUNS[key] = run
     return run
@@ -62,6 +65,64 @@ def replayed(spark: SparkSession, sf_dir: str) -> Pipeline:
     return _run(spark, sf_dir, "replay", load)
 
 
+def resumed(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """Batches 1-3, then batch 2 again, broken off in its sixth insert; the next application on the run brings it to its end."""
+    def load(p):
+        p.run(marts_for=())
+        insert, left = p.store._insert, iter(range(5))
+
+        def breaks_off(*args, **options):
+            if next(left, None) is None:
+                raise OSError("broken off")
+            insert(*args, **options)
+        p.store._insert = breaks_off
+        try:
+            p.run_batch(2, with_marts=False, replay=True)
+        except OSError:
+            Pipeline(spark, sf_dir, root=p.root, prefix=p.prefix).resume_replay()
+        p.store._insert = insert
+    return _run(spark, sf_dir, "resumed", load)
+
+
+def rebucketed(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """A run begun with a fiftieth of the sales; batch 2 brings all, into tables whose buckets part."""
+    def load(p):
+        p.store._bucket_bytes = 1 << 17  # of these small tables
+        first = p.bronze_inputs(1)
+        p.run_batch(1, with_marts=False, inputs=first | {"property_raw": first["property_raw"].where("cast(transaction_id as long) % 50 = 1")})
+        p.run_batch(2, with_marts=False)
+    return _run(spark, sf_dir, "rebucketed", load)
+
+
+PIT_GRID = ["2024-01-01 12:00:00", "2024-01-02 12:00:00", "2024-01-03 12:00:00"]
+
+
+def _as_of_indexed(spark, sf_dir):
+    p = pipeline(spark, sf_dir)
+    index = p.point_in_time("sat_property_details", LAST, PIT_GRID)
+    return vault.as_of_indexed(p.store.read_as_of("sat_property_details", LAST, PIT_GRID[1]), index, "property_hk", PIT_GRID[1])
+
+
+def _jdbc_text_key(spark, sf_dir):
+    """Owners reloaded in one transaction over older rows, then read in tasks split on their text id."""
+    from vaultmart.sources import jdbc
+    url, table = jdbc.embedded_url(pipeline(spark, sf_dir).root), f"SRC_CRM_OWNERS_{uuid.uuid4().hex[:12].upper()}"
+    for batch in (2, 1):
+        jdbc.reload_table(fixtures.with_loaded_at(fixtures.crm_owners(spark, sf_dir, batch), batch), url, table)
+    return jdbc.read_split(spark, url, table, "owner_id", 4)
+
+
+def _ingest_counts(spark, sf_dir):
+    """Rows of every bronze table per batch, as the ingest saw them pass (S6), and whether the vault's rows carry one
+    load instant per batch (S5)."""
+    p = pipeline(spark, sf_dir)
+    seen = [(t, b, n) for (t, b), n in sorted(p.load_counts.items())]
+    stamps = [p.bronze(t, b).agg(F.countDistinct("_loaded_at").alias("load_instants")).select(
+        F.lit(t).alias("table_name"), F.lit(b).cast("int").alias("batch"), "load_instants") for t, b, _ in seen]
+    counts = spark.createDataFrame(seen, "table_name string, batch int, row_count long")
+    return counts.join(reduce(DataFrame.unionByName, stamps), ["table_name", "batch"])
+
+
 def _raw(spark, sf_dir, batch):
     return fixtures.property_raw(spark, sf_dir, batch)
 
@@ -103,13 +164,20 @@ def _jdbc_round_trip(spark, sf_dir):
 def _median_by_suburb(spark, sf_dir):
     p = pipeline(spark, sf_dir)
     return dashboards.median_price_by_suburb(
-        p.mart("mart_property_sales", LAST), p._materializer(f"median_suburb_{uuid.uuid4().hex}", LAST))
+        p.mart("mart_property_sales", LAST), p._materializer_seq(f"median_suburb_{uuid.uuid4().hex}", LAST))
 
 
 def _mart_sql_read(spark, sf_dir):
+    """The view that the load itself has moved on to its last batch."""
+    return spark.sql(f"SELECT * FROM `{pipeline(spark, sf_dir).prefix}mart`.mart_property_sales")
+
+
+def _dq_delta(spark, sf_dir):
+    """Each batch's violating values from those the batch before left, then the results after the last."""
     p = pipeline(spark, sf_dir)
-    p.publish(LAST, prefix=f"{p.store.db}_")
-    return spark.sql(f"SELECT * FROM `{p.store.db}_mart`.mart_property_sales")
+    for batch in range(FIRST, LAST):
+        carry(p, batch)
+    return quality_delta(p, LAST)
 
 
 def _dq_red(spark, sf_dir):
@@ -163,8 +231,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sat_owner_scd2": _gold("sat_owner_details", LAST),
     "sat_agent_scd2": _gold("sat_agent_details", LAST),
     "sat_property_current": lambda s, d: pipeline(s, d).current("sat_property_details", LAST),
-    "sat_property_as_of": lambda s, d: vault.as_of(
-        pipeline(s, d).satellite("sat_property_details", LAST), "property_hk", AS_OF_INSTANT),
+    "hub_transaction_replay_resumed": _gold("hub_transaction", LAST, resumed),
+    "hub_transaction_rebucketed": _gold("hub_transaction", 2, rebucketed),
+    "sat_property_rebucketed": _gold("sat_property_details", 2, rebucketed),
+    "sat_property_as_of": lambda s, d: pipeline(s, d).as_of("sat_property_details", LAST, AS_OF_INSTANT),
+    "sat_property_as_of_indexed": _as_of_indexed,
     "sat_property_history": lambda s, d: vault.history(
         pipeline(s, d).satellite("sat_property_details", LAST), "property_hk"),
     "sat_property_one_key": lambda s, d: vault.key_history(
@@ -179,6 +250,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_owner_portfolio": _mart("mart_owner_portfolio"),
     # quality
     "dq_results": lambda s, d: pipeline(s, d).quality(LAST),
+    "dq_results_delta": _dq_delta,
     "dq_unique_violations": lambda s, d: quality.unique_violations(
         fixtures.read_table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
     "dq_orphans": lambda s, d: quality.relationship_violations(
@@ -203,5 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # connectors
     "csv_round_trip": _csv_round_trip,
     "jdbc_round_trip": _jdbc_round_trip,
+    "jdbc_text_key_read": _jdbc_text_key,
+    "ingest_counts": _ingest_counts,
 }
 

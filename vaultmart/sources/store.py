@@ -8,22 +8,22 @@
   so the daily anti joins, change detection, close-out windows and the
   mart's transaction-grain joins read both sides already partitioned: only
   the incoming batch is shuffled, never the accumulated history;
-* satellites are further partitioned by ``is_current``: the open rows after
-  batch ``n`` live in ``(batch=n, is_current=true)`` and the rows closed by
-  batch ``n`` in ``(batch=n, is_current=false)``.  Open rows are rewritten per
-  batch (O(current)), closed rows only appended (O(changes)).  In the rare
+* bucket counts are powers of two and grow with the grain (:meth:`LayerStore.fit`): bucket b of n
+  parts into b and b + n of 2n, so a split copies each bucket in place, without a shuffle;
+* satellites are further partitioned by ``is_current``.  ``(batch=n, is_current=false)`` holds the rows
+  closed by batch ``n``.  ``(batch=n, is_current=true)`` holds the open rows of the keys that batch ``n``
+  changed; rows of other keys stay where they are, so a batch with 1 % changes writes about 1 %.
+  The open rows as of ``n`` are, per key, those of the last batch that changed it, from the base on:
+  the last batch that wrote all open rows (``_open/batch=<n>``), because the changes since
+  the base before had come to COMPACT_SHARE of it.  In the rare
   case a batch replaces a closed row that has the same ``(hk, load_date)``,
   that batch's closed partition holds the whole closed part and a marker
-  ``<sat>/_base/batch=<n>`` says earlier closed partitions are superseded.
+  ``_base/batch=<n>`` says earlier closed partitions are superseded.  ``_ends/batch=<n>`` keeps the
+  latest end date of a closed partition, so that reads as of an instant skip those that ended before it.
 
 Every write first drops the batch's own partitions (catalog entry and
 files; the tables are external), then ``INSERT INTO ... PARTITION (batch=<n>)``.
 A batch only replaces its own partitions while it reads earlier ones.
-
-The run folder also keeps the batches' state: ``_started/batch=<n>`` is written
-before a batch touches any table and ``_finished/batch=<n>`` after its last write.
-Nothing about a batch lives in process memory only, so the next application, or
-the next stream, knows which batches hold and which were broken off.
 """
 
 from __future__ import annotations
@@ -33,94 +33,116 @@ import math
 import threading
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from vaultmart.operators.vault import observed_value
+from vaultmart.sources.journal import Journal
 
-BUCKET_TARGET_BYTES = 128 * 1024 * 1024
+BUCKET_TARGET_BYTES = 1 << 30   # of a batch's own rows of a grain, per bucket
+HISTORY_SHARE = 8               # times as much of the grain's largest table
+COMPACT_SHARE = 0.25            # changes since the base, by bytes, from which on all open rows are written again
 
 
-def bucket_count(input_bytes: int) -> int:
-    """About 128 MiB of a batch's input per bucket, a power of two; one for small grains."""
-    return 1 << max(0, math.ceil(math.log2(max(1, input_bytes / BUCKET_TARGET_BYTES))))
+def bucket_count(grain_bytes: float, bucket_bytes: int = BUCKET_TARGET_BYTES) -> int:
+    """About ``bucket_bytes`` of a grain per bucket, a power of two; one for small grains."""
+    return 1 << max(0, math.ceil(math.log2(max(1, grain_bytes / bucket_bytes))))
 
 
-class LayerStore:
+class LayerStore(Journal):
     """Read and write the layer tables of one pipeline run.
 
-    Tables are external: their files stay under the run folder, and a later
-    Spark application (the next day's job) re-attaches them with
-    :meth:`attach`, so the run survives the session that started it.  Each
-    grain's bucket count is fixed at its first write and kept with the run.
+    ``keys`` names the hash key of every bucketed table, by ``(layer, table)``.  Tables are external: their
+    files stay under the run folder, and a later Spark application (the next day's job) re-attaches them
+    with :meth:`attach`, so the run survives the session that started it.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self._fixed, self._counts = buckets, {}
+    def __init__(self, spark: SparkSession, root: str, keys: dict[tuple[str, str], str], buckets: int | None = None,
+                 bucket_bytes: int = BUCKET_TARGET_BYTES):
+        super().__init__(spark, root)
+        self.keys = keys
+        self._fixed, self._bucket_bytes, self._counts = buckets, bucket_bytes, {}
         self.db = "vaultmart_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
-        self._lock, self._tables = threading.Lock(), threading.Lock()
+        self._lock, self._tables = threading.RLock(), threading.Lock()
         self._locations: dict[str, str] = {}
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{self.root}/catalog'")
 
-    def buckets(self, key: str, source: str | None = None) -> int:
-        """Bucket count of the tables keyed by ``key``: fixed by the caller, or set when the grain is
-        first written, from the bytes of its first bronze input ``source``, and kept with the run."""
+    # -- bucket counts --------------------------------------------------------------
+    def buckets(self, key: str) -> int:
+        """The bucket count of the tables keyed by ``key``; until one is recorded, the caller's or one."""
         with self._lock:
             if key not in self._counts:
-                meta = f"{self.root}/_buckets/{key}"
-                if self._exists(f"{meta}/_SUCCESS"):
-                    self._counts[key] = int(self.spark.read.parquet(meta).first()["buckets"])
-                else:
-                    n = self._fixed or bucket_count(self.folder_bytes(source) if source else 0)
-                    self.spark.createDataFrame([(n,)], "buckets int").write.mode("overwrite").parquet(meta)
-                    self._counts[key] = n
+                known = self._numbers(f"{self.root}/_buckets/{key}", "n")
+                if not known:
+                    return self._fixed or 1
+                self._counts[key] = known[-1]
             return self._counts[key]
 
-    def folder_bytes(self, path: str) -> int:
-        fs, hpath = self._fs(path)
-        return fs.getContentSummary(hpath).getLength() if fs.exists(hpath) else 0
+    def _set_buckets(self, key: str, n: int) -> int:
+        """One finished record decides; the largest holds, because counts only grow."""
+        self._record([(n,)], "buckets int", f"_buckets/{key}/n={n}")
+        self._counts[key] = n
+        return n
 
-    # -- batch state -------------------------------------------------------------
-    def mark(self, state: str, batch: int, stream: str | None = None, epoch: int | None = None) -> None:
-        rows = [(stream, epoch)]
-        self.spark.createDataFrame(rows, "stream string, epoch long").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.root}/_{state}/batch={batch}")
-
-    def marked(self, state: str) -> list[int]:
-        """Batches ``started`` or ``finished``, ascending."""
-        return self._marked_batches(f"{self.root}/_{state}")
-
-    def batch_of_epoch(self, stream: str, epoch: int) -> int | None:
-        """The batch that a stream's micro-batch was given, if any."""
-        found = [b for b in self.marked("started")
-                 if tuple(self.spark.read.parquet(f"{self.root}/_started/batch={b}").first()) == (stream, epoch)]
-        return found[-1] if found else None
+    def fit(self, key: str, batch_bytes: float) -> int:
+        """The bucket count for a batch that brings ``batch_bytes`` of a grain.  If the grain has outgrown its
+        count, every table of it is first copied into more buckets; the record of the new count then switches them all."""
+        with self._lock:
+            known = self._numbers(f"{self.root}/_buckets/{key}", "n")
+            if self._fixed:
+                return self.buckets(key) if known else self._set_buckets(key, self._fixed)
+            mine = [t for t, k in self.keys.items() if k == key]
+            held = max((self.folder_bytes(self._table_path(*t, known[-1])) for t in mine), default=0) if known else 0
+            wanted = max(bucket_count(b, self._bucket_bytes) for b in (batch_bytes, (held + batch_bytes) / HISTORY_SHARE))
+            if not known:
+                return self._set_buckets(key, wanted)
+            if wanted > known[-1]:
+                for layer, table in mine:
+                    self._split(layer, table, key, known[-1], wanted)
+                self._set_buckets(key, wanted)
+            return self.buckets(key)
+
+    def _split(self, layer: str, table: str, key: str, n: int, more: int) -> None:
+        old, new = (f"{self.db}.{layer}_{table}_b{k}" for k in (n, more))
+        if not self.spark.catalog.tableExists(old):
+            return
+        self.spark.sql(f"DROP TABLE IF EXISTS {new}")  # of a split that was broken off
+        self._delete(self._table_path(layer, table, more))
+        parts = [f.name for f in self.spark.catalog.listColumns(old) if f.isPartition]
+        schema = self.spark.table(old).schema
+        types = {f.name: f.dataType.simpleString() for f in schema.fields}
+        self._create(new, [f for f in schema.fields if f.name not in parts], layer, table, key, tuple((p, types[p]) for p in parts), more)
+        # bucket by bucket: the scan is partitioned this way already, so there is no exchange
+        rows = self.spark.table(old).repartition(n, key)
+        view = f"vaultmart_split_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(view)
+        try:
+            cols = ", ".join(f"`{f.name}`" for f in schema.fields if f.name not in parts)
+            names = ", ".join(f"`{p}`" for p in parts)
+            self.spark.sql(f"INSERT INTO {new} PARTITION ({names}) SELECT {cols}, {names} FROM {view}")
+        finally:
+            self.spark.catalog.dropTempView(view)
 
+    def drop_outgrown(self) -> None:
+        """Remove tables of bucket counts that were given up, once no view names them."""
+        for (layer, table), key in self.keys.items():
+            for n in self._numbers(f"{self.root}/_buckets/{key}", "n"):
+                if n < self.buckets(key) and self._exists(self._table_path(layer, table, n)):
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.db}.{layer}_{table}_b{n}")
+                    self._delete(self._table_path(layer, table, n))
+
+    # -- batch state -------------------------------------------------------------
     def drop_from(self, batch: int) -> None:
-        """Forget ``batch`` and every later one: state first, then their silver and gold partitions."""
-        for state in ("finished", "started"):
-            for b in self.marked(state):
-                if b >= batch:
-                    self._delete(f"{self.root}/_{state}/batch={b}")
-        tables = self.spark.sql(f"SHOW TABLES IN {self.db}").collect()
-        for row in tables:
-            if row["isTemporary"]:
-                continue
-            fq = f"{self.db}.{row['tableName']}"
-            layer, table = row["tableName"].split("_", 1)
+        """Forget ``batch`` and every later one: marks first, then their silver and gold partitions."""
+        self.forget_from(batch)
+        for layer, table in self.keys:
+            for kind in ("_base", "_open", "_ends"):
+                for b in self._numbers(self.path(layer, table, kind)):
+                    if b >= batch:
+                        self._delete(self.path(layer, table, f"{kind}/batch={b}"))
             for b in self.batches(layer, table):
                 if b >= batch:
-                    self._drop_batch(fq, b)
-        for table in {r["tableName"].split("_", 1)[1] for r in tables}:
-            for b in self._marked_batches(self.path("gold", table, "_base")):
-                if b >= batch:
-                    self._delete(self.path("gold", table, f"_base/batch={b}"))
-
-    def _delete(self, path: str) -> None:
-        fs, hpath = self._fs(path)
-        if fs.exists(hpath):
-            fs.delete(hpath, True)
+                    self._drop_batch(self.name(layer, table), b)
 
     def _drop_batch(self, fq: str, batch: int) -> None:
         self.spark.sql(f"ALTER TABLE {fq} DROP IF EXISTS PARTITION (batch={batch})")
@@ -132,32 +154,12 @@ class LayerStore:
         base = f"{self.root}/{layer}/{table}"
         return f"{base}/{part}" if part else base
 
+    def _table_path(self, layer: str, table: str, n: int) -> str:
+        return self.path(layer, table, f"b{n}")
+
     def name(self, layer: str, table: str) -> str:
-        return f"{self.db}.{layer}_{table}"
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return hpath.getFileSystem(conf), hpath
-
-    def _exists(self, path: str) -> bool:
-        fs, hpath = self._fs(path)
-        return bool(fs.exists(hpath))
-
-    def _marked_batches(self, path: str) -> list[int]:
-        """Batches with a finished write (``_SUCCESS``) under ``path``."""
-        fs, hpath = self._fs(path)
-        if not fs.exists(hpath):
-            return []
-        jvm = self.spark.sparkContext._jvm
-        found = []
-        for status in fs.listStatus(hpath):
-            name = status.getPath().getName()
-            if name.startswith("batch=") and fs.exists(
-                    jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                found.append(int(name.split("=", 1)[1]))
-        return sorted(found)
+        """The catalog name of a bucketed table, at its grain's bucket count."""
+        return f"{self.db}.{layer}_{table}_b{self.buckets(self.keys[layer, table])}"
 
     def batches(self, layer: str, table: str) -> list[int]:
         """Batches present in a catalog table (metadata only)."""
@@ -176,28 +178,32 @@ class LayerStore:
 
     # -- bucketed catalog tables (silver, gold) ---------------------------------
     def _create(self, fq: str, fields, layer: str, table: str, key: str,
-                partitions: tuple[tuple[str, str], ...]) -> None:
+                partitions: tuple[tuple[str, str], ...], n: int) -> None:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         parts = ", ".join(f"`{n}` {t}" for n, t in partitions)
         names = ", ".join(f"`{n}`" for n, _ in partitions)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {fq} ({cols}, {parts}) USING parquet "
             f"PARTITIONED BY ({names}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
-            f"INTO {self.buckets(key)} BUCKETS LOCATION '{self.path(layer, table)}'")
+            f"INTO {n} BUCKETS LOCATION '{self._table_path(layer, table, n)}'")
 
     def _ensure_table(self, df: DataFrame, layer: str, table: str, key: str,
                       partitions: tuple[tuple[str, str], ...]) -> str:
-        fq = self.name(layer, table)
-        self.buckets(key)
+        fq, n = self.name(layer, table), self.buckets(key)
         with self._tables:
+            if key not in self._counts:
+                self._set_buckets(key, n)
             if not self.spark.catalog.tableExists(fq):
-                self._create(fq, df.schema.fields, layer, table, key, partitions)
+                self._create(fq, df.schema.fields, layer, table, key, partitions, n)
         return fq
 
-    def attach(self, layer: str, table: str, key: str, satellite: bool = False) -> None:
+    def attach(self, layer: str, table: str, satellite: bool = False) -> None:
         """Register a table written by an earlier application, with its partitions."""
-        fq = self.name(layer, table)
-        path = self.path(layer, table)
+        key = self.keys[layer, table]
+        known = self._numbers(f"{self.root}/_buckets/{key}", "n")
+        if not known:
+            return
+        fq, path = self.name(layer, table), self._table_path(layer, table, known[-1])
         with self._tables:
             if self.spark.catalog.tableExists(fq) or not self._exists(path):
                 return
@@ -205,7 +211,7 @@ class LayerStore:
                 else (("batch", "int"),)
             names = {n for n, _ in partitions}
             fields = [f for f in self.spark.read.parquet(path).schema.fields if f.name not in names]
-            self._create(fq, fields, layer, table, key, partitions)
+            self._create(fq, fields, layer, table, key, partitions, known[-1])
             self.spark.sql(f"ALTER TABLE {fq} RECOVER PARTITIONS")
 
     def _location(self, fq: str) -> str:
@@ -261,104 +267,121 @@ class LayerStore:
                 .where(F.col("batch") <= batch).drop("batch"))
 
     # -- satellites ---------------------------------------------------------------
-    def open_batches(self, table: str) -> list[int]:
-        """Batches whose open rows are stored."""
-        fq = self.name("gold", table)
-        if not self.spark.catalog.tableExists(fq):
-            return []
-        parts = [p.split("/") for (p,) in self.spark.sql(f"SHOW PARTITIONS {fq}").collect()]
-        return sorted(int(b.split("=", 1)[1]) for b, state in parts if state == "is_current=true")
-
-    def latest(self, table: str, batch: int) -> int | None:
-        """The last batch up to ``batch`` that loaded the table: batch numbers may have gaps."""
-        found = [b for b in self.open_batches(table) if b <= batch]
-        if not found and not self.has_open(table, batch):
-            raise ValueError(f"the open rows of {table} as of batch {batch} are not stored any more")
+    def open_base(self, table: str, batch: int) -> int | None:
+        """The last batch up to ``batch`` that wrote all open rows, if they are still stored."""
+        found = [b for b in self._numbers(self.path("gold", table, "_open")) if b <= batch]
         return found[-1] if found else None
 
     def has_open(self, table: str, batch: int) -> bool:
         """Whether the open rows as of ``batch`` are stored, if there were any."""
-        finished = [b for b in self.marked("finished") if b <= batch]
-        return not finished or finished[-1] in self.open_batches(table)
+        return self.open_base(table, batch) is not None or not any(b <= batch for b in self.marked("finished"))
 
-    def read_open(self, table: str, batch: int) -> DataFrame | None:
-        last = self.latest(table, batch)
-        if last is None:
+    def _start(self, table: str, batch: int) -> int | None:
+        base = self.open_base(table, batch)
+        if base is None and not self.has_open(table, batch):
+            raise ValueError(f"the open rows of {table} as of batch {batch} are not stored any more")
+        return base
+
+    def _live(self, table: str, batch: int, closed: list[int]) -> DataFrame | None:
+        """Open rows as of ``batch`` and the rows of the partitions ``closed``: one scan, partitioned by the bucket key.
+
+        Of the open rows, per key those of the last batch that changed it: a join with the keys changed since the
+        base, both sides on the bucket key, so without an exchange."""
+        base = self._start(table, batch)
+        if base is None:
             return None
-        return (self.spark.table(self.name("gold", table))
-                .where((F.col("batch") == last) & F.col("is_current"))
-                .drop("batch", "is_current"))
+        rows = self.spark.table(self.name("gold", table))
+        names = [c for c in rows.columns if c not in ("batch", "is_current")]
+        live = F.col("is_current") & F.col("batch").between(base, batch)
+        rows = rows.where(live | (~F.col("is_current") & F.col("batch").isin(closed)) if closed else live)
+        later = [b for b in self.batches("gold", table) if base < b <= batch]
+        if later:
+            key = self.keys["gold", table]
+            changed = (self.spark.table(self.name("gold", table)).where(F.col("is_current") & F.col("batch").isin(later))
+                       .groupBy(key).agg(F.max("batch").alias("_last")))
+            rows = rows.join(changed, key, "left").where(
+                ~F.col("is_current") | (F.coalesce("_last", F.lit(base)) == F.col("batch")))
+        return rows.select(*names)
+
+    def read_open(self, table: str, batch: int) -> DataFrame | None:
+        """The open rows as of ``batch``; None before the first load."""
+        return self._live(table, batch, [])
 
-    def _closed_start(self, table: str, batch: int) -> int:
+    def closed_start(self, table: str, batch: int) -> int:
         """First batch whose closed partition is still live as of ``batch``."""
-        bases = [b for b in self._marked_batches(self.path("gold", table, "_base")) if b <= batch]
+        bases = [b for b in self._numbers(self.path("gold", table, "_base")) if b <= batch]
         return bases[-1] if bases else 1
 
+    def _closed(self, table: str, batch: int, after: str | None = None) -> list[int]:
+        """Closed partitions that count as of ``batch``: the latest full rewrite, then later ones.  With the instant
+        ``after``, those that ended by then are left out."""
+        live = [b for b in self.batches("gold", table) if self.closed_start(table, batch) <= b <= batch]
+        return live if after is None else [b for b in live if (end := self._end_of(table, b)) is None or end > after]
+
     def read_closed(self, table: str, batch: int) -> DataFrame | None:
-        """Closed rows as of ``batch``: the latest full rewrite, then later deltas."""
-        start = self._closed_start(table, batch)
-        if not any(start <= b <= batch for b in self.batches("gold", table)):
+        live = self._closed(table, batch)
+        if not live:
             return None
         return (self.spark.table(self.name("gold", table))
-                .where(F.col("batch").between(start, batch) & ~F.col("is_current"))
+                .where(F.col("batch").isin(live) & ~F.col("is_current"))
                 .drop("batch", "is_current"))
 
+    def _end_of(self, table: str, batch: int) -> str | None:
+        """The latest end date in a closed partition ("" if it is empty), None if not recorded."""
+        path = self.path("gold", table, f"_ends/batch={batch}")
+        return self.spark.read.parquet(path).first()["upto"] if self._exists(f"{path}/_SUCCESS") else None
+
     def read_satellite(self, table: str, batch: int) -> DataFrame | None:
-        """Whole history of a satellite as of ``batch`` (open and closed rows).
+        """Whole history of a satellite as of ``batch`` (open and closed rows)."""
+        return self._live(table, batch, self._closed(table, batch))
 
-        One scan of the bucketed table with a partition filter, so a window or
-        join on the hash key over the history needs no shuffle.
-        """
-        last = self.latest(table, batch)
-        if last is None:
-            return None
-        start = self._closed_start(table, batch)
-        live = (((F.col("batch") == last) & F.col("is_current"))
-                | (F.col("batch").between(start, batch) & ~F.col("is_current")))
-        return (self.spark.table(self.name("gold", table)).where(live)
-                .drop("batch", "is_current"))
+    def read_as_of(self, table: str, batch: int, instant: str) -> DataFrame | None:
+        """The versions as of ``batch`` among which are all that hold at ``instant`` (``YYYY-MM-DD hh:mm:ss``): closed
+        partitions that ended by then are not read."""
+        return self._live(table, batch, self._closed(table, batch, instant))
 
     def has_base(self, table: str, batch: int) -> bool:
-        return batch in self._marked_batches(self.path("gold", table, "_base"))
+        return batch in self._numbers(self.path("gold", table, "_base"))
 
     def write_satellite(self, out, table: str, key: str, batch: int) -> None:
-        """A batch's rows, split by ``is_current``: the touched rows in one pass (their close-out window
-        runs once), and the untouched open rows straight from the bucketed scan, so they
-        are copied bucket by bucket and never shuffled."""
-        touched = out.touched.withColumn("is_current", F.col("load_end_date").isNull())
+        """A batch's rows, split by ``is_current``: the changed keys in one pass (their close-out window runs once).  Other
+        open rows are written only when the changes have come to COMPACT_SHARE of the base; then bucket by
+        bucket, never shuffled."""
+        for kind in ("_open", "_ends"):
+            self._delete(self.path("gold", table, f"{kind}/batch={batch}"))
+        base = self.open_base(table, batch - 1)
+        ends = [Observation(), Observation()]
+        upto = F.max("load_end_date").cast("string").alias("upto")
+        touched = out.touched.observe(ends[0], upto).withColumn("is_current", F.col("load_end_date").isNull())
         fq = self._ensure_table(out.touched, "gold", table, key,
                                 (("batch", "int"), ("is_current", "boolean")))
         self._insert(self._by_bucket(touched, key), fq, batch, ["is_current"])
-        for rows, is_open in ((out.untouched, True), (out.kept_closed, False)):
-            if rows is not None:
-                rows = rows.withColumn("is_current", F.lit(is_open))
-                self._insert(self._by_bucket(rows, key), fq, batch, ["is_current"], drop=False)
-        if out.closed_is_full:
+        if out.kept_closed is not None:
+            kept = out.kept_closed.observe(ends[1], upto).withColumn("is_current", F.lit(False))
+            self._insert(self._by_bucket(kept, key), fq, batch, ["is_current"], drop=False)
             self.spark.range(0).write.mode("overwrite").parquet(
                 self.path("gold", table, f"_base/batch={batch}"))
+        found = [observed_value(e, "upto") for e in ends[:1 + (out.kept_closed is not None)]]
+        self._record([(max(filter(None, found), default=""),)], "upto string", f"gold/{table}/_ends/batch={batch}")
+        if out.untouched is None or self._outgrown(table, base, batch):
+            if out.untouched is not None:
+                rest = out.untouched.withColumn("is_current", F.lit(True))
+                self._insert(self._by_bucket(rest, key), fq, batch, ["is_current"], drop=False)
+            self.spark.range(0).write.mode("overwrite").parquet(self.path("gold", table, f"_open/batch={batch}"))
+
+    def _outgrown(self, table: str, base: int, batch: int) -> bool:
+        """Whether the open rows written since the base come to COMPACT_SHARE of it."""
+        place = self._location(self.name("gold", table))
+        size = lambda b: self.folder_bytes(f"{place}/batch={b}/is_current=true")
+        since = sum(size(b) for b in self.batches("gold", table) if base < b <= batch)
+        return since > COMPACT_SHARE * size(base)
 
     def drop_superseded(self, table: str, keep: int) -> None:
-        """Release the open rows of all but the last ``keep`` batches: each batch holds them anew."""
-        fq = self.name("gold", table)
-        for b in self.batches("gold", table)[:-keep]:
-            self.spark.sql(f"ALTER TABLE {fq} DROP IF EXISTS PARTITION (batch={b}, is_current=true)")
-            self._delete(f"{self._location(fq)}/batch={b}/is_current=true")
-
-    # -- named layers -----------------------------------------------------------
-    def publish(self, layer: str, table: str, batch: int, database: str, kind: str) -> None:
-        """Point view ``<database>.<table>`` at the table as of ``batch``; readers of the view before
-        keep reading the files it named."""
-        if kind == "files":
-            source = f"parquet.`{self.path(layer, table, f'batch={batch}')}`"
-            select = f"SELECT * FROM {source}"
-        else:
-            fq = self.name(layer, table)
-            cols = ", ".join(f"`{f.name}`" for f in self.spark.table(fq).schema.fields
-                             if f.name not in ("batch", "is_current"))
-            where = {"batch": f"batch = {batch}", "appended": f"batch <= {batch}"}.get(kind)
-            if where is None:
-                where = (f"(batch = {self.latest(table, batch)} AND is_current) OR (batch BETWEEN "
-                         f"{self._closed_start(table, batch)} AND {batch} AND NOT is_current)")
-            select = f"SELECT {cols} FROM {fq} WHERE {where}"
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS {select}")
+        """Release the open rows that no read as of one of the last ``keep`` batches needs."""
+        fq, batches = self.name("gold", table), self.batches("gold", table)
+        base = self.open_base(table, batches[-keep]) if len(batches) >= keep else None
+        for b in batches if base is not None else []:
+            if b < base:
+                self._delete(self.path("gold", table, f"_open/batch={b}"))
+                self.spark.sql(f"ALTER TABLE {fq} DROP IF EXISTS PARTITION (batch={b}, is_current=true)")
+                self._delete(f"{self._location(fq)}/batch={b}/is_current=true")

@@ -34,6 +34,7 @@ def micro_batch_loader(run: Pipeline, crm: Callable[[int], dict[str, DataFrame]]
     ``stream`` names the query: one name per checkpoint folder.
     """
     def load(df: DataFrame, epoch_id: int) -> None:
+        run.resume_replay()  # of an application before this one
         batch = run.store.batch_of_epoch(stream, epoch_id)
         if batch is None:
             batch = max(run.store.marked("started"), default=0) + 1
