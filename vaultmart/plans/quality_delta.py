@@ -88,11 +88,23 @@ def _relationship(run: Pipeline, t: Test, batch: int, state: DataFrame | None) -
     lone = values.where(F.col("value").isNotNull()).distinct().join(parents, "value", "left_anti")
     if state is not None:
         lone = lone.unionByName(_carried(state, t).join(parents, "value", "left_anti")).distinct()
-    lone = run._materializer(f"quality_{t.table}_{t.column}", batch)(lone)
-    if lone.isEmpty():
-        return _values(lone.withColumn("n", F.lit(0)), t)
-    rows = child(t.table, batch).select(F.col(t.column).alias("value"))
-    return _values(rows.join(lone, "value").groupBy("value").agg(F.count(F.lit(1)).alias("n")), t)
+    return lone.select(F.lit(t.table).alias("table_name"), F.lit(t.column).alias("column_name"),
+                       F.lit(quality._label(t)).alias("test"), F.col("value").cast("string").alias("value"))
+
+
+def _lone_rows(run: Pipeline, tests: list[Test], batch: int, state: DataFrame | None) -> DataFrame:
+    """Child values without a parent, with their rows: counted for the tests that have any."""
+    lone = reduce(DataFrame.unionByName, [_relationship(run, t, batch, state) for t in tests])
+    lone = run._materializer("quality_lone", batch)(lone)
+    red = {tuple(r) for r in lone.select("table_name", "column_name", "test").distinct().collect()}  # one row a test at most
+    counted = [lone.limit(0).withColumn("n", F.lit(0).cast("long"))]
+    for t in tests:
+        if (t.table, t.column, quality._label(t)) in red:
+            child = run.satellite if t.table.startswith("sat_") else run.hub
+            mine = lone.where((F.col("table_name") == t.table) & (F.col("column_name") == t.column) & (F.col("test") == quality._label(t)))
+            rows = child(t.table, batch).select(F.col(t.column).cast("string").alias("value"))
+            counted.append(_values(rows.join(mine.select("value"), "value").groupBy("value").agg(F.count(F.lit(1)).alias("n")), t))
+    return reduce(DataFrame.unionByName, counted)
 
 
 def carry(run: Pipeline, batch: int) -> DataFrame:
@@ -100,8 +112,10 @@ def carry(run: Pipeline, batch: int) -> DataFrame:
     before = [b for b in run.store.marked("finished") if b < batch]
     path = _state_path(run, before[-1]) if before else None
     state = run.spark.read.schema(STATE).parquet(path) if path and run.store._exists(f"{path}/_SUCCESS") else None
-    make = {"not_null": _not_null, "unique": _unique, "relationships": _relationship}
-    found = [make[t.kind](run, t, batch, state) for t in DECLARED_TESTS if t.layer == "gold"]
+    gold = [t for t in DECLARED_TESTS if t.layer == "gold"]
+    found = [_not_null(run, t, batch, state) for t in gold if t.kind == "not_null"]
+    found += [_unique(run, t, batch, state) for t in gold if t.kind == "unique"]
+    found.append(_lone_rows(run, [t for t in gold if t.kind == "relationships"], batch, state))
     reduce(DataFrame.unionByName, found).write.mode("overwrite").parquet(_state_path(run, batch))
     return run.spark.read.schema(STATE).parquet(_state_path(run, batch))
 
