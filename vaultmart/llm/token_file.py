@@ -41,6 +41,7 @@ SHARD_IDS = 1 << 18      # a shard is closed at the first document end past this
 CACHE_ENTRIES = 200_000  # words cached per Python worker and generation
 GROUP_BYTES = 1 << 20
 STOPS = ".,;:!?"
+TAIL = 4
 # the split pattern that the vocabulary file must state for the shortcuts of WordEncoder to hold
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -118,11 +119,25 @@ class Shard:
         return np.array([self.access(i) for i in range(a, int(self.doc_ends[k]))], np.uint32)
 
 
+class _Tails(dict):
+    """Ids of the stops at a word's end.  Of more than TAIL of them, which no text has often, none are kept."""
+
+    def __init__(self, library) -> None:
+        super().__init__({"": b""})
+        self.library = library
+
+    def __missing__(self, stops: str) -> bytes:
+        ids = _packed(self.library.encode(stops, add_special_tokens=False).ids)
+        if len(stops) <= TAIL:
+            self[stops] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids by the tokenizers library.  The model's text rules never join across a space or a line
     end, so each stretch between them is encoded once and kept in a bounded cache.  Nor do they join letters
-    and the punctuation after them, and they lower-case, so a word is given to the library once for
-    all its spellings with ASCII capitals and stops."""
+    and the punctuation after them, and they lower-case, so words go to its merge model as runs of lower-case letters,
+    their stops apart."""
 
     def __init__(self, model_json: str) -> None:
         from tokenizers import Tokenizer
@@ -135,41 +150,34 @@ class WordEncoder:
         self.library = Tokenizer.from_str(model_json)
         self.model, self.normalizer = self.library.model, self.library.normalizer
         self.byte_chars = {b: c for c, b in _byte_alphabet().items()}
-        self.stretches, self.cores = RecentCache(CACHE_ENTRIES), RecentCache(CACHE_ENTRIES)
-
-    def _encode(self, cores: list[str]) -> list[bytes]:
-        """Ids of each core as little-endian 32-bit integers.  A run of letters is one pre-token whatever stands around it: it goes straight to the library's
-        merge model, after the library's normaliser; everything else goes through the whole library."""
-        letters = [c for c in cores if c.isalpha()]
-        normal = dict(zip(letters, self.normalizer.normalize_str(" ".join(letters)).split(" "), strict=True)) if letters else {}
-        merge, whole, chars = self.model.tokenize, self.library.encode_batch_fast, self.byte_chars
-        out, rest = {}, []
-        for core in cores:
-            n = normal.get(core, "")
-            if not n.isalpha():
-                rest.append(core)
-                continue
-            if not n.isascii():
-                n = n.encode().decode("latin-1").translate(chars)
-            out[core] = _packed([t.id for t in merge(n)])
-        out.update((c, _packed(e.ids)) for c, e in zip(rest, whole(rest, add_special_tokens=False), strict=True))
-        return [out[c] for c in cores]
+        self.stretches, self.tails = RecentCache(CACHE_ENTRIES), _Tails(self.library)
 
     def learn(self, stretches: list[str]) -> dict[str, bytes]:
-        """A mapping that holds the ids of every one of `stretches`."""
-        parted = {}
+        """A mapping that holds the ids of every one of `stretches`, as little-endian 32-bit integers.
+
+        A run of letters is one pre-token whatever stands around it: it goes straight to the library's
+        merge model, lower-cased (after the library's normaliser if it is not ASCII); everything else goes
+        through the whole library."""
+        known, merge, tails, chars = self.stretches.young, self.model.tokenize, self.tails, self.byte_chars
+        rest, foreign = [], []
         for s in self.stretches.missing(stretches):
             core = s.rstrip(STOPS)
-            if core.isalpha():
-                parted[s] = (core.lower() if core.isascii() else core, s[len(core):])
+            if not core.isalpha():
+                rest.append(s)
+            elif not core.isascii():
+                foreign.append((s, core))
             else:
-                parted[s] = (s, "")
-        new = self.cores.missing({x for pair in parted.values() for x in pair})
-        known = self.cores.young
-        if new:
-            known.update(zip(new, self._encode(new), strict=True))
-        self.stretches.young.update((s, known[a] + known[b]) for s, (a, b) in parted.items())
-        return self.stretches.young
+                known[s] = _packed([t.id for t in merge(core.lower())]) + tails[s[len(core):]]
+        if foreign:
+            normal = self.normalizer.normalize_str(" ".join([core for _, core in foreign])).split(" ")
+            for (s, core), n in zip(foreign, normal, strict=True):
+                if n.isalpha():
+                    n = n.encode().decode("latin-1").translate(chars)
+                    known[s] = _packed([t.id for t in merge(n)]) + tails[s[len(core):]]
+                else:
+                    rest.append(s)
+        known.update((s, _packed(e.ids)) for s, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True))
+        return known
 
     def encode_texts(self, texts: pa.Array, end_id: int) -> list[bytes]:
         """Per text its ids and `end_id`, as little-endian 32-bit integers.  Arrow splits the texts and numbers their
