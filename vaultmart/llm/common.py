@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,23 @@ def words(column):
     return F.array_remove(F.split(F.coalesce(column, F.lit("")), SPACE), "")
 
 
-def write_table(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that `write_table` writes inside go at the end, but those written with `keep`."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCRATCH.pop():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
+def write_table(df: DataFrame, label: str, codec: str = "snappy", keep: bool = False) -> DataFrame:
     """Write `df` to a fresh folder under the cluster's shared folder and read it back.
 
     Cuts lineage: a lost executor later costs a file read, not the work behind the table.  The
@@ -32,6 +50,8 @@ def write_table(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_run_dir(spark, label)
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append(path)
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name)
     spark.conf.set(name, "true")

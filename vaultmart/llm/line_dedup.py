@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultmart.llm.common import free_name, words, write_table
+from vaultmart.llm.common import free_name, scratch, words, write_table
 
 MIN_WORDS = 8
 FILTER_BUCKETS = 512
@@ -71,10 +71,10 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 def repeated_keys(keys: DataFrame) -> DataFrame:
     """(bucket, bits): the keys of `keys` (key) that occur at least twice, marked in a bitmap."""
     again = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    return _bitmap(again.select("key"))
+    return bitmap(again.select("key"))
 
 
-def _bitmap(keys: DataFrame) -> DataFrame:
+def bitmap(keys: DataFrame) -> DataFrame:
     """(bucket, bits): the distinct `keys` (key) marked in a bitmap."""
     marks = keys.select(F.expr(f"pmod(key, {_BITS}) + 1").alias("y"))
     return marks.select(F.bitmap_bucket_number("y").alias("bucket"), F.bitmap_bit_position("y").alias("bit")) \
@@ -161,9 +161,10 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     row = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t")).alias("doc"),
                       F.col(text_col).alias("text"))
     lines = distinct_lines(row)
-    gone = write_table(near_links(lines), "lines-gone")
+    with scratch(docs.sparkSession):  # what led to the links is not needed any more
+        gone = write_table(near_links(lines), "lines-gone", keep=True)
     # lines that cannot be among those gone are not shuffled to find out
-    marks = write_table(_bitmap(gone.select(F.col("h1").alias("key"))), "lines-gone-marks")
+    marks = write_table(bitmap(gone.select(F.col("h1").alias("key"))), "lines-gone-marks")
     lines = with_mark(lines.select("h1", "h2", "place", "line"), ["h1"], marks)
     stay = lines.filter("not marked").unionByName(lines.filter("marked").join(gone, ["h1", "h2"], "left_anti")).select(
         "place.doc", "place.no", "line")

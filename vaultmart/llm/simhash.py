@@ -32,8 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm.common import free_name, small_batches, write_table
+from vaultmart.llm.common import free_name, scratch, small_batches, write_table
 from vaultmart.llm.components import connected_components
+from vaultmart.llm.line_dedup import bitmap, with_mark
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 BLOCK = 1024
@@ -255,18 +256,19 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 
 def class_components(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(_fp, _root, component_id) for every distinct fingerprint of `marked` (doc_id, fingerprint)."""
-    classes = write_table(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-                          .withColumnRenamed("fingerprint", "fp"), "simhash-classes")
-    roots = connected_components(class_links(classes.select("fp"), radius))
-    rooted = write_table(classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id")).select(
-        F.concat("root", F.lit("")).alias("r"), "component_id")
-    # a table of its own: its size is known to the planner, and a class that holds a third of all
-    # documents meets it in a join whose inputs are both plain exchanges
-    return write_table(rooted.join(least, rooted["root"] == least["r"])
-                       .select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), "component_id"),
-                       "simhash-components")
+    with scratch(marked.sparkSession):
+        classes = write_table(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+                              .withColumnRenamed("fingerprint", "fp"), "simhash-classes")
+        roots = connected_components(class_links(classes.select("fp"), radius))
+        rooted = write_table(classes.join(roots, classes["fp"] == roots["node"], "left").select(
+            "fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+        least = rooted.groupBy("root").agg(F.min("least").alias("component_id")).select(
+            F.concat("root", F.lit("")).alias("r"), "component_id")
+        # a table of its own: its size is known to the planner, and a class that holds a third of all
+        # documents meets it in a join whose inputs are both plain exchanges
+        return write_table(rooted.join(least, rooted["root"] == least["r"])
+                           .select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), "component_id"),
+                           "simhash-components", keep=True)
 
 
 def drop_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -281,5 +283,11 @@ def drop_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str =
     component = class_components(ids, radius)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("k")
     members = ids.join(component, ids["fingerprint"] == component["_fp"])
-    chosen = write_table(members.groupBy("_root").agg(first).select(F.col("k.row").alias(row)), "simhash-chosen")
-    return marked.join(chosen, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = members.groupBy("_root").agg(first).select(F.col("k.row").alias("r"))
+    gone = write_table(ids.select("row").join(chosen, ids["row"] == chosen["r"], "left_anti").select("row"), "simhash-gone")
+    # documents that cannot be among those gone are not shuffled to find out; in a struct their columns clash with none
+    whole = marked.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(row).alias("row"),
+                          F.xxhash64(row).alias("key"))
+    found = with_mark(whole, ["key"], bitmap(gone.select(F.xxhash64("row").alias("key"))))
+    stay = found.filter("not marked").unionByName(found.filter("marked").join(gone, "row", "left_anti").select(found.columns))
+    return stay.select("doc.*")
