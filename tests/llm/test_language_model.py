@@ -10,16 +10,19 @@ import pytest
 from vaultmart.llm import language_model as lm
 
 
+SYMBOLS = lm.FIRST + 70
+
+
 def tiny(n_words=70, seed=1):
     counts = list(range(n_words, 0, -1))
-    net = lm.Network(lm.start(counts, 30, 9, seed).astype(np.float64), n_words)
+    net = lm.Network(lm.start(counts, list(range(30, 30 + lm.TAILS)), 9, seed).astype(np.float64), n_words)
     net.flat += np.random.default_rng(2).normal(0, 0.3, len(net.flat))
     return net
 
 
 def test_gradients(monkeypatch):
     net, rng = tiny(), np.random.default_rng(3)
-    symbols, targets = rng.integers(0, 72, (5, 4)), rng.integers(0, 72, (5, 4))
+    symbols, targets = rng.integers(0, SYMBOLS, (5, 4)), rng.integers(0, SYMBOLS, (5, 4))
     keep = (rng.random((5, 4)) > 0.3).astype(np.float64)
     state = rng.normal(0, 1, (4, lm.HIDDEN))
     weights = rng.random(20)
@@ -48,7 +51,7 @@ def test_probabilities_sum_to_one():
     net = tiny()
     hidden = np.random.default_rng(0).normal(0, 1, (3, lm.HIDDEN))
     for h in hidden:
-        logs = net.output(np.repeat(h[None], 72, 0), np.arange(72))[0]
+        logs = net.output(np.repeat(h[None], SYMBOLS, 0), np.arange(SYMBOLS))[0]
         assert abs(np.exp(logs).sum() - 1) < 1e-6
 
 
@@ -57,7 +60,7 @@ def test_windows_carry_the_state(monkeypatch, lanes):
     monkeypatch.setattr(lm, "LANES", lanes)
     rng = np.random.default_rng(4)
     net = lm.Network(tiny().flat.astype(np.float32), 70)
-    docs = [np.append(rng.integers(0, 72, n), lm.END).astype(np.int32) for n in (0, 1, 40, 200, 3, 17, 90)]
+    docs = [np.append(rng.integers(0, SYMBOLS, n), lm.END).astype(np.int32) for n in (0, 1, 40, 200, 3, 17, 90)]
     got = lm.log10_scores(net, docs)
     for doc, score in zip(docs, got):
         inputs = np.concatenate([[lm.END], doc[:-1]])[:, None]
@@ -109,3 +112,26 @@ def test_model_beats_counts_on_held_out_texts(spark):
     model, base = sum(r.score for r in held), sum(r.base_score for r in held)
     print("log10 per token: model", model / sum(r.n_tokens for r in held), "base", base / sum(r.n_tokens for r in held))
     assert model > base
+
+
+def test_scores_do_not_depend_on_files(spark, monkeypatch):
+    """The same rows in one partition and in 48, in another order: the same training, the same scores."""
+    monkeypatch.setattr(lm, "PART_TOKENS", 20_000)  # several parts a round
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one = {r.doc_id: r for r in lm.score_documents(docs.coalesce(1)).collect()}
+    many = {r.doc_id: r for r in lm.score_documents(docs.orderBy("text").repartition(48)).collect()}
+    assert one.keys() == many.keys()
+    assert all(abs(one[k].score - many[k].score) <= 1e-6 * max(1, abs(one[k].score)) for k in one)
+    assert any(r.score != r.base_score for r in one.values())
+
+
+def test_cutoff():
+    assert lm.cutoff([(5, 1), (3, 2), (1, 10)], 3) == 3
+    assert lm.cutoff([(5, 1), (3, 2), (1, 10)], 12) == 3 and lm.cutoff([(5, 1), (3, 2), (1, 10)], 13) == 1
+    assert lm.cutoff([(5, 4)], 3) == 6 and lm.cutoff([], 3) == 1
+
+
+def test_tail_words_share_a_proper_probability():
+    """Of one class: its words by count plus one, and one for all unseen."""
+    assert lm.tail_class(b"nation") == lm.tail_class(b"on") == zlib.crc32(b"on") % lm.TAILS
+    assert 0 <= lm.tail_class(b"x") < lm.TAILS

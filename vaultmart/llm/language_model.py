@@ -1,22 +1,26 @@
 """Language-model scoring: a gated recurrent network with a class-factored softmax, in numpy.
 
 Tokens are the lower-cased words of a text and one end.  Counts are taken over all training documents
-(those whose id's crc32 modulo FOLDS is not HELD_OUT), in Spark.  The network knows the VOCABULARY most
-frequent words, the end, and "another word"; the latter's probability is shared out by the counts of all
-other words (plus one, and one for all unseen), so every text gets a proper probability.
-
-Network.  A GRU reads the previous token; a first softmax gives the class of the next (one
-for "another word", one for the end, the others WORDS_PER_CLASS words of like frequency each), a second one the word
-within its class.  Biases start at the counts' logarithms.
-
-Training.  Every partition trains a copy of the same start over all of its training documents, by
-backpropagation truncated to WINDOW steps with the state carried from window to window of a
-document, and the copies are averaged, weighted by tokens, in a grouped aggregate: what reaches the driver is one model.
-Documents lie on LANES parallel lanes; the state is cleared where a document begins.
+(those whose id's crc32 modulo FOLDS is not HELD_OUT), in Spark.  Every word of the corpus belongs to a class: the
+VOCABULARY most frequent ones to classes of WORDS_PER_CLASS words of like frequency, all others, however many the
+corpus has, to one of TAILS classes by their last two bytes (endings tell language and part of speech).
+
+Network.  A GRU reads the previous token: a frequent word as itself, any other as its class.  A first softmax gives the
+class of the next token, or the end; a second one the word within a class of frequent words.  Within a tail class words are
+dealt by their counts (plus one, and one for all unseen words of the class), so every text gets a proper
+probability.  Biases start at the counts' logarithms.
+
+Training.  Texts are tokenised once, into a table of symbols.  Training documents are dealt by a hash of their
+content into ROUNDS rounds, and each round into parts of about PART_TOKENS tokens (MOST_PARTS parts at most, of more
+tokens then); the number follows from the counted tokens alone, and a part's documents are ordered, so the model does
+not depend on files, partitions or row order.  In each round every part trains a copy of the model on all its documents,
+by backpropagation truncated to WINDOW steps with the state carried from window to window (over PIECE tokens of a
+document), and the next round starts from the copies' mean, weighted by tokens: a grouped aggregate, of which one model
+reaches the driver.  Documents lie on LANES parallel lanes; the state is cleared where one begins.
 
 Scoring.  The same windows run over every whole document with the state carried, adding up the log
-probabilities.  Counts of the FREQUENT most frequent words are broadcast; all other words of a document meet
-their counts in a join on the word.
+probabilities.  Counts of the words above a cutoff, FREQUENT at most, are broadcast; all other words of a document meet
+their counts in a join on the word.  The cutoff comes from the number of words per count.
 
 Defined results: a null or empty text is one end; null ids count as the empty string (crc32 0, training);
 repeated rows count and are scored each; without training documents all counts are zero; an empty table gives an
@@ -26,7 +30,9 @@ empty result.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +42,7 @@ from pyspark.sql import functions as F
 from vaultmart.llm.common import small_batches, write_table
 
 FOLDS, HELD_OUT = 7, 2
-VOCABULARY, WORDS_PER_CLASS = 1024, 32
+VOCABULARY, WORDS_PER_CLASS, TAILS = 1024, 32, 64
 HIDDEN, EMBEDDING = 16, 16
 WINDOW, LANES = 16, 256
 SCORE_STEPS = 64
@@ -46,15 +52,17 @@ FREQUENT = 100_000
 RATE = 0.02
 FLUSH_WORDS = 200_000   # distinct words a counting task holds before it passes them on
 MODEL_BLOCK = 2048      # parameters in one row of the average
+ROUNDS, PART_TOKENS, MOST_PARTS = 3, 1 << 20, 4096
+PIECE = 2048            # tokens of a document over which training carries the state
 DTYPE = np.float32
-OTHER, END, FIRST = 0, 1, 2  # symbols; words follow by falling count
+END, FIRST = TAILS, TAILS + 1  # symbols: the tail classes, the end, then words by falling count
 
 
 def shapes(n_words: int) -> dict[str, tuple[int, ...]]:
-    classes = 2 + -(-n_words // WORDS_PER_CLASS)
+    classes = FIRST + -(-n_words // WORDS_PER_CLASS)
     return {"embedding": (FIRST + n_words, EMBEDDING), "input": (EMBEDDING, 3 * HIDDEN), "gates": (3 * HIDDEN,),
             "recurrent": (HIDDEN, 3 * HIDDEN), "class_w": (HIDDEN, classes), "class_b": (classes,),
-            "word_w": (max(1, classes - 2), HIDDEN, WORDS_PER_CLASS), "word_b": (max(1, classes - 2), WORDS_PER_CLASS)}
+            "word_w": (max(1, classes - FIRST), HIDDEN, WORDS_PER_CLASS), "word_b": (max(1, classes - FIRST), WORDS_PER_CLASS)}
 
 
 def unpack(flat: np.ndarray, n_words: int) -> dict[str, np.ndarray]:
@@ -66,7 +74,7 @@ def unpack(flat: np.ndarray, n_words: int) -> dict[str, np.ndarray]:
     return out
 
 
-def start(counts: list[int], other: int, ends: int, seed: int = 5) -> np.ndarray:
+def start(counts: list[int], tails: list[int], ends: int, seed: int = 5) -> np.ndarray:
     """The common start of all copies: small random weights, biases at the logarithm of the counts plus one."""
     n = len(counts)
     rng = np.random.default_rng(seed)
@@ -75,7 +83,7 @@ def start(counts: list[int], other: int, ends: int, seed: int = 5) -> np.ndarray
     padded = np.zeros(p["word_b"].size)
     padded[:n] = np.array(counts) + 1.0
     per_word = padded.reshape(p["word_b"].shape)
-    sums = np.concatenate([[other + 1.0, ends + 1.0], per_word.sum(1)])[:len(p["class_b"])]
+    sums = np.concatenate([np.array(tails) + 1.0, [ends + 1.0], per_word.sum(1)])[:len(p["class_b"])]
     p["class_b"][:] = np.log(sums / sums.sum())
     p["class_w"] *= 0.1
     p["word_w"] *= 0.1
@@ -117,7 +125,7 @@ class Network:
         p = self.p
         rows = np.arange(len(targets))
         word = targets - FIRST
-        cls = np.where(word < 0, targets, 2 + word // WORDS_PER_CLASS)
+        cls = np.where(word < 0, targets, FIRST + word // WORDS_PER_CLASS)
         logits = hidden @ p["class_w"] + p["class_b"]
         logits -= logits.max(1, keepdims=True)
         e = np.exp(logits)
@@ -131,7 +139,7 @@ class Network:
             d_hidden = d @ p["class_w"].T
             grads["word_w"], grads["word_b"] = np.zeros_like(p["word_w"]), np.zeros_like(p["word_b"])
         order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(2, len(p["class_b"]) + 1))
+        edges = np.searchsorted(cls[order], np.arange(FIRST, len(p["class_b"]) + 1))
         for c in range(len(edges) - 1):
             at = order[edges[c]:edges[c + 1]]
             if not len(at):
@@ -299,50 +307,141 @@ def _counts(found: Counter) -> pa.RecordBatch:
                                       names=["word", "c"])
 
 
-def _groups(batches, symbol: dict[bytes, int]):
-    """Groups of documents as symbol arrays, GROUP_TOKENS tokens or a little more at a time."""
-    docs, size = [], 0
-    for batch in batches:
-        for t in batch.column(0).cast(pa.binary()):
-            docs.append(to_symbols(words(t.as_py()), symbol))
-            size += len(docs[-1])
+def tail_class(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % TAILS
+
+
+def cutoff(sizes: list[tuple[int, int]], most: int) -> int:
+    """The least count such that `most` words at most have it or more, from (count, number of words)."""
+    total, least = 0, None
+    for c, n in sorted(sizes, reverse=True):
+        total += n
+        if total > most:
+            break
+        least = c
+    return least if least is not None else max((c for c, _ in sizes), default=0) + 1
+
+
+def _pieces(symbols: np.ndarray) -> list[np.ndarray]:
+    return [symbols[a:a + PIECE] for a in range(0, len(symbols), PIECE)]
+
+
+def _parts(batches):
+    """(part, groups of documents) of rows in order of their part; a group has GROUP_TOKENS tokens or a little more."""
+    rows = ((k, np.frombuffer(x, "<i2").astype(np.int32)) for batch in batches
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+
+    def groups(mine):
+        docs, size = [], 0
+        for _, symbols in mine:
+            docs += _pieces(symbols)
+            size += len(symbols)
             if size >= GROUP_TOKENS:
                 yield docs
                 docs, size = [], 0
-    if docs:
-        yield docs
-
-
-def to_symbols(tokens: list[bytes], symbol: dict[bytes, int]) -> np.ndarray:
-    out = np.fromiter((symbol.get(w, OTHER) for w in tokens), np.int32, len(tokens))
-    return np.append(out, np.int32(END))
+        if docs:
+            yield docs
+    for part, mine in groupby(rows, lambda r: r[0]):
+        yield part, groups(mine)
+
+
+def fit(table: DataFrame, n_words: int, flat: np.ndarray, tokens: int) -> np.ndarray:
+    """The model after all rounds over the training documents `table` (doc_id, symbols), which hold `tokens` tokens."""
+    parts = max(1, min(MOST_PARTS, -(-tokens // (ROUNDS * PART_TOKENS))))
+    h = F.xxhash64("doc_id", "symbols")
+    dealt = table.select("doc_id", "symbols", h.alias("h"), F.pmod(h, F.lit(ROUNDS * parts)).alias("deal"))
+    for k in range(ROUNDS):
+        flat = train_round(dealt.where(F.col("deal") % ROUNDS == k), parts, n_words, flat)
+    return flat
 
 
-def fit(docs: DataFrame, vocabulary: list[bytes], flat: np.ndarray) -> np.ndarray:
-    """The average of the copies that the partitions of `docs` (text) train from `flat`."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((vocabulary, flat))  # about 150 KB: the vocabulary is bounded
+def train_round(dealt: DataFrame, parts: int, n_words: int, flat: np.ndarray) -> np.ndarray:
+    """The mean of the copies that the parts (`deal`) of one round train from `flat`."""
+    shared = dealt.sparkSession.sparkContext.broadcast(flat)  # under 400 KB: the vocabulary is bounded
 
     def learn(batches):
-        known, begin = shared.value
-        network = Network(begin.copy(), len(known))
-        n = train(network, _groups(batches, {w: FIRST + k for k, w in enumerate(known)}))
-        if n:
-            blocks = [network.flat[a:a + MODEL_BLOCK] for a in range(0, len(begin), MODEL_BLOCK)]
+        for part, groups in _parts(batches):
+            network = Network(shared.value.copy(), n_words)
+            n = train(network, groups)
+            blocks = [network.flat[a:a + MODEL_BLOCK] for a in range(0, len(network.flat), MODEL_BLOCK)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(blocks)), pa.int32()), pa.array([n] * len(blocks), pa.int64()),
                  pa.array([b.tolist() for b in blocks], pa.list_(pa.float64()))], names=["block", "n", "w"])
 
-    copies = write_table(docs.select("text").mapInArrow(learn, "block int, n bigint, w array<double>"), "lm-copies")
+    ordered = dealt.repartition(parts, "deal").sortWithinPartitions("deal", "h", "doc_id", "symbols").select("deal", "symbols")
+    copies = write_table(ordered.mapInArrow(learn, "block int, n bigint, w array<double>"), "lm-copies")
     mean = (copies.select("block", "n", F.posexplode("w").alias("i", "x")).groupBy("block", "i")
             .agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")))
-    rows = mean.collect()  # one row per parameter of the model
     out = flat.copy()
-    for r in rows:
+    for r in mean.collect():  # one row per parameter of the model
         out[r["block"] * MODEL_BLOCK + r["i"]] = r["x"]
     return out
 
 
+def symbols_of(rows: DataFrame, n_words: int, frequent: dict[bytes, int], log_norms: list[float]) -> DataFrame:
+    """Written table, a row per document: its symbols, and what its words add to the scores.
+
+    `frequent` holds words and counts, the first `n_words` of them as symbols of their own; words it lacks are listed."""
+    shared = rows.sparkSession.sparkContext.broadcast((frequent, np.array(log_norms)))  # FREQUENT words at most
+
+    def run(batches):
+        known, norms = shared.value
+        table = {w: (FIRST + k if k < n_words else tail_class(w), math.log10(c + 1)) for k, (w, c) in enumerate(known.items())}
+        for batch in batches:
+            out = []
+            for text in batch.column(2).cast(pa.binary()):
+                tokens = words(text.as_py())
+                found = list(map(table.get, tokens))
+                rare = Counter(w for w, f in zip(tokens, found) if f is None)
+                pairs = [f for f in found if f is not None]
+                symbols = np.fromiter((tail_class(w) if f is None else f[0] for w, f in zip(tokens, found)), np.int16, len(found))
+                tails = np.bincount(symbols[symbols < TAILS], minlength=TAILS)
+                out.append((len(tokens) + 1, len(pairs), sum(f[1] for f in pairs), sum(f[1] for f in pairs if f[0] < TAILS) - float(tails @ norms),
+                            np.append(symbols, np.int16(END)).astype("<i2").tobytes(), list(rare.items())))
+            flat = [x for r in out for x in r[5]]
+            offsets = np.concatenate([[0], np.cumsum([len(r[5]) for r in out])])
+            listed = pa.StructArray.from_arrays([pa.array([w for w, _ in flat], pa.binary()), pa.array([k for _, k in flat], pa.int64())],
+                                                names=["word", "tf"])
+            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array([r[k] for r in out], t) for k, t in enumerate(types)),
+                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), listed)],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "tail_logs", "symbols", "rare"])
+    schema = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, tail_logs double, "
+              "symbols binary, rare array<struct<word: binary, tf: bigint>>")
+    listed = rows.select(F.col("doc_id").cast("long").alias("doc_id"), (~is_training(rows["doc_id"])).alias("held_out"), "text")
+    return write_table(listed.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-symbols")
+
+
+def model_scores(table: DataFrame, n_words: int, flat: np.ndarray) -> DataFrame:
+    """`table` with model_score, the network's log10 probability of each document's symbols."""
+    shared = table.sparkSession.sparkContext.broadcast(flat)
+
+    def run(batches):
+        network = Network(shared.value, n_words)
+        held, size = [], 0
+
+        def scored():
+            docs = [np.frombuffer(x.as_py(), "<i2").astype(np.int32) for b in held for x in b.column("symbols")]
+            scores, at = log10_scores(network, docs), 0
+            for b in held:
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in columns], pa.array(scores[at:at + b.num_rows], pa.float64())],
+                                                 names=[*columns, "model_score"])
+                at += b.num_rows
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.column("symbols").nbytes // 2
+            if size >= GROUP_TOKENS:
+                yield from scored()
+                held, size = [], 0
+        if held:
+            yield from scored()
+    columns = ["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "tail_logs"]
+    schema = ("row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, tail_logs double, model_score double")
+    return table.select(*columns, "symbols").mapInArrow(run, schema)
+
+
 def score_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
     spark = docs.sparkSession
@@ -353,60 +452,24 @@ def score_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = learn.count()
     n, v = sums["n"] + ends, sums["v"] + (ends > 0)
-    frequent = [(bytes(r["word"]), r["c"]) for r in
-                counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()]  # bounded by FREQUENT
-    vocabulary = frequent[:VOCABULARY]
-    other_n, other_v = n - ends - sum(c for _, c in vocabulary), sums["v"] - len(vocabulary)
-    model = fit(learn, [w for w, _ in vocabulary], start([c for _, c in vocabulary], other_n, ends))
-    shared = spark.sparkContext.broadcast((model, len(vocabulary), dict(frequent)))
-
-    def score(batches):
-        flat, n_words, known = shared.value
-        network = Network(flat, n_words)
-        symbol = {w: FIRST + k for k, w in enumerate(known) if k < n_words}
-        table = {w: (symbol.get(w, OTHER), math.log10(c + 1)) for w, c in known.items()}
-
-        def row_of(words_):
-            """(symbols, known words, their logarithms, those of them outside the vocabulary, other words)"""
-            found = list(map(table.get, words_))
-            pairs = [f for f in found if f is not None]
-            rare = Counter(w for w, f in zip(words_, found) if f is None)
-            symbols = np.fromiter((OTHER if f is None else f[0] for f in found), np.int32, len(found))
-            logs = [f[1] for f in pairs]
-            other = sum(f[1] for f in pairs if f[0] == OTHER)
-            return np.append(symbols, np.int32(END)), len(pairs), sum(logs), other, list(rare.items())
-
-        def batch_of(ids, held, rows):
-            symbols = [r[0] for r in rows]
-            flat_rare = [x for r in rows for x in r[4]]
-            offsets = np.concatenate([[0], np.cumsum([len(r[4]) for r in rows])])
-            rare = pa.StructArray.from_arrays([pa.array([w for w, _ in flat_rare], pa.binary()),
-                                               pa.array([k for _, k in flat_rare], pa.int64())], names=["word", "tf"])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array([len(s) for s in symbols], pa.int64()),
-                 pa.array([int((s == OTHER).sum()) for s in symbols], pa.int64()),
-                 pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64()),
-                 pa.array([r[3] for r in rows], pa.float64()), pa.array(log10_scores(network, symbols), pa.float64()),
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare)],
-                names=["doc_id", "held_out", "n_tokens", "n_other", "n_known", "logs", "other_logs", "model_score", "rare"])
-
-        ids, held, rows, size = [], [], [], 0
-        for batch in batches:
-            for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                               batch.column(2).cast(pa.binary())):
-                ids.append(i), held.append(h), rows.append(row_of(words(t.as_py())))
-                size += len(rows[-1][0])
-                if size >= GROUP_TOKENS:
-                    yield batch_of(ids, held, rows)
-                    ids, held, rows, size = [], [], [], 0
-        if ids:
-            yield batch_of(ids, held, rows)
-
-    schema = ("doc_id bigint, held_out boolean, n_tokens bigint, n_other bigint, n_known bigint, logs double, "
-              "other_logs double, model_score double, rare array<struct<word: binary, tf: bigint>>")
-    scored = write_table(rows.select(F.col("doc_id").cast("long"), (~is_training(rows["doc_id"])).alias("held_out"), "text")
-                         .mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    each = scored.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.tf")
+    # different counts: fewer than the root of twice the tokens
+    least = cutoff([tuple(r) for r in counts.groupBy("c").agg(F.count("*")).collect()], FREQUENT)
+    above = [(bytes(r["word"]), r["c"]) for r in counts.where(F.col("c") >= least).collect()]  # FREQUENT at most
+    frequent = dict(sorted(above, key=lambda x: (-x[1], x[0])))
+    vocabulary = list(frequent)[:VOCABULARY]
+    totals, kinds = np.zeros(TAILS, np.int64), np.zeros(TAILS, np.int64)
+    tail = (F.crc32(F.substring("word", -2, 2)) % TAILS).alias("k")
+    for r in counts.groupBy(tail).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():  # TAILS rows
+        totals[r["k"]], kinds[r["k"]] = r["c"], r["n"]
+    for w in vocabulary:
+        totals[tail_class(w)] -= frequent[w]
+        kinds[tail_class(w)] -= 1
+    table = symbols_of(rows, len(vocabulary), frequent, np.log10(totals + kinds + 1).tolist())
+    begin = start([frequent[w] for w in vocabulary], totals.tolist(), ends)
+    model = fit(table.where("not held_out"), len(vocabulary), begin, n)
+    scored = model_scores(table, len(vocabulary), model)
+
+    each = table.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.tf")
     met = each.join(counts.filter(F.col("c") > 0), "word", "left").groupBy("row").agg(
         F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("rare_logs"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("rare_known"))
@@ -417,5 +480,4 @@ def score_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(ends > 0))).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("logs") + rare + F.lit(end_log) - F.col("n_tokens") * F.lit(all_log)).alias("base_score"),
-        (F.col("model_score") + F.col("other_logs") + rare
-         - F.col("n_other") * F.lit(math.log10(other_n + other_v + 1))).alias("score"))
+        (F.col("model_score") + F.col("tail_logs") + rare).alias("score"))
