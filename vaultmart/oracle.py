@@ -68,11 +68,8 @@ _PRICE = "CAST(t.o_totalprice AS DECIMAL(14,2))"
 _AGENT = "CASE WHEN t.k % 50 <> 0 THEN CAST((t.k * 31) % t.ns AS VARCHAR) END"
 
 
-def _raw_sql(b: int) -> str:
-    price, agent = _PRICE, _AGENT
-    if b >= 2:
-        price = f"CASE WHEN t.k % 1000 = 0 THEN CAST({_PRICE} + 1 AS DECIMAL(14,2)) ELSE {_PRICE} END"
-        agent = f"CASE WHEN t.k % 1000 = 1 THEN CAST((t.k * 31 + 1) % t.ns AS VARCHAR) ELSE {_AGENT} END"
+def _property_rule(b: int) -> tuple[str, str, str]:
+    """The suburb and load date that batch b gives a property, and the sales it holds."""
     suburb, loaded = "p.suburb0", BATCH_TS[b]
     if b == 2:
         suburb = "CASE WHEN p.pkey % 10 = 0 THEN p.suburb0 || '-updated' ELSE p.suburb0 END"
@@ -82,7 +79,15 @@ def _raw_sql(b: int) -> str:
             WHEN p.pkey % 100 = 50 THEN p.suburb0 || '-replaced'
             WHEN p.pkey % 10 = 0 THEN p.suburb0 || '-updated' ELSE p.suburb0 END"""
         loaded = f"CASE WHEN p.pkey % 100 = 30 THEN {LATE} WHEN p.pkey % 100 = 50 THEN {D2} ELSE {D3} END"
-    where = {1: "t.k % 10 <> 9", 2: "TRUE", 3: "t.pkey % 100 <> 7"}[b]
+    return suburb, loaded, {1: "t.k % 10 <> 9", 2: "TRUE", 3: "t.pkey % 100 <> 7"}[b]
+
+
+def _raw_sql(b: int) -> str:
+    price, agent = _PRICE, _AGENT
+    if b >= 2:
+        price = f"CASE WHEN t.k % 1000 = 0 THEN CAST({_PRICE} + 1 AS DECIMAL(14,2)) ELSE {_PRICE} END"
+        agent = f"CASE WHEN t.k % 1000 = 1 THEN CAST((t.k * 31 + 1) % t.ns AS VARCHAR) ELSE {_AGENT} END"
+    suburb, loaded, where = _property_rule(b)
     return f"""SELECT CAST(t.k AS VARCHAR) AS transaction_id, CAST(t.pkey AS VARCHAR) AS property_id,
        {price} AS sale_price, CAST(t.o_orderdate AS DATE) AS sale_date,
        CAST(t.o_custkey AS VARCHAR) AS buyer_id,
@@ -155,12 +160,14 @@ for _b in (1, 2, 3):
        md5(buyer_id) AS buyer_hk, md5(seller_id) AS seller_hk, md5(agent_id) AS agent_hk,
        {_TX_HASHDIFF} AS hashdiff
 FROM raw_b{_b} WHERE transaction_id IS NOT NULL""", f"raw_b{_b}")
+    # all sales of a property in a batch carry the same attributes and load date
+    _suburb, _loaded, _where = _property_rule(_b)
     cte(f"stg_prop_b{_b}", f"""SELECT *, md5(property_id) AS property_hk, {PROP_HASHDIFF} AS hashdiff
-FROM (SELECT DISTINCT ON (property_id) property_id, address, suburb, postcode, state, bedrooms,
-             bathrooms, land_size_sqm, property_type, year_built, listing_price,
-             _loaded_at AS load_date, 'bronze.property_raw' AS record_source
-      FROM raw_b{_b} WHERE property_id IS NOT NULL
-      ORDER BY property_id, _loaded_at DESC NULLS FIRST)""", f"raw_b{_b}")
+FROM (SELECT CAST(u.pkey AS VARCHAR) AS property_id, p.address, {_suburb} AS suburb, p.postcode, p.state, p.bedrooms,
+             p.bathrooms, p.land_size_sqm, p.property_type, p.year_built, p.listing_price,
+             {_loaded} AS load_date, 'bronze.property_raw' AS record_source
+      FROM (SELECT t.pkey FROM tx_base t WHERE {_where} GROUP BY t.pkey) u LEFT JOIN prop_base p ON p.pkey = u.pkey)""",
+        "tx_base", "prop_base")
     cte(f"stg_own_b{_b}", f"""SELECT owner_id, full_name, email, phone, suburb, state, registration_date,
        investor_flag, _loaded_at AS load_date, 'src_crm.owners' AS record_source,
        md5(owner_id) AS owner_hk, {OWNER_HASHDIFF} AS hashdiff
@@ -336,11 +343,12 @@ LEFT JOIN median_b3 m ON a.suburb IS NOT DISTINCT FROM m.suburb AND a.state IS N
   AND a.sale_month IS NOT DISTINCT FROM m.sale_month""", "sales_month_b3", "median_b3")
 
 cte("mart_owner_b3", """SELECT o.owner_id, o.full_name, o.suburb, o.state, o.investor_flag,
-       coalesce(b.n, 0) AS total_purchases, coalesce(s.n, 0) AS total_sales,
-       coalesce(b.n, 0) - coalesce(s.n, 0) AS net_properties_held
-FROM owners_b1 o
-LEFT JOIN (SELECT buyer_id AS id, count(*) AS n FROM tx_first GROUP BY buyer_id) b ON b.id = o.owner_id
-LEFT JOIN (SELECT seller_id AS id, count(*) AS n FROM tx_first GROUP BY seller_id) s ON s.id = o.owner_id""",
+       coalesce(r.bought, 0) AS total_purchases, coalesce(r.sold, 0) AS total_sales,
+       coalesce(r.bought - r.sold, 0) AS net_properties_held
+FROM owners_b1 o LEFT JOIN (
+  SELECT id, count(*) FILTER (WHERE buys) AS bought, count(*) FILTER (WHERE NOT buys) AS sold
+  FROM (SELECT buyer_id AS id, TRUE AS buys FROM tx_first UNION ALL SELECT seller_id, FALSE FROM tx_first)
+  GROUP BY id) r ON r.id = o.owner_id""",
     "owners_b1", "tx_first")
 
 
@@ -367,28 +375,67 @@ _LAYER_COUNTS = [
 ]
 
 
-def _dq_results_sql() -> str:
-    from vaultmart.operators.quality import DECLARED_TESTS
+# The 56 declared tests; "> table" is a relationship to the same column there.
+_DECLARED = """
+silver stg_transactions transaction_id not_null unique
+silver stg_transactions transaction_hk not_null unique
+silver stg_transactions property_id not_null
+silver stg_transactions sale_price not_null
+silver stg_transactions sale_date not_null
+silver stg_properties property_id not_null unique
+silver stg_properties property_hk not_null unique
+silver stg_properties suburb not_null
+silver stg_owners owner_id not_null unique
+silver stg_owners owner_hk not_null unique
+silver stg_agents agent_id not_null unique
+silver stg_agents agent_hk not_null unique
+gold hub_property property_hk not_null unique
+gold hub_property property_id not_null unique
+gold hub_owner owner_hk not_null unique
+gold hub_agent agent_hk not_null unique
+gold hub_transaction transaction_hk not_null unique
+gold lnk_transaction_property transaction_hk not_null >hub_transaction
+gold lnk_transaction_property property_hk not_null >hub_property
+gold sat_property_details property_hk not_null >hub_property
+gold sat_property_details hashdiff not_null
+gold sat_owner_details owner_hk not_null >hub_owner
+gold sat_owner_details hashdiff not_null
+gold sat_agent_details agent_hk not_null >hub_agent
+gold sat_agent_details hashdiff not_null
+gold sat_transaction_details transaction_hk not_null >hub_transaction
+gold sat_transaction_details hashdiff not_null
+mart mart_property_sales transaction_id not_null unique
+mart mart_property_sales sale_price not_null
+mart mart_property_sales suburb not_null
+mart mart_agent_performance agent_name not_null
+mart mart_agent_performance total_transactions not_null
+mart mart_suburb_trends suburb not_null
+mart mart_suburb_trends sale_month not_null
+mart mart_owner_portfolio owner_id not_null unique
+"""
 
+
+def _dq_results_sql() -> str:
     rows, names = [], set()
-    for t in DECLARED_TESTS:
-        src = _TABLE_CTE[t.table]
+    for line in _DECLARED.strip().splitlines():
+        layer, table, column, *tests = line.split()
+        src = _TABLE_CTE[table]
         names.add(src)
-        if t.kind == "not_null":
-            label, count = "not_null", f"SELECT count(*) FROM {src} WHERE {t.column} IS NULL"
-        elif t.kind == "unique":
-            label = "unique"
-            count = (f"SELECT count(*) FROM (SELECT {t.column} FROM {src} WHERE {t.column} IS NOT NULL "
-                     f"GROUP BY {t.column} HAVING count(*) > 1)")
-        else:
-            parent = _TABLE_CTE[t.to_table]
-            names.add(parent)
-            label = f"relationships:{t.to_table}.{t.to_field}"
-            count = (f"SELECT count(*) FROM {src} c WHERE c.{t.column} IS NOT NULL AND NOT EXISTS "
-                     f"(SELECT 1 FROM {parent} p WHERE p.{t.to_field} = c.{t.column})")
-        rows.append(f"SELECT '{t.layer}' AS layer, '{t.table}' AS table_name, "
-                    f"'{t.column}' AS column_name, '{label}' AS test, "
-                    f"CAST(({count}) AS BIGINT) AS violations")
+        for test in tests:
+            label = test
+            if test == "not_null":
+                count = f"SELECT count(*) FROM {src} WHERE {column} IS NULL"
+            elif test == "unique":
+                count = (f"SELECT count(*) FROM (SELECT {column} FROM {src} WHERE {column} IS NOT NULL "
+                         f"GROUP BY {column} HAVING count(*) > 1)")
+            else:
+                parent = _TABLE_CTE[test[1:]]
+                names.add(parent)
+                label = f"relationships:{test[1:]}.{column}"
+                count = (f"SELECT count(*) FROM {src} c WHERE c.{column} IS NOT NULL AND NOT EXISTS "
+                         f"(SELECT 1 FROM {parent} p WHERE p.{column} = c.{column})")
+            rows.append(f"SELECT '{layer}' AS layer, '{table}' AS table_name, '{column}' AS column_name, "
+                        f"'{label}' AS test, CAST(({count}) AS BIGINT) AS violations")
     return build("\nUNION ALL\n".join(rows), *sorted(names))
 
 
