@@ -153,3 +153,31 @@ def test_lines_with_many_words_put_in_are_still_found(model):
     words = NOTICES["MIT"].split()
     line = " ".join(w + (" zz" if k % 2 else "") for k, w in enumerate(words))
     assert model.classify([line])[0] is None or [f["family"] for f in model.find(line)] == ["MIT"]
+
+
+HEADER = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public "
+          "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+
+
+def test_near_families_are_told_apart(model):
+    families = lambda text: [f["family"] for f in model.find(text)]
+    assert families(HEADER.format("")) == ["GPL-3.0"]
+    assert families(HEADER.format("Affero ")) == ["AGPL-3.0"]
+    assert families(HEADER.format("Lesser ").replace("program", "library")) == ["LGPL-3.0"]
+    assert families("Distributed under the Boost Software License, Version 1.0.") == ["BSL-1.0"]
+    assert families("Released under the ISC License.") == ["ISC"]
+    for name, family in (("MIT", "MIT"), ("AGPL-3.0-only", "AGPL-3.0"), ("GPL-2.0-only", "GPL-2.0"), ("ISC", "ISC"), ("BSL-1.0", "BSL-1.0")):
+        assert families(f"// SPDX-License-Identifier: {name}") == [family]
+    assert families("// SPDX-License-Identifier: Sleepycat") == []
+    assert families("\n".join(textwrap.wrap(HEADER.format("Affero "), 60))) == ["AGPL-3.0"]
+
+
+def test_the_classifier_decides(model, monkeypatch):
+    """Paragraphs that agree with a template, and that only the model rejects."""
+    near = ["This work is licensed under the GNU Free Documentation License, version 3.",
+            "This work is licensed under the GNU Free Documentation License, version 3, by its authors."]
+    agreeing = [x for x in near if model.matches(ls.normal_words(x))]
+    assert agreeing and not any(model.find(x) for x in near)
+    sure = lambda x: np.eye(len(model.families))[np.full(len(x), model.families.index("GPL-3.0"))]
+    monkeypatch.setattr(model, "probabilities", sure)
+    assert any(model.find(x) for x in agreeing)  # without its judgement they would be found

@@ -4,9 +4,10 @@ Paragraphs are runs of lines with a word; lines without one (blank, or comment s
 paragraph every word of a template begins a window of the template's length and a quarter, SLACK words more at
 least, across line ends and inside long lines alike; an exact bound on the words it shares with the template
 comes before the comparison.  A window ends with its last agreeing word.  Features are the hashed word 1- and 2-grams that occur in
-the templates (a sparse vector: other n-grams only add to the count of unknown ones).  A softmax regression
+the templates and the near notices (a sparse vector: other n-grams only add to the count of unknown ones).  A softmax regression
 over the licence families and a class `unknown` is trained on the driver, on generated variants of the
-templates (words dropped, case and stops changed, text around them) and, as unknown, on at most
+templates (words dropped, case and stops changed, text around them) and, as unknown, on like variants of notices of
+other licences that are near to a template (they agree with it often enough, so only the model rejects them) and at most
 SAMPLE_PARAGRAPHS paragraphs of the corpus, taken by the smallest hash so that the choice does not depend on
 partitioning or on the corpus size.  This is the operator's one bounded sample.
 
@@ -66,9 +67,47 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright under CC0 1.0."),
     ("proprietary", "Copyright. All rights reserved."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+                 "License, or any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "Released under the ISC License."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0."),
+    *((family, f"SPDX-License-Identifier: {name}") for family, name in [
+        ("Apache-2.0", "Apache-2.0"), ("MIT", "MIT"), ("GPL-3.0", "GPL-3.0-only"), ("GPL-3.0", "GPL-3.0-or-later"),
+        ("GPL-2.0", "GPL-2.0-only"), ("GPL-2.0", "GPL-2.0-or-later"), ("AGPL-3.0", "AGPL-3.0-only"), ("AGPL-3.0", "AGPL-3.0-or-later"),
+        ("LGPL-3.0", "LGPL-3.0-only"), ("LGPL-2.1", "LGPL-2.1-or-later"), ("BSD-3-Clause", "BSD-3-Clause"), ("MPL-2.0", "MPL-2.0"),
+        ("ISC", "ISC"), ("BSL-1.0", "BSL-1.0"), ("EPL-2.0", "EPL-2.0"), ("CC0-1.0", "CC0-1.0"), ("CC-BY-4.0", "CC-BY-4.0")]),
+]
+# Notices of licences outside the families, near to their templates; taught as unknown.
+NEAR = [
+    "This work is licensed under the GNU Free Documentation License, version 1.3.",
+    "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation "
+    "License, Version 1.3 or any later version published by the Free Software Foundation.",
+    "Licensed under the Academic Free License, Version 3.0.",
+    "Licensed under the Open Software License, Version 3.0.",
+    "Licensed under the Educational Community License, Version 2.0.",
+    "Licensed under the European Union Public Licence, Version 1.2.",
+    "Released under the Artistic License 2.0.",
+    "Released under the zlib License.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "This software is provided under the terms of a commercial License, version 3, and may not be redistributed.",
+    "Permission is hereby denied to any person obtaining a copy of this software to deal in the Software without a contract.",
 ]
 # Words that tell members of a family group apart; a template's own must all be in the paragraph.
-VARIANT = re.compile(r"\d+(?:\.\d+)?|by(?:-[a-z]+)*|lesser|mit|apache|bsd|mozilla|noncommercial|attribution-noncommercial")
+VARIANT = re.compile(r"\d+(?:\.\d+)?|by(?:-[a-z]+)*|lesser|affero|mit|isc|boost|eclipse|apache|bsd|mozilla|"
+                     r"noncommercial|attribution-noncommercial|(?:a|l)?gpl-.*|bsd-.*|mpl-.*|bsl-.*|epl-.*|cc0-.*|cc-by-.*|apache-.*")
 UNKNOWN = "unknown"
 SAMPLE_PARAGRAPHS, SAMPLE_CHARS = 4000, 1000
 CALIBRATION = 100
@@ -131,7 +170,8 @@ class Model:
     def __init__(self, templates=TEMPLATES) -> None:
         self.templates = [(family, normal_words(text)) for family, text in templates]
         self.families = [*dict.fromkeys(f for f, _ in templates), UNKNOWN]
-        grams = dict.fromkeys(g for _, words in self.templates for g in ngrams(words))
+        taught = [words for _, words in self.templates] + [normal_words(text) for text in NEAR]
+        grams = dict.fromkeys(g for words in taught for g in ngrams(words))
         self.features = {g: k for k, g in enumerate(grams)}
         self.weights = np.zeros((len(self.features) + 2, len(self.families)))  # + unknown share, bias
         self.temperature, self.threshold = 1.0, 0.5
@@ -173,6 +213,12 @@ class Model:
                 texts.append(around[:cut] + stay + around[cut:])
                 labels.append(self.families.index(family))
         # unknown paragraphs: the corpus's own, and near misses that share common words of the templates
+        for words in map(normal_words, NEAR):
+            for k in range(40):
+                stay = [w for w in words if k < 4 or rng.random() > 0.08]
+                around = [fill[i] for i in rng.integers(0, len(fill), rng.integers(0, 9) if k % 2 else 0)]
+                texts.append(stay + around)
+                labels.append(len(self.families) - 1)
         grams = [w for _, words in self.templates for w in words]
         for p in others:
             if not self.matches(p) and not self.piece(p):
