@@ -26,7 +26,7 @@ class Published:
         self.pointer = f"`{prefix}run`.published"
         self._made: dict[str, str] = {}
         for db in ["run", *dict.fromkeys(layer for layer, _, _ in tables)]:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{db}`")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{db}` LOCATION '{store.root}/catalog/{db}'")
 
     def shown(self) -> tuple[int, int]:
         """(batch, batch of the marts) that the run last showed; zeros before any."""
