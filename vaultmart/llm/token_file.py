@@ -38,7 +38,7 @@ from vaultmart.llm.common import RecentCache, new_run_dir, small_batches
 MAGIC, VERSION, CHUNK_BITS = 0x31434144, 1, 8
 RANK_BITS = 512
 SHARD_IDS = 1 << 18      # a shard is closed at the first document end past this many ids
-CACHE_ENTRIES = 200_000  # words cached per Python worker and generation
+CACHE_ENTRIES = 350_000  # words cached per Python worker and generation
 GROUP_BYTES = 1 << 20
 STOPS = ".,;:!?"
 TAIL = 4
@@ -167,7 +167,8 @@ class WordEncoder:
             elif not core.isascii():
                 foreign.append((s, core))
             else:
-                known[s] = _packed([t.id for t in merge(core.lower())]) + tails[s[len(core):]]
+                ids = _packed([t.id for t in merge(core.lower())])
+                known[s] = ids if core is s else ids + tails[s[len(core):]]
         if foreign:
             normal = self.normalizer.normalize_str(" ".join([core for _, core in foreign])).split(" ")
             for (s, core), n in zip(foreign, normal, strict=True):
@@ -195,8 +196,11 @@ class WordEncoder:
         return [ids[a:b].tobytes() + end for a, b in zip(cuts, cuts[1:])]
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _groups(texts: pa.Array) -> list[tuple[int, int]]:
