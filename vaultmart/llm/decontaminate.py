@@ -29,7 +29,8 @@ frequencies are those of the whole benchmark in every part, so scores and window
 Defined results: null, empty or wordless texts have no leaks; items of fewer than MIN_ITEM_WORDS words
 (null included) take no part, as they have no five-word shingle; equal items are all reported; repeated rows each have
 their own; an empty table on either side gives no leaks.  One row per text and item: its best window
-(the first of equals), which begins at passage_start.
+(the first of equals), which begins at passage_start.  Other columns are ignored (they pass through
+`drop_contaminated`), whatever their names.
 """
 
 from __future__ import annotations

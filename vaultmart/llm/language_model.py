@@ -24,7 +24,7 @@ their counts in a join on the word.  The cutoff comes from the number of words p
 
 Defined results: a null or empty text is one end; null ids count as the empty string (crc32 0, training);
 repeated rows count and are scored each; without training documents all counts are zero; an empty table gives an
-empty result.
+empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

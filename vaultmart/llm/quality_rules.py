@@ -2,7 +2,7 @@
 
 Every document gets counts (words, symbols, repeated lines, repeated word windows).  Four ratios
 of them are summarised per language and source in mergeable quantile sketches: a value is rounded
-up to its cell (5 significant bits: relative error under 1/32) and a sketch is the count per cell.
+up to its cell (CELL_BITS = 6 significant bits: relative error under 1/32) and a sketch is the count per cell.
 Cells of two sketches add up, so map tasks combine before the shuffle, a hot source is a few
 hundred rows, and the sketch of a language, or of everything, is the sum of its sources' cells.
 

@@ -18,7 +18,7 @@ numbers its own rows on top.
 
 Defined results: a null text counts as an empty one (size 1, crc32 0, same group); groups of null ids
 come first; repeated rows count and get a slot each; a group larger than an even share makes its shard larger;
-an empty table gives an empty result.
+an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

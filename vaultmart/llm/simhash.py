@@ -21,7 +21,8 @@ over classes; a component's id is its smallest document id.
 
 Defined results: a null or wordless text has fingerprint zero and is linked like any other; texts of fewer
 words than a shingle hash their whole word sequence; repeated rows share a class; null ids get the
-component of their class (null if no member has an id); an empty table gives an empty result.
+component of their class (null if no member has an id); an empty table gives an empty result; other columns
+pass through `drop_near_duplicates` and are ignored elsewhere, whatever their names.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ to will do, and a rerun task replaces its own output (Spark's commit protocol),
 Documents are ordered by id (nulls first), equal ids by the hash of their text.  `start` is the
 number of ids of all documents before: shards carry it within their range partition, and the
 partitions' totals, one row each, are summed.  Defined results: a null or empty text has the end id
-only; repeated rows are written each; an empty table gives no shards and an empty result.
+only; repeated rows are written each; an empty table gives no shards and an empty result; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
