@@ -32,7 +32,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from itertools import groupby
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,7 @@ FOLDS, HELD_OUT = 7, 2
 VOCABULARY, WORDS_PER_CLASS, TAILS = 1024, 32, 64
 HIDDEN, EMBEDDING = 16, 16
 WINDOW, LANES = 16, 256
-SCORE_STEPS = 64
+SCORE_STEPS = 256
 GROUP_TOKENS = 1 << 21
 STEP_TOKENS = 4096         # tokens behind one step of the optimiser, at least
 FREQUENT = 100_000
@@ -386,18 +386,22 @@ def symbols_of(rows: DataFrame, n_words: int, frequent: dict[bytes, int], log_no
 
     def run(batches):
         known, norms = shared.value
-        table = {w: (FIRST + k if k < n_words else tail_class(w), math.log10(c + 1)) for k, (w, c) in enumerate(known.items())}
+        place = dict(zip(known, range(len(known)))).get
+        symbol = np.array([FIRST + k if k < n_words else tail_class(w) for k, w in enumerate(known)] or [0], np.int16)
+        log = np.log10(np.array(list(known.values()) or [0]) + 1.0)
         for batch in batches:
             out = []
             for text in batch.column(2).cast(pa.binary()):
                 tokens = words(text.as_py())
-                found = list(map(table.get, tokens))
-                rare = Counter(w for w, f in zip(tokens, found) if f is None)
-                pairs = [f for f in found if f is not None]
-                symbols = np.fromiter((tail_class(w) if f is None else f[0] for w, f in zip(tokens, found)), np.int16, len(found))
-                tails = np.bincount(symbols[symbols < TAILS], minlength=TAILS)
-                out.append((len(tokens) + 1, len(pairs), sum(f[1] for f in pairs), sum(f[1] for f in pairs if f[0] < TAILS) - float(tails @ norms),
-                            np.append(symbols, np.int16(END)).astype("<i2").tobytes(), list(rare.items())))
+                at = np.fromiter(map(place, tokens, repeat(-1)), np.int32, len(tokens))
+                new = np.flatnonzero(at < 0)
+                rare = [tokens[k] for k in new.tolist()]
+                symbols, logs = symbol[at], log[at]
+                symbols[new], logs[new] = [tail_class(w) for w in rare], 0
+                in_tail = symbols < TAILS
+                tails = np.bincount(symbols[in_tail], minlength=TAILS)
+                out.append((len(tokens) + 1, len(tokens) - len(rare), float(logs.sum()), float(logs[in_tail].sum() - tails @ norms),
+                            np.append(symbols, np.int16(END)).astype("<i2").tobytes(), list(Counter(rare).items())))
             flat = [x for r in out for x in r[5]]
             offsets = np.concatenate([[0], np.cumsum([len(r[5]) for r in out])])
             listed = pa.StructArray.from_arrays([pa.array([w for w, _ in flat], pa.binary()), pa.array([k for _, k in flat], pa.int64())],
