@@ -265,3 +265,21 @@ def test_reload_is_one_transaction(spark):
     assert names == ["RELOADED"]
     jdbc.reload_table(old.where("id < 3"), url, "RELOADED")
     assert jdbc.read_table(spark, url, "RELOADED").count() == 3
+
+
+def test_rows_bound_what_one_task_writes(spark):
+    """Hash keys make a staged row many times its (compressible) source's: bytes of the feed alone leave one bucket."""
+    p = Pipeline(spark, SF_SMALL, bucket_rows=200, prefix=None)
+    fixed = Pipeline(spark, SF_SMALL, buckets=2, prefix=None)
+    for run in (p, fixed):
+        run.run_batch(1, with_marts=False)
+        run.run_batch(2, with_marts=False)
+    rows_of = p.staged("stg_transactions", 2).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert rows_of <= 2 * 200 and p.store.buckets("transaction_hk") >= 8
+    assert all(state(p, b) == state(fixed, b) for b in (1, 2))
+
+
+def test_bucket_counts_at_scale(spark):
+    store = Pipeline(spark, SF_SMALL, prefix=None).store
+    assert store.fit("transaction_hk", 1.5e9, 54_000_000) >= 100  # 360 times sf0.1: about 250 bytes a row are shuffled
+    assert store.fit("property_hk", 100 << 40, 1e12) == 1 << 16  # Spark takes 100,000 at most
