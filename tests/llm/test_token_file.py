@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -69,3 +70,14 @@ def test_many_shards_per_partition(spark):
     assert spark.read.parquet(path).count() > 50
     starts = [r.start for r in tf.read_token_file(spark, path).orderBy("doc_id").collect()]
     assert starts == [21 * k for k in range(400)]
+
+
+def test_stretches_that_differ_in_case_and_stops_share_a_word():
+    path = MODEL
+    encoder, library = tf.WordEncoder(open(path, encoding="utf-8").read()), Tokenizer.from_file(path)
+    assert encoder.encode_texts(pa.array(["Straße straße, STRAßE. straße?! foo Foo; FOO"]), 1)
+    assert set(encoder.stretches.young) == {"straße", "foo"}
+    odd = ["Été été. ÉTÉ, été. é.", "İstanbul istanbul. ªº µm, µm ×a a÷, Ωmega Ωmega.", "don't Don't. a1 A1, .a a. ... ,", "ÿ Ÿ, ﬁn K, Å. ǅ", None, "",
+           "x̧, Ç ç. Ȩ́! a\tb.\r\nC, d.", "क़. क़", "ß ẞ. ﬀ,"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode_texts(pa.array(odd), 1)]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids + [1] for t in odd]
