@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vaultmart.llm import language_model as lm
@@ -135,3 +136,14 @@ def test_tail_words_share_a_proper_probability():
     """Of one class: its words by count plus one, and one for all unseen."""
     assert lm.tail_class(b"nation") == lm.tail_class(b"on") == zlib.crc32(b"on") % lm.TAILS
     assert 0 <= lm.tail_class(b"x") < lm.TAILS
+
+
+def test_arrow_numbers_the_words_that_python_splits():
+    """Only distinct words become Python objects; spaces at the ends, odd spaces and other scripts are cut as before."""
+    texts = [None, "", " ", "The the\tTHE \x0bthe\x0c\r\n end", "  É é x y ÀB ", "one", "\x1cone\x1f one\x85", "你好 World 你好"]
+    distinct, at, ends = lm.numbered(pa.array(["cut away", *texts, "cut away"]).slice(1, len(texts)))
+    names = distinct.to_pylist()
+    assert len(set(names)) == len(names) and set(at.tolist()) == set(range(len(names)))
+    assert [[names[k] for k in at[a:b]] for a, b in zip(ends, ends[1:])] == [(t or "").encode().lower().split() for t in texts]
+    none = lm.numbered(pa.array(["", None], pa.string()))
+    assert len(none[0]) == len(none[1]) == 0 and none[2].tolist() == [0, 0, 0]

@@ -36,6 +36,7 @@ from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +46,12 @@ FOLDS, HELD_OUT = 7, 2
 VOCABULARY, WORDS_PER_CLASS, TAILS = 1024, 32, 64
 HIDDEN, EMBEDDING = 16, 16
 WINDOW, LANES = 16, 256
-SCORE_STEPS = 256
+SCORE_STEPS = 32   # a window of scoring: its logits stay in the cache
 GROUP_TOKENS = 1 << 21
 STEP_TOKENS = 4096         # tokens behind one step of the optimiser, at least
 FREQUENT = 100_000
 RATE = 0.02
+COUNT_BYTES = 4 << 20   # of text, or one batch, whose words are numbered together
 FLUSH_WORDS = 200_000   # distinct words a counting task holds before it passes them on
 MODEL_BLOCK = 2048      # parameters in one row of the average
 ROUNDS, PART_TOKENS, MOST_PARTS = 3, 1 << 20, 4096
@@ -93,8 +95,30 @@ def start(counts: list[int], tails: list[int], ends: int, seed: int = 5) -> np.n
     return flat
 
 
-def _sigmoid(x):
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _sigmoid(x, out):
+    np.tanh(np.multiply(x, 0.5, out=out), out=out)
+    out *= 0.5
+    out += 0.5
+
+
+def _by_value(x: np.ndarray) -> np.ndarray:
+    """The stable order of symbols or classes; 16 bits are sorted by radix."""
+    return np.argsort(x.astype(np.int16), kind="stable")
+
+
+def _log_softmax(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the log probability of column `at`, and the sum of the exponentials that then stand in `logits`."""
+    logits -= logits.max(1, keepdims=True)
+    picked = logits[np.arange(len(at)), at]
+    total = np.exp(logits, out=logits).sum(1)
+    return picked - np.log(total), total
+
+
+def _slope(e: np.ndarray, at: np.ndarray, weights: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Gradient of the weighted loss by the logits, in place of their exponentials."""
+    e *= (weights / total)[:, None]
+    e[np.arange(len(at)), at] -= weights
+    return e
 
 
 class Network:
@@ -107,56 +131,58 @@ class Network:
     def forward(self, symbols: np.ndarray, keep: np.ndarray, state: np.ndarray):
         """States after each step of a window [steps, lanes], with what the backward pass needs."""
         p, h, n = self.p, HIDDEN, len(symbols)
-        x = (p["embedding"] @ p["input"] + p["gates"])[symbols]
+        x = np.take(p["embedding"] @ p["input"] + p["gates"], symbols, axis=0)
         before, hidden = np.empty((2, *symbols.shape, h), DTYPE)
         z_r, cand, cand_h = np.empty((*symbols.shape, 2 * h), DTYPE), *np.empty((2, *symbols.shape, h), DTYPE)
+        a, b = np.empty((symbols.shape[1], 3 * h), DTYPE), np.empty((symbols.shape[1], 2 * h), DTYPE)
         for t in range(n):
             state = np.multiply(state, keep[t, :, None], out=before[t])
-            a = state @ p["recurrent"]
-            z_r[t] = _sigmoid(x[t, :, :2 * h] + a[:, :2 * h])
+            np.matmul(state, p["recurrent"], out=a)
+            _sigmoid(np.add(x[t, :, :2 * h], a[:, :2 * h], out=b), z_r[t])
             cand_h[t] = a[:, 2 * h:]
-            cand[t] = np.tanh(x[t, :, 2 * h:] + z_r[t, :, h:] * cand_h[t])
-            state = np.add(cand[t], z_r[t, :, :h] * (state - cand[t]), out=hidden[t])
+            c = np.multiply(z_r[t, :, h:], cand_h[t], out=cand[t])
+            np.tanh(np.add(x[t, :, 2 * h:], c, out=c), out=c)
+            new = np.subtract(state, c, out=hidden[t])
+            new *= z_r[t, :, :h]
+            state = np.add(c, new, out=new)
         return hidden, (before, z_r, cand, cand_h)
 
     def output(self, hidden: np.ndarray, targets: np.ndarray, weights: np.ndarray | None = None):
         """Natural log probability of each target given its state; with `weights` (the loss is minus their
         weighted sum) also the gradients: (log p, d hidden, named gradients)."""
         p = self.p
-        rows = np.arange(len(targets))
         word = targets - FIRST
         cls = np.where(word < 0, targets, FIRST + word // WORDS_PER_CLASS)
-        logits = hidden @ p["class_w"] + p["class_b"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
-        log_p = logits[rows, cls] - np.log(total)
+        logits = hidden @ p["class_w"]
+        logits += p["class_b"]
+        log_p, total = _log_softmax(logits, cls)
         grads, d_hidden = {}, None
         if weights is not None:
-            d = e * (weights / total)[:, None]
-            d[rows, cls] -= weights
+            d = _slope(logits, cls, weights, total)
             grads["class_w"], grads["class_b"] = hidden.T @ d, d.sum(0)
             d_hidden = d @ p["class_w"].T
             grads["word_w"], grads["word_b"] = np.zeros_like(p["word_w"]), np.zeros_like(p["word_b"])
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(FIRST, len(p["class_b"]) + 1))
-        for c in range(len(edges) - 1):
-            at = order[edges[c]:edges[c + 1]]
-            if not len(at):
-                continue
-            h, inner = hidden[at], word[at] - c * WORDS_PER_CLASS
-            logits = h @ p["word_w"][c] + p["word_b"][c]
-            logits -= logits.max(1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(1)
-            k = np.arange(len(at))
-            log_p[at] += logits[k, inner] - np.log(total)
-            if weights is not None:
-                w = weights[at]
-                d = e * (w / total)[:, None]
-                d[k, inner] -= w
-                grads["word_w"][c], grads["word_b"][c] = h.T @ d, d.sum(0)
-                d_hidden[at] += d @ p["word_w"][c].T
+        # words in order of their class: a run of rows per class, with weights of its own
+        order = _by_value(cls)
+        edges = np.searchsorted(cls[order], np.arange(FIRST, len(p["class_b"]) + 1)).tolist()
+        runs = [(c, a - edges[0], b - edges[0]) for c, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+        if not runs:
+            return log_p, d_hidden, grads
+        at = order[edges[0]:edges[-1]]
+        h, inner = np.take(hidden, at, axis=0), word[at] % WORDS_PER_CLASS
+        logits = np.empty((len(at), WORDS_PER_CLASS), DTYPE)
+        for c, a, b in runs:
+            logits[a:b] = h[a:b] @ p["word_w"][c]
+            logits[a:b] += p["word_b"][c]
+        log_q, total = _log_softmax(logits, inner)
+        log_p[at] += log_q
+        if weights is not None:
+            d = _slope(logits, inner, weights[at], total)
+            back = np.empty_like(h)
+            for c, a, b in runs:
+                grads["word_w"][c], grads["word_b"][c] = h[a:b].T @ d[a:b], d[a:b].sum(0)
+                back[a:b] = d[a:b] @ p["word_w"][c].T
+            d_hidden[at] += back
         return log_p, d_hidden, grads
 
     def backward(self, symbols: np.ndarray, keep: np.ndarray, saved, d_hidden: np.ndarray) -> dict[str, np.ndarray]:
@@ -167,21 +193,24 @@ class Network:
         d_a = np.empty_like(d_x)
         flow = np.zeros_like(before[0])
         back = np.ascontiguousarray(p["recurrent"].T)
-        slope = z_r * (1 - z_r)
+        rest = 1 - z_r
+        slope, moved, bent = z_r * rest, before - cand, 1 - cand * cand
         for t in reversed(range(len(symbols))):
             flow = flow + d_hidden[t]
-            z, r = z_r[t, :, :h], z_r[t, :, h:]
-            d_c = flow * (1 - z) * (1 - cand[t] * cand[t])
-            d_x[t, :, :h] = flow * (before[t] - cand[t]) * slope[t, :, :h]
-            d_x[t, :, h:2 * h] = d_c * cand_h[t] * slope[t, :, h:]
-            d_x[t, :, 2 * h:] = d_c
+            d_c = np.multiply(flow, rest[t, :, :h], out=d_x[t, :, 2 * h:])
+            d_c *= bent[t]
+            np.multiply(flow, moved[t], out=d_x[t, :, :h])
+            np.multiply(d_c, cand_h[t], out=d_x[t, :, h:2 * h])
+            d_x[t, :, :2 * h] *= slope[t]
             d_a[t, :, :2 * h] = d_x[t, :, :2 * h]
-            d_a[t, :, 2 * h:] = d_c * r
-            flow = (flow * z + d_a[t] @ back) * keep[t, :, None]
+            np.multiply(d_c, z_r[t, :, h:], out=d_a[t, :, 2 * h:])
+            flow *= z_r[t, :, :h]
+            flow += d_a[t] @ back
+            flow *= keep[t, :, None]
         flat_x, flat_s = d_x.reshape(-1, 3 * h), symbols.reshape(-1)
-        order = np.argsort(flat_s, kind="stable")
+        order = _by_value(flat_s)
         firsts = np.flatnonzero(np.diff(flat_s[order], prepend=-1))
-        per_symbol = np.add.reduceat(flat_x[order], firsts)
+        per_symbol = np.add.reduceat(np.take(flat_x, order, axis=0), firsts)
         seen = flat_s[order][firsts]
         d_embedding = np.zeros_like(p["embedding"])
         d_embedding[seen] = per_symbol @ p["input"].T
@@ -277,8 +306,19 @@ def log10_scores(network: Network, docs: list[np.ndarray]) -> np.ndarray:
     return out[1:] / math.log(10)
 
 
-def words(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []  # on bytes: A-Z and ASCII white space only
+def numbered(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct lower-cased words of `texts` (binary), the number of every token's word, and where each text's tokens
+    end, after a zero.  Arrow's ASCII functions know A-Z and ASCII white space only."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded, ends = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+    distinct, at = coded.dictionary, coded.indices.to_numpy()
+    empty = pc.index(distinct, "").as_py()  # stands before or after white space at a text's ends
+    if empty >= 0:
+        live = at != empty
+        ends = np.concatenate([[0], np.cumsum(live)])[ends]
+        at = at[live] - (at[live] > empty)
+        distinct = pa.concat_arrays([distinct[:empty], distinct[empty + 1:]])
+    return distinct.cast(pa.binary()), at, ends
 
 
 def is_training(id_col):
@@ -289,12 +329,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """Written table (word binary, c): counts over `docs` (text), added up in the tasks, then by word."""
     def count(batches):
         found: Counter = Counter()
+        held, size = [], 0
+
+        def add():
+            distinct, at, _ = numbered(pa.concat_arrays(held))
+            found.update(dict(zip(distinct.to_pylist(), np.bincount(at, minlength=len(distinct)).tolist())))
         for batch in batches:
-            for t in batch.column(0).cast(pa.binary()):
-                found.update(words(t.as_py()))
-                if len(found) > FLUSH_WORDS:
-                    yield _counts(found)
-                    found = Counter()
+            held.append(batch.column(0))
+            size += held[-1].nbytes
+            if size >= COUNT_BYTES:
+                add()
+                held, size = [], 0
+            if len(found) > FLUSH_WORDS:
+                yield _counts(found)
+                found = Counter()
+        if held:
+            add()
         if found:
             yield _counts(found)
 
@@ -390,25 +440,31 @@ def symbols_of(rows: DataFrame, n_words: int, frequent: dict[bytes, int], log_no
         symbol = np.array([FIRST + k if k < n_words else tail_class(w) for k, w in enumerate(known)] or [0], np.int16)
         log = np.log10(np.array(list(known.values()) or [0]) + 1.0)
         for batch in batches:
-            out = []
-            for text in batch.column(2).cast(pa.binary()):
-                tokens = words(text.as_py())
-                at = np.fromiter(map(place, tokens, repeat(-1)), np.int32, len(tokens))
-                new = np.flatnonzero(at < 0)
-                rare = [tokens[k] for k in new.tolist()]
-                symbols, logs = symbol[at], log[at]
-                symbols[new], logs[new] = [tail_class(w) for w in rare], 0
-                in_tail = symbols < TAILS
-                tails = np.bincount(symbols[in_tail], minlength=TAILS)
-                out.append((len(tokens) + 1, len(tokens) - len(rare), float(logs.sum()), float(logs[in_tail].sum() - tails @ norms),
-                            np.append(symbols, np.int16(END)).astype("<i2").tobytes(), list(Counter(rare).items())))
-            flat = [x for r in out for x in r[5]]
-            offsets = np.concatenate([[0], np.cumsum([len(r[5]) for r in out])])
-            listed = pa.StructArray.from_arrays([pa.array([w for w, _ in flat], pa.binary()), pa.array([k for _, k in flat], pa.int64())],
-                                                names=["word", "tf"])
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+            distinct, at, ends = numbered(batch.column(2))
+            names = distinct.to_pylist()
+            found = np.fromiter(map(place, names, repeat(-1)), np.int32, len(names))
+            rare = found < 0  # by word
+            by_word, log_of = symbol[found], log[found]
+            by_word[rare], log_of[rare] = [tail_class(names[k]) for k in np.flatnonzero(rare).tolist()], 0
+            symbols, logs, out = by_word[at], log_of[at], []
+            for a, b in zip(ends.tolist(), ends[1:].tolist()):
+                own, weight = symbols[a:b], logs[a:b]
+                in_tail = own < TAILS
+                tails = np.bincount(own[in_tail], minlength=TAILS)
+                out.append((float(weight.sum()), float(weight[in_tail].sum() - tails @ norms),
+                            np.append(own, np.int16(END)).astype("<i2").tobytes()))
+            sizes = np.diff(ends)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            is_rare = rare[at]
+            # of every text each rare word once, with its number
+            pairs, tf = np.unique(owner[is_rare] * max(1, len(names)) + at[is_rare], return_counts=True)
+            listed = pa.StructArray.from_arrays([distinct.take(pa.array(pairs % max(1, len(names)))), pa.array(tf, pa.int64())], names=["word", "tf"])
+            offsets = np.searchsorted(pairs, np.arange(len(sizes) + 1) * max(1, len(names)))
+            n_rare = np.bincount(owner[is_rare], minlength=len(sizes))
+            types = (pa.float64(), pa.float64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array([r[k] for r in out], t) for k, t in enumerate(types)),
+                [batch.column(0), batch.column(1), pa.array(sizes + 1, pa.int64()), pa.array(sizes - n_rare, pa.int64()),
+                 *(pa.array([r[k] for r in out], t) for k, t in enumerate(types)),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), listed)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "tail_logs", "symbols", "rare"])
     schema = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, tail_logs double, "
