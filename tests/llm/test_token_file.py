@@ -1,6 +1,9 @@
 """The token file against the tokenizers library, and its codes as an exact round trip."""
 
+import os
 import struct
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -81,3 +84,21 @@ def test_stretches_that_differ_in_case_and_stops_share_a_word():
            "x̧, Ç ç. Ȩ́! a\tb.\r\nC, d.", "क़. क़", "ß ẞ. ﬀ,"]
     got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode_texts(pa.array(odd), 1)]
     assert got == [library.encode(t or "", add_special_tokens=False).ids + [1] for t in odd]
+
+
+def test_a_worker_has_one_thread_and_gives_memory_back():
+    code = """
+import types, pyarrow as pa
+from vaultmart.llm import token_file as tf
+threads = lambda: int(open("/proc/self/status").read().split("Threads:")[1].split()[0])
+before = threads()
+encoder = tf.worker_encoder(1, types.SimpleNamespace(value=open({model!r}, encoding="utf-8").read()))
+assert tf.worker_encoder(1, None) is encoder
+for k in range(4):
+    encoder.encode_texts(pa.array([f"a{{k}}.{{i}} x{{i}}y 你{{i}}" for i in range(5000)]), 1)
+print(threads() - before, pa.default_memory_pool().backend_name)
+""".format(model=MODEL)
+    env = {k: v for k, v in os.environ.items() if k not in ("TOKENIZERS_PARALLELISM", "ARROW_DEFAULT_MEMORY_POOL")}
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], env=env | {"PYTHONPATH": root}, capture_output=True, text=True, check=True).stdout
+    assert out.split() == ["0", "system"]

@@ -25,6 +25,7 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 import json
+import os
 import struct
 import zlib
 
@@ -242,6 +243,16 @@ def _byte_alphabet() -> dict[int, int]:
 
 _WORKER: dict = {}
 
+
+def worker_encoder(key: int, model) -> WordEncoder:
+    """The Python worker's encoder of the broadcast `model`.  A worker has one core and stays between tasks: the library starts
+    no threads, whose heaps would stay too, and Arrow's arrays come from the system's allocator, which gives memory back."""
+    if key not in _WORKER:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        pa.set_memory_pool(pa.system_memory_pool())
+        _WORKER[key] = WordEncoder(model.value)
+    return _WORKER[key]
+
 SHARD_SCHEMA = "part int, local_start long, n_ids long, doc_ids array<bigint>, payload binary"
 
 
@@ -258,9 +269,7 @@ def write_token_file(docs: DataFrame, model_path: str, end_id: int, path: str, t
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder = _WORKER.get(key)
-        if encoder is None:
-            encoder = _WORKER[key] = WordEncoder(model.value)
+        encoder = worker_encoder(key, model)
         names, ids, n, start = [], [], 0, 0
 
         def close():
@@ -272,6 +281,7 @@ def write_token_file(docs: DataFrame, model_path: str, end_id: int, path: str, t
                  pa.array([names], pa.list_(pa.int64())), pa.array([payload], pa.binary())],
                 names=["part", "local_start", "n_ids", "doc_ids", "payload"])
             names, ids, n, start = [], [], 0, start + n
+            pa.default_memory_pool().release_unused()
             return row
 
         for batch in batches:
