@@ -147,3 +147,64 @@ def test_arrow_numbers_the_words_that_python_splits():
     assert [[names[k] for k in at[a:b]] for a, b in zip(ends, ends[1:])] == [(t or "").encode().lower().split() for t in texts]
     none = lm.numbered(pa.array(["", None], pa.string()))
     assert len(none[0]) == len(none[1]) == 0 and none[2].tolist() == [0, 0, 0]
+
+
+def test_scoring_softmax_equals_the_training_one():
+    """By column and by row, to the last bit; scoring's log probabilities are those training sees."""
+    rng = np.random.default_rng(6)
+    for classes in (32, 65, 97):
+        logits, at = rng.normal(0, 9, (300, classes)).astype(np.float32), rng.integers(0, classes, 300)
+        by_column = lm._log_softmax_by_column(np.ascontiguousarray(logits.T), at)
+        assert (by_column == lm._log_softmax(logits.copy(), at)[0]).all()
+    net = lm.Network(tiny().flat.astype(np.float32), 70)
+    hidden, targets = rng.normal(0, 1, (5000, lm.HIDDEN)).astype(np.float32), rng.integers(0, SYMBOLS, 5000)
+    learning = net.output(hidden, targets, np.ones(5000, np.float32))[0]
+    assert np.allclose(net.output(hidden, targets)[0], learning, rtol=1e-6, atol=1e-6)
+
+
+def test_states_follow_the_recurrence():
+    """Gate by gate, with lanes cleared and buffers used again, as the plain formulas say."""
+    net, rng = lm.Network(tiny().flat.astype(np.float32), 70), np.random.default_rng(7)
+    symbols, keep = rng.integers(0, SYMBOLS, (9, 6)), (rng.random((9, 6)) > 0.3).astype(np.float32)
+    begin, h = rng.normal(0, 1, (6, lm.HIDDEN)).astype(np.float32), lm.HIDDEN
+    state = begin
+    learned, scored = net.forward(symbols, keep, begin)[0], net.forward(symbols, keep, begin, learn=False)[0]
+    for t in range(9):
+        state = state * keep[t, :, None]
+        x = net.p["embedding"][symbols[t]] @ net.p["input"] + net.p["gates"]
+        a = state @ net.p["recurrent"]
+        z, r = (1 / (1 + np.exp(-(x[:, g * h:(g + 1) * h] + a[:, g * h:(g + 1) * h]))) for g in (0, 1))
+        c = np.tanh(x[:, 2 * h:] + r * a[:, 2 * h:])
+        state = c + z * (state - c)
+        assert np.allclose(learned[t], state, atol=1e-5) and (scored[t] == learned[t]).all()
+
+
+def test_words_are_counted_and_classed_without_python_objects(spark, monkeypatch):
+    """Stretches and sums of any size give the same counts; an ending is worked out once, however many words have it."""
+    asked = []
+    monkeypatch.setattr(lm, "tail_class", lambda w: asked.append(w) or zlib.crc32(w[-2:]) % lm.TAILS)
+    words = [f"{k}{e}".encode() for k in range(3000) for e in ("on", "é", "x")] + [b"x", "é".encode()[:1]]
+    assert lm.tail_classes(pa.array(words)).tolist() == [zlib.crc32(w[-2:]) % lm.TAILS for w in words]
+    assert len(asked) == 1 + 1 + 10 + 2
+    assert len(lm.tail_classes(pa.array([], pa.binary()))) == 0
+
+    texts = [None, "", " ", *(f"the Cat w{k % 7} w{k}" for k in range(200))]
+    want = Counter(w for t in texts for w in (t or "").encode().lower().split())
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[a:a + 7], pa.string())], names=["text"]) for a in range(0, len(texts), 7)]
+    for size, rows, flush in ((1, 8192, 1), (1, 8192, 40), (4 << 20, 3, 300), (4 << 20, 8192, 1_000_000)):
+        monkeypatch.setattr(lm, "COUNT_BYTES", size)
+        monkeypatch.setattr(lm, "COUNT_ROWS", rows)
+        monkeypatch.setattr(lm, "FLUSH_WORDS", flush)
+        got = Counter()
+        for b in lm.counted(batches):
+            got.update(dict(zip(b["word"].to_pylist(), b["c"].to_pylist())))
+        assert got == want
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    assert {bytes(r.word): r.c for r in lm.word_counts(docs).collect()} == want
+    assert lm.word_counts(docs.limit(0)).count() == 0
+
+
+def test_stretches_hold_few_rows(monkeypatch):
+    monkeypatch.setattr(lm, "COUNT_ROWS", 10)
+    batches = [pa.RecordBatch.from_arrays([pa.array(["a"] * n, pa.string())], names=["text"]) for n in (0, 4, 4, 4, 0, 9, 9, 1)]
+    assert [[b.num_rows for b in held] for held in lm._stretches(batches, lambda b: b.column(0))] == [[4, 4, 4], [9, 9], [1]]

@@ -31,8 +31,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
-from itertools import groupby, repeat
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +45,13 @@ FOLDS, HELD_OUT = 7, 2
 VOCABULARY, WORDS_PER_CLASS, TAILS = 1024, 32, 64
 HIDDEN, EMBEDDING = 16, 16
 WINDOW, LANES = 16, 256
-SCORE_STEPS = 32   # a window of scoring: its logits stay in the cache
+SCORE_STEPS, SOFTMAX_ROWS = 32, 2048  # a window of scoring; states whose logits are worked out at once, in the cache
 GROUP_TOKENS = 1 << 21
 STEP_TOKENS = 4096         # tokens behind one step of the optimiser, at least
 FREQUENT = 100_000
 RATE = 0.02
-COUNT_BYTES = 4 << 20   # of text, or one batch, whose words are numbered together
-FLUSH_WORDS = 200_000   # distinct words a counting task holds before it passes them on
+COUNT_BYTES, COUNT_ROWS = 4 << 20, 8192  # of text, or one batch, whose words are numbered together
+FLUSH_WORDS = 1_000_000  # words, with repeats between stretches, a counting task holds before it adds up or passes them on
 MODEL_BLOCK = 2048      # parameters in one row of the average
 ROUNDS, PART_TOKENS, MOST_PARTS = 3, 1 << 20, 4096
 PIECE = 2048            # tokens of a document over which training carries the state
@@ -114,6 +113,18 @@ def _log_softmax(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
     return picked - np.log(total), total
 
 
+def _log_softmax_by_column(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """As `_log_softmax`, of logits [classes, rows]: every step runs along the rows; sums in numpy's order of a row."""
+    logits -= logits.max(0)
+    picked = logits[at, np.arange(len(at))]
+    e, even = np.exp(logits, out=logits), len(logits) - len(logits) % 8
+    r = e[:even].reshape(-1, 8, len(at)).sum(0)
+    total = ((r[0] + r[1]) + (r[2] + r[3])) + ((r[4] + r[5]) + (r[6] + r[7]))
+    for x in e[even:]:
+        total += x
+    return picked - np.log(total)
+
+
 def _slope(e: np.ndarray, at: np.ndarray, weights: np.ndarray, total: np.ndarray) -> np.ndarray:
     """Gradient of the weighted loss by the logits, in place of their exponentials."""
     e *= (weights / total)[:, None]
@@ -121,6 +132,18 @@ def _slope(e: np.ndarray, at: np.ndarray, weights: np.ndarray, total: np.ndarray
     return e
 
 
+def _by_gate(x: np.ndarray) -> np.ndarray:
+    """[rows, 3 * HIDDEN] as [3, rows, HIDDEN]."""
+    return np.ascontiguousarray(x.reshape(len(x), 3, HIDDEN).transpose(1, 0, 2))
+
+
+def _cleared(keep: np.ndarray) -> list[np.ndarray]:
+    """Per step the lanes whose state is cleared before it."""
+    step, lane = np.divmod(np.flatnonzero(keep.reshape(-1) == 0), keep.shape[1])
+    edges = np.searchsorted(step, np.arange(len(keep) + 1)).tolist()
+    return [lane[a:b] for a, b in zip(edges, edges[1:])]
+
+
 class Network:
     """Parameters as one flat array, with views by name."""
 
@@ -128,23 +151,35 @@ class Network:
         self.flat, self.n_words = flat, n_words
         self.p = unpack(flat, n_words)
 
-    def forward(self, symbols: np.ndarray, keep: np.ndarray, state: np.ndarray):
-        """States after each step of a window [steps, lanes], with what the backward pass needs."""
+    def forward(self, symbols: np.ndarray, keep: np.ndarray, state: np.ndarray, learn: bool = True):
+        """States after each step of a window [steps, lanes], with what the backward pass needs if it is to `learn`."""
         p, h, n = self.p, HIDDEN, len(symbols)
-        x = np.take(p["embedding"] @ p["input"] + p["gates"], symbols, axis=0)
-        before, hidden = np.empty((2, *symbols.shape, h), DTYPE)
-        z_r, cand, cand_h = np.empty((*symbols.shape, 2 * h), DTYPE), *np.empty((2, *symbols.shape, h), DTYPE)
-        a, b = np.empty((symbols.shape[1], 3 * h), DTYPE), np.empty((symbols.shape[1], 2 * h), DTYPE)
+        # gate by gate, so that the elementwise steps run over whole rows of lanes
+        table = p["embedding"] @ _by_gate(p["input"]) + p["gates"].reshape(3, 1, h)
+        recurrent = _by_gate(p["recurrent"])
+        cleared = _cleared(keep)
+        hidden, lanes, held = np.empty((*symbols.shape, h), DTYPE), symbols.shape[1], n if learn else 1
+        before, cand, cand_h = np.empty((3, held, lanes, h), DTYPE)
+        z_r = np.empty((held, 2, lanes, h), DTYPE)
+        a, x = np.empty_like(z_r[0]), np.empty_like(z_r[0])
         for t in range(n):
-            state = np.multiply(state, keep[t, :, None], out=before[t])
-            np.matmul(state, p["recurrent"], out=a)
-            _sigmoid(np.add(x[t, :, :2 * h], a[:, :2 * h], out=b), z_r[t])
-            cand_h[t] = a[:, 2 * h:]
-            c = np.multiply(z_r[t, :, h:], cand_h[t], out=cand[t])
-            np.tanh(np.add(x[t, :, 2 * h:], c, out=c), out=c)
+            k = t if learn else 0
+            before[k] = state
+            state = before[k]
+            if len(cleared[t]):
+                state[cleared[t]] = 0
+            np.matmul(state, recurrent[:2], out=a)
+            table[0].take(symbols[t], axis=0, out=x[0], mode="clip")
+            table[1].take(symbols[t], axis=0, out=x[1], mode="clip")
+            _sigmoid(np.add(x, a, out=a), z_r[k])
+            np.matmul(state, recurrent[2], out=cand_h[k])
+            c = np.multiply(z_r[k, 1], cand_h[k], out=cand[k])
+            c += table[2].take(symbols[t], axis=0, out=x[0], mode="clip")
+            np.tanh(c, out=c)
             new = np.subtract(state, c, out=hidden[t])
-            new *= z_r[t, :, :h]
-            state = np.add(c, new, out=new)
+            new *= z_r[k, 0]
+            new += c
+            state = new
         return hidden, (before, z_r, cand, cand_h)
 
     def output(self, hidden: np.ndarray, targets: np.ndarray, weights: np.ndarray | None = None):
@@ -153,11 +188,17 @@ class Network:
         p = self.p
         word = targets - FIRST
         cls = np.where(word < 0, targets, FIRST + word // WORDS_PER_CLASS)
-        logits = hidden @ p["class_w"]
-        logits += p["class_b"]
-        log_p, total = _log_softmax(logits, cls)
         grads, d_hidden = {}, None
-        if weights is not None:
+        if weights is None:
+            log_p, lanes = np.empty(len(cls), hidden.dtype), range(0, len(cls), SOFTMAX_ROWS)
+            for a, b in ((a, a + SOFTMAX_ROWS) for a in lanes):
+                logits = p["class_w"].T @ hidden[a:b].T
+                logits += p["class_b"][:, None]
+                log_p[a:b] = _log_softmax_by_column(logits, cls[a:b])
+        else:
+            logits = hidden @ p["class_w"]
+            logits += p["class_b"]
+            log_p, total = _log_softmax(logits, cls)
             d = _slope(logits, cls, weights, total)
             grads["class_w"], grads["class_b"] = hidden.T @ d, d.sum(0)
             d_hidden = d @ p["class_w"].T
@@ -170,48 +211,60 @@ class Network:
             return log_p, d_hidden, grads
         at = order[edges[0]:edges[-1]]
         h, inner = np.take(hidden, at, axis=0), word[at] % WORDS_PER_CLASS
+        if weights is None:
+            logits = np.empty((WORDS_PER_CLASS, len(at)), DTYPE)
+            for c, a, b in runs:
+                own = np.matmul(p["word_w"][c].T, h[a:b].T, out=logits[:, a:b])
+                own += p["word_b"][c][:, None]
+            log_p[at] += _log_softmax_by_column(logits, inner)
+            return log_p, d_hidden, grads
         logits = np.empty((len(at), WORDS_PER_CLASS), DTYPE)
         for c, a, b in runs:
-            logits[a:b] = h[a:b] @ p["word_w"][c]
-            logits[a:b] += p["word_b"][c]
+            own = np.matmul(h[a:b], p["word_w"][c], out=logits[a:b])
+            own += p["word_b"][c]
         log_q, total = _log_softmax(logits, inner)
         log_p[at] += log_q
-        if weights is not None:
-            d = _slope(logits, inner, weights[at], total)
-            back = np.empty_like(h)
-            for c, a, b in runs:
-                grads["word_w"][c], grads["word_b"][c] = h[a:b].T @ d[a:b], d[a:b].sum(0)
-                back[a:b] = d[a:b] @ p["word_w"][c].T
-            d_hidden[at] += back
+        d = _slope(logits, inner, weights[at], total)
+        back = np.empty_like(h)
+        for c, a, b in runs:
+            grads["word_w"][c], grads["word_b"][c] = h[a:b].T @ d[a:b], d[a:b].sum(0)
+            np.matmul(d[a:b], p["word_w"][c].T, out=back[a:b])
+        d_hidden[at] += back
         return log_p, d_hidden, grads
 
     def backward(self, symbols: np.ndarray, keep: np.ndarray, saved, d_hidden: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the recurrent part; nothing flows into the window before."""
         p, h = self.p, HIDDEN
         before, z_r, cand, cand_h = saved
-        d_x = np.empty((*symbols.shape, 3 * h), DTYPE)
-        d_a = np.empty_like(d_x)
+        cleared = _cleared(keep)
+        d_x = np.empty((3, *symbols.shape, h), DTYPE)
+        d_a = np.empty((*symbols.shape, 3 * h), DTYPE)
         flow = np.zeros_like(before[0])
         back = np.ascontiguousarray(p["recurrent"].T)
-        rest = 1 - z_r
-        slope, moved, bent = z_r * rest, before - cand, 1 - cand * cand
+        rest, moved = np.empty_like(z_r[0]), np.empty_like(flow)
         for t in reversed(range(len(symbols))):
-            flow = flow + d_hidden[t]
-            d_c = np.multiply(flow, rest[t, :, :h], out=d_x[t, :, 2 * h:])
-            d_c *= bent[t]
-            np.multiply(flow, moved[t], out=d_x[t, :, :h])
-            np.multiply(d_c, cand_h[t], out=d_x[t, :, h:2 * h])
-            d_x[t, :, :2 * h] *= slope[t]
-            d_a[t, :, :2 * h] = d_x[t, :, :2 * h]
-            np.multiply(d_c, z_r[t, :, h:], out=d_a[t, :, 2 * h:])
-            flow *= z_r[t, :, :h]
-            flow += d_a[t] @ back
-            flow *= keep[t, :, None]
-        flat_x, flat_s = d_x.reshape(-1, 3 * h), symbols.reshape(-1)
+            z, r = z_r[t]
+            flow += d_hidden[t]
+            np.subtract(1, z_r[t], out=rest)
+            d_c = np.multiply(flow, rest[0], out=d_x[2, t])
+            rest *= z_r[t]
+            np.multiply(cand[t], cand[t], out=moved)
+            d_c *= np.subtract(1, moved, out=moved)
+            d_z = np.multiply(flow, np.subtract(before[t], cand[t], out=moved), out=d_x[0, t])
+            d_z *= rest[0]
+            d_r = np.multiply(d_c, cand_h[t], out=d_x[1, t])
+            d_r *= rest[1]
+            np.concatenate([d_z, d_r, np.multiply(d_c, r, out=moved)], axis=1, out=d_a[t])
+            flow *= z
+            flow += np.matmul(d_a[t], back, out=moved)
+            if len(cleared[t]):
+                flow[cleared[t]] = 0
+        flat_s = symbols.reshape(-1)
         order = _by_value(flat_s)
-        firsts = np.flatnonzero(np.diff(flat_s[order], prepend=-1))
-        per_symbol = np.add.reduceat(np.take(flat_x, order, axis=0), firsts)
-        seen = flat_s[order][firsts]
+        in_order = flat_s[order]
+        firsts = np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]]))
+        per_symbol = np.concatenate([np.add.reduceat(x.reshape(-1, h).take(order, axis=0), firsts) for x in d_x], axis=1)
+        seen = in_order[firsts]
         d_embedding = np.zeros_like(p["embedding"])
         d_embedding[seen] = per_symbol @ p["input"].T
         return {"embedding": d_embedding, "input": p["embedding"][seen].T @ per_symbol, "gates": per_symbol.sum(0),
@@ -262,6 +315,9 @@ def windows(docs: list[np.ndarray], steps: int):
         active = int(np.searchsorted(-size, -a, "left"))  # lanes longer than a
         n = min(steps, int(size[0]) - a)
         place = first[:active] + a + np.arange(n)[:, None]
+        if a + n <= size[active - 1]:  # no lane ends within the window
+            yield inputs[place], target[place], keep[place], owner[place], active
+            continue
         live = place < (first + size)[:active]
         place = np.minimum(place, (first + size - 1)[:active])
         yield inputs[place], target[place], keep[place], np.where(live, owner[place], -1), active
@@ -299,7 +355,7 @@ def log10_scores(network: Network, docs: list[np.ndarray]) -> np.ndarray:
     out = np.zeros(len(docs) + 1)
     state = np.zeros((min(LANES, len(docs)), HIDDEN), np.float32)
     for inputs, target, keep, document, active in windows(docs, SCORE_STEPS):
-        hidden, _ = network.forward(inputs, keep, state[:active])
+        hidden, _ = network.forward(inputs, keep, state[:active], learn=False)
         state = hidden[-1]
         log_p, _, _ = network.output(hidden.reshape(-1, HIDDEN), target.reshape(-1))
         out += np.bincount(document.reshape(-1) + 1, log_p, len(out))
@@ -327,40 +383,61 @@ def is_training(id_col):
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """Written table (word binary, c): counts over `docs` (text), added up in the tasks, then by word."""
-    def count(batches):
-        found: Counter = Counter()
-        held, size = [], 0
+    parts = docs.select("text").mapInArrow(counted, "word binary, c bigint")
+    return write_table(parts.groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
 
-        def add():
-            distinct, at, _ = numbered(pa.concat_arrays(held))
-            found.update(dict(zip(distinct.to_pylist(), np.bincount(at, minlength=len(distinct)).tolist())))
-        for batch in batches:
-            held.append(batch.column(0))
-            size += held[-1].nbytes
-            if size >= COUNT_BYTES:
-                add()
-                held, size = [], 0
-            if len(found) > FLUSH_WORDS:
-                yield _counts(found)
-                found = Counter()
-        if held:
-            add()
-        if found:
-            yield _counts(found)
 
-    parts = docs.select("text").mapInArrow(count, "word binary, c bigint")
-    return write_table(parts.groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
+def counted(batches):
+    """Batches (word, c) of batches of texts; a word may stand in several."""
+    found = []  # words and their counts, a pair of arrays per stretch of text
+    for held in _stretches(batches, lambda b: b.column(0)):
+        distinct, at, _ = numbered(pa.concat_arrays([b.column(0) for b in held]))
+        found.append((distinct, np.bincount(at, minlength=len(distinct))))
+        if sum(len(w) for w, _ in found) > FLUSH_WORDS:
+            found = [_added(found)]
+            if len(found[0][0]) > FLUSH_WORDS // 2:
+                yield _counts(*found[0])
+                found = []
+    if found:
+        yield _counts(*_added(found))
+
+
+def _stretches(batches, texts):
+    """Lists of batches with rows whose `texts` hold COUNT_BYTES, or COUNT_ROWS rows, or a little more."""
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size, rows = size + texts(batch).nbytes, rows + batch.num_rows
+        if size >= COUNT_BYTES or rows >= COUNT_ROWS:
+            yield held
+            held, size, rows = [], 0, 0
+    if held:
+        yield held
 
 
-def _counts(found: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())],
-                                      names=["word", "c"])
+def _added(found: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """The sums of counts by word, by Arrow: no word becomes a Python object."""
+    table = pa.table([pa.concat_arrays([w for w, _ in found]), np.concatenate([c for _, c in found])], names=["word", "c"])
+    sums = table.group_by("word", use_threads=False).aggregate([("c", "sum")]).combine_chunks()
+    return pa.concat_arrays(sums["word"].chunks or [pa.array([], pa.binary())]), sums["c_sum"].to_numpy()
+
+
+def _counts(words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([words, pa.array(counts, pa.int64())], names=["word", "c"])
 
 
 def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAILS
 
 
+def tail_classes(words: pa.Array) -> np.ndarray:
+    """`tail_class` of every word (binary), worked out once for each different ending."""
+    endings = pc.binary_slice(words, -2).dictionary_encode()
+    by_ending = np.array([tail_class(e) for e in endings.dictionary.to_pylist()], np.int16)
+    return by_ending[endings.indices.to_numpy()]
+
+
 def cutoff(sizes: list[tuple[int, int]], most: int) -> int:
     """The least count such that `most` words at most have it or more, from (count, number of words)."""
     total, least = 0, None
@@ -436,16 +513,17 @@ def symbols_of(rows: DataFrame, n_words: int, frequent: dict[bytes, int], log_no
 
     def run(batches):
         known, norms = shared.value
-        place = dict(zip(known, range(len(known)))).get
-        symbol = np.array([FIRST + k if k < n_words else tail_class(w) for k, w in enumerate(known)] or [0], np.int16)
-        log = np.log10(np.array(list(known.values()) or [0]) + 1.0)
-        for batch in batches:
+        words = pa.array(list(known), pa.binary())
+        symbol = np.append(np.arange(FIRST, FIRST + n_words, dtype=np.int16), tail_classes(words[n_words:]))
+        log = np.log10(np.array(list(known.values())) + 1.0)
+        for held in _stretches(batches, lambda b: b.column(2)):
+            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             distinct, at, ends = numbered(batch.column(2))
-            names = distinct.to_pylist()
-            found = np.fromiter(map(place, names, repeat(-1)), np.int32, len(names))
+            found = pc.fill_null(pc.index_in(distinct, value_set=words), -1).to_numpy()
             rare = found < 0  # by word
-            by_word, log_of = symbol[found], log[found]
-            by_word[rare], log_of[rare] = [tail_class(names[k]) for k in np.flatnonzero(rare).tolist()], 0
+            by_word, log_of = np.empty(len(distinct), np.int16), np.zeros(len(distinct))
+            by_word[~rare], log_of[~rare] = symbol[found[~rare]], log[found[~rare]]
+            by_word[rare] = tail_classes(distinct.filter(pa.array(rare)))
             symbols, logs, out = by_word[at], log_of[at], []
             for a, b in zip(ends.tolist(), ends[1:].tolist()):
                 own, weight = symbols[a:b], logs[a:b]
@@ -455,11 +533,11 @@ def symbols_of(rows: DataFrame, n_words: int, frequent: dict[bytes, int], log_no
                             np.append(own, np.int16(END)).astype("<i2").tobytes()))
             sizes = np.diff(ends)
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            is_rare = rare[at]
+            is_rare, width = rare[at], max(1, len(distinct))
             # of every text each rare word once, with its number
-            pairs, tf = np.unique(owner[is_rare] * max(1, len(names)) + at[is_rare], return_counts=True)
-            listed = pa.StructArray.from_arrays([distinct.take(pa.array(pairs % max(1, len(names)))), pa.array(tf, pa.int64())], names=["word", "tf"])
-            offsets = np.searchsorted(pairs, np.arange(len(sizes) + 1) * max(1, len(names)))
+            pairs, tf = np.unique(owner[is_rare] * width + at[is_rare], return_counts=True)
+            listed = pa.StructArray.from_arrays([distinct.take(pa.array(pairs % width)), pa.array(tf, pa.int64())], names=["word", "tf"])
+            offsets = np.searchsorted(pairs, np.arange(len(sizes) + 1) * width)
             n_rare = np.bincount(owner[is_rare], minlength=len(sizes))
             types = (pa.float64(), pa.float64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
