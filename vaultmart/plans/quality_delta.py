@@ -116,7 +116,7 @@ def carry(run: Pipeline, batch: int) -> DataFrame:
     found = [_not_null(run, t, batch, state) for t in gold if t.kind == "not_null"]
     found += [_unique(run, t, batch, state) for t in gold if t.kind == "unique"]
     found.append(_lone_rows(run, [t for t in gold if t.kind == "relationships"], batch, state))
-    reduce(DataFrame.unionByName, found).write.mode("overwrite").parquet(_state_path(run, batch))
+    run.store.write_files(reduce(DataFrame.unionByName, found), _state_path(run, batch))
     return run.spark.read.schema(STATE).parquet(_state_path(run, batch))
 
 
