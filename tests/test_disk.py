@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vaultmart.functions.hashing import as_text, hash_key, hashdiff
-from vaultmart.plans import staging
+from vaultmart.plans import marts, staging
 from vaultmart.plans.pipeline import BRONZE_OF, HUBS, LINKS, SATELLITES, Pipeline
 from vaultmart.session import FREE_SHUFFLES, shuffles_freed
 
@@ -131,3 +131,14 @@ def test_a_staged_sale_is_shuffled_without_its_hashes(two, monkeypatch):
     assert "transaction_id" in held and not [c for c in held if c.endswith("_hk") or c == "hashdiff"]
     files = {f.rsplit("/", 1)[1].split("_")[-1] for f in parquet_files(two, "silver/stg_transactions/b2/batch=2")}
     assert len(files) == len(parquet_files(two, "silver/stg_transactions/b2/batch=2")) == 2  # still one file a bucket
+
+
+def test_a_sale_is_shuffled_before_its_property_is_joined(spark, two):
+    """Exchanges that hold a sale's own columns carry no property column (the widest of the star join)."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sales = [o for o in exchanged(marts.mart_property_sales(two.vault_view(2))) if "transaction_id" in o]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(sales) == 2 and not any("address" in o for o in sales), sales
