@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vaultmart.functions.hashing import as_text, hash_key, hashdiff
-from vaultmart.plans import marts, staging
+from vaultmart.plans import marts, registry, staging
 from vaultmart.plans.pipeline import BRONZE_OF, HUBS, LINKS, SATELLITES, Pipeline
 from vaultmart.session import FREE_SHUFFLES, shuffles_freed
 
@@ -142,3 +142,10 @@ def test_a_sale_is_shuffled_before_its_property_is_joined(spark, two):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(sales) == 2 and not any("address" in o for o in sales), sales
+
+
+def test_csv_round_trip_is_compressed(spark, monkeypatch, two):
+    monkeypatch.setattr(registry, "pipeline", lambda s, d: two)
+    again = registry.QUERIES["csv_round_trip"](spark, SF_SMALL)
+    assert all(f.endswith(".csv.gz") for f in again.inputFiles())
+    assert rows(again) == rows(registry.QUERIES["bronze_property_raw"](spark, SF_SMALL))
